@@ -4,11 +4,13 @@
    digests form classes of exact copies, which are joined without comparing them.
 2. A second pass sends every shingle, packed in blocks, to the part of the hash space that owns it, where
    its document frequency is counted; shingles that two documents or more hold go back to their
-   documents. A document with too few of those cannot link and leaves.
+   documents. A document with too few of those cannot link and leaves. This is done once over all rows
+   and once more among the different sets that are left.
 3. The survivors order their shingles rarest first. The prefix (n - ceil(0.8 n) + 1 shingles) is what a
    linked pair must have in common; documents that share a prefix shingle are candidates if they also
-   pass the length filter, the positional filter and a suffix filter (the differences of shingle counts
-   in 32 segments of the hash space bound the symmetric difference from below).
+   pass the length filter, the positional filter and a suffix filter (the hash space is cut into 256
+   segments; segments in which one set holds an odd number of shingles and the other an even number
+   bound the symmetric difference from below).
 4. Candidates are verified once by a true intersection. A group of a prefix shingle is not expanded
    into all its pairs: in each round a few pivots of the group meet the others; whoever links joins
    the pivot's component, a group whose members are in one component is finished, and pivots that met
@@ -39,7 +41,7 @@ WORDS = 5
 PERCENT = 80
 BITS = 52
 ROWS = 1 << (64 - BITS)
-SEGMENTS = 32
+SEGMENTS = 256
 #: Shingles that one part of the hash space should hold, about.
 PART = 1 << 21
 
@@ -90,13 +92,21 @@ def _blobs(values: np.ndarray, cut: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.large_binary(), len(cut) - 1, [None, pa.py_buffer((cut * values.itemsize).astype(np.int64)), pa.py_buffer(values)]).cast(pa.binary())
 
 
-def _sender(bits: int):
+def _stored_sets(batch: pa.RecordBatch):
+    """What ``_sets`` yields, from survivors."""
+    for i in range(0, batch.num_rows, ROWS // 2):
+        part = batch.slice(i, ROWS // 2)
+        tokens, per = _parse(part.column("tokens"), np.uint64)
+        yield i, i + part.num_rows, np.repeat(np.arange(part.num_rows), per), tokens, part.column("n").to_numpy().astype(np.int64), part.column("digest").to_numpy()
+
+
+def _sender(bits: int, sets=_sets):
     """Sends shingles to 2**bits parts: rows of (part, chunk, rows in chunk, low and high bits); part -1 holds a chunk's digests and sizes."""
 
     def send(batches):
         seen, chunk = set(), (TaskContext.get().partitionId() << 32)
         for batch in batches:
-            for _, _, rows, tokens, n, digest in _sets(batch) if batch.num_rows else ():
+            for _, _, rows, tokens, n, digest in sets(batch) if batch.num_rows else ():
                 new = np.zeros(len(n), bool)
                 for k in np.flatnonzero(n):
                     d = int(digest[k])
@@ -175,7 +185,8 @@ def _survivors(percent: int):
         if not len(rows):
             return pa.table([pa.array([], k) for k in kinds], names)
         segment = (A.mix(tokens + np.uint64(99)) & np.uint64(SEGMENTS - 1)).astype(np.int64)
-        signature = np.minimum(np.bincount(rows * SEGMENTS + segment, minlength=len(n) * SEGMENTS), 255).astype(np.uint8).reshape(len(n), SEGMENTS)
+        odd = (np.bincount(rows * SEGMENTS + segment, minlength=len(n) * SEGMENTS) & 1).astype(np.uint8)
+        signature = np.packbits(odd.reshape(len(n), SEGMENTS), axis=1)
         who = np.flatnonzero(alive)
         own = (n - shared)[who]
         length = (n - least + 1)[who] - own
@@ -206,23 +217,28 @@ def _verified(percent: int):
 
 
 def _differences(x: str, y: str):
-    """Sum over the segments of the difference of two packed signatures."""
-    total = F.lit(0)
-    for k in range(4):
-        for shift in range(0, 64, 8):
-            total += F.abs(F.shiftright(F.col(f"{x}s{k}"), shift).bitwiseAND(F.lit(255)) - F.shiftright(F.col(f"{y}s{k}"), shift).bitwiseAND(F.lit(255)))
-    return total
+    """Segments in which two signatures differ."""
+    return sum((F.bit_count(F.col(f"{x}s{k}").bitwiseXOR(F.col(f"{y}s{k}"))) for k in range(1, 4)), F.bit_count(F.col(f"{x}s0").bitwiseXOR(F.col(f"{y}s0"))))
+
+
+def _open(posts: DataFrame, facts: tuple[str, ...], percent: int) -> DataFrame:
+    """Posts of groups that span components, without members whose shared shingles can't suffice even for
+    the smallest set of their group."""
+    groups = posts.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most"), F.min("n").alias("n_least")).filter("least < most")
+    enough = (100 + percent) * (F.col("n") - F.col("own")) >= percent * (F.col("n") + F.col("n_least"))
+    return posts.join(groups, "token").filter(enough).select(*facts, "at", "token", "label")
 
 
 def _links(survivors: DataFrame, percent: int) -> DataFrame | None:
     """(a, b) links that connect every linked pair of survivors (v, n, own, prefix, s0.., tokens)."""
     facts = ("v", "n", "own", "s0", "s1", "s2", "s3")
     posts = survivors.select(*facts, F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + F.col("own"))
-    several = posts.groupBy("token").agg(F.count("*").alias("held")).filter("held > 1").select("token")
-    posts = saved(posts.join(several, "token").withColumn("label", F.col("v")))
+    posts = saved(_open(posts.withColumn("label", F.col("v")), facts, percent))
     sets, all_links, pivots = survivors.select("v", "tokens"), None, 1
     while not posts.isEmpty():
-        order = Window.partitionBy("token").orderBy("own", F.xxhash64("v"), "v")
+        # first the most typical member, then the smallest sets: once those are gone, the bound of _open is sharp
+        by = ("own", "n") if pivots == 1 else ("n", "own")
+        order = Window.partitionBy("token").orderBy(*by, F.xxhash64("v"), "v")
         ranked = posts.withColumn("rank", F.row_number().over(order))
         chosen = posts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= pivots)
         chosen = chosen.select("token", *(F.col(c).alias(f"p_{c}") for c in (*facts, "at", "label", "rank")))
@@ -242,9 +258,7 @@ def _links(survivors: DataFrame, percent: int) -> DataFrame | None:
             all_links = links if all_links is None else all_links.union(links)
             labels = components(all_links)
             rest = rest.drop("label").join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
-        rest = rest.select(*facts, "at", "token", "label")
-        open_ = rest.groupBy("token").agg(F.min("label").alias("least"), F.max("label").alias("most")).filter("least < most").select("token")
-        posts = saved(rest.join(open_, "token").select(*facts, "at", "token", "label"))
+        posts = saved(_open(rest, facts, percent))
         pivots *= 4
     return all_links
 
@@ -257,13 +271,33 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     bits = min(12, max(6, math.ceil(math.log2(max(1, total / PART)))))
     classes = docs.filter("n > 0").groupBy("digest").agg(F.min("doc_id").alias("v"))
 
-    sent = texts.select("text").mapInArrow(_sender(bits), "part int, chunk long, rows binary, low binary, high binary")
-    counted = sent.groupBy("part").applyInArrow(_count(bits), "chunk long, rows binary, tokens binary, df binary")
-    chosen = counted.groupBy("chunk").applyInArrow(_survivors(percent), "digest long, n int, own int, prefix array<long>, s0 long, s1 long, s2 long, s3 long, tokens binary")
-    survivors = saved(chosen.dropDuplicates(["digest"]).join(classes, "digest").drop("digest"))
+    def shared(df: DataFrame, sets) -> DataFrame:
+        sent = df.mapInArrow(_sender(bits, sets), "part int, chunk long, rows binary, low binary, high binary")
+        counted = sent.groupBy("part").applyInArrow(_count(bits), "chunk long, rows binary, tokens binary, df binary")
+        chosen = counted.groupBy("chunk").applyInArrow(_survivors(percent), "digest long, n int, own int, prefix array<long>, s0 long, s1 long, s2 long, s3 long, tokens binary")
+        return chosen.dropDuplicates(["digest"])
+
+    # once over all rows, then among different sets, so that copies don't make a shingle look shared
+    once = saved(shared(texts.select("text"), _sets).select("digest", "n", "tokens"))
+    survivors = saved(shared(once, _stored_sets).join(classes, "digest").drop("digest"))
 
     links = _links(survivors, percent)
     named = docs.join(classes, "digest", "left").select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("v")).alias("v"))
     if links is None:
         return named.select("doc_id", "n_shingles", F.coalesce("v", "doc_id").alias("component_id"))
     return named.join(components(links), "v", "left").select("doc_id", "n_shingles", F.coalesce("label", "v", "doc_id").alias("component_id"))
+
+
+def without_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """One document of each component, that with the smallest id, with all columns.
+
+    Of rows that share an id one stays; rows with a null id, and rows without words, all stay.
+    """
+    groups = near_duplicates(documents, percent)
+    drop = groups.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
+    kept = documents.join(drop, documents["doc_id"] == drop["doc_id"], "left_anti")
+    twice = groups.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    if twice.isEmpty():
+        return kept
+    again = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+    return kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_anti").unionByName(again)

@@ -22,16 +22,17 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(fold_of(doc_id) == 1, F.lit(False))
 
 
-def saved(df: DataFrame) -> DataFrame:
-    """``df`` written once to the shared checkpoint folder, with its lineage cut there.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``; where that is unset, as in tests, one in the warehouse."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
+
 
-    The folder comes from ``spark.checkpoint.dir``; where that is unset, as in tests, the warehouse
-    folder is used.
-    """
+def saved(df: DataFrame) -> DataFrame:
+    """``df`` written once to the shared checkpoint folder, with its lineage cut there."""
     context = df.sparkSession.sparkContext
     if context._jsc.sc().getCheckpointDir().isEmpty():
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or df.sparkSession.conf.get("spark.sql.warehouse.dir") + "/_checkpoints")
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)
 
 
