@@ -33,7 +33,10 @@ SAMPLE = 20_000
 FEATURES = 1024
 FACTORS = 6
 MIN_DOCUMENTS = 8
+#: Passes over the sample; small samples get more, so that there are STEPS steps at least.
 EPOCHS = 14
+STEPS = 750
+BATCH = 256
 REJECT = 0.7
 
 
@@ -116,10 +119,11 @@ def train(docs: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
     p = {"w0": np.array([np.log(share / (1 - share))]), "w": np.zeros(f), "v": rng.normal(0, 0.02, (f, FACTORS))}
     m, s = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
     decay, step = {"w0": 0.0, "w": 2e-5, "v": 5e-5}, 0
-    for epoch in range(EPOCHS):
-        order, rate = rng.permutation(len(docs)), 0.02 * 0.85**epoch
-        for i in range(0, len(order), 256):
-            batch = order[i : i + 256]
+    epochs = max(EPOCHS, -(-STEPS // -(-len(docs) // BATCH)))
+    for epoch in range(epochs):
+        order, rate = rng.permutation(len(docs)), 0.02 * 0.1 ** (epoch / epochs)
+        for i in range(0, len(order), BATCH):
+            batch = order[i : i + BATCH]
             x = np.zeros((len(batch), f))
             lengths = at[batch + 1] - at[batch]
             x[np.repeat(np.arange(len(batch)), lengths), feature[A.ragged(at[batch], lengths)]] = 1

@@ -1,0 +1,240 @@
+"""Operators against brute force on small fixtures, with nulls, empties, ties, repeats and clashing columns."""
+
+import hashlib
+import re
+import zlib
+
+import numpy as np
+import pytest
+
+from llm import html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
+
+BASE = "the of and to in is that it was for on are with as his they be at one have this from or had by hot word but what some we can out other were all there when up use your how said an each she which do their time if will way about many then them write would like so these her long make thing see him two has look more day could go come did number sound no most people my over know water than call first who may down side been now find".split()
+
+
+def prose(n: int, seed: int) -> str:
+    rng = np.random.default_rng(seed)
+    return " ".join(rng.choice(BASE, n))
+
+
+LONG = prose(30_000, 1)
+ROWS = [
+    (1, "mail a.b@x.org, ip 10.0.0.255 and 300.1.1.1; card 4111 1111 1111 1111 phone +1 (415) 555-0132."),
+    (2, None), (3, ""), (4, " \n\t "), (5, "one two three"), (6, "ONE two Three"), (7, prose(60, 2)), (8, prose(60, 2)), (8, prose(60, 2)),
+    (9, prose(60, 2).replace("the", "THE") + " end"), (10, LONG), (11, LONG + " tail"), (12, "x" * 300_000), (13, "é ß 日本 語\x85<|endoftext|> ▁x  y "),
+    (14, "a b c d e f g h " * 5), (15, "line one here\nline one here\n\n  \nline two\n"), (None, "no id"), (16, "DE89 3704 0044 0532 0130 00 ssn 123-45-6789"), (17, prose(50, 3)), (18, prose(50, 3) + " z"),
+]
+SCHEMA = "doc_id long, text string"
+
+
+@pytest.fixture(scope="module")
+def docs(spark):
+    wide = [(i, t, "en", "s", len(t or ""), 1.0, "k") for i, t in ROWS]
+    return spark.createDataFrame(wide, SCHEMA + ", lang string, source string, n_chars long, score double, row_key string").repartition(3)
+
+
+@pytest.fixture(scope="module")
+def none(spark, docs):
+    return spark.createDataFrame([], docs.schema)
+
+
+def by_id(rows):
+    out = {}
+    for r in rows:
+        out.setdefault(r.doc_id, r)
+    return out
+
+
+def test_pii(docs, none):
+    def base(t):
+        found = []
+        for k, (kind, p) in enumerate({"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+", "phone": r"\+[0-9][\x20().0-9-]+[0-9]"}.items()):
+            for m in re.finditer(p, t):
+                d = re.sub("[^0-9]", "", m[0])
+                luhn = sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
+                if {"email": True, "ip": kind == "ip" and all(int(x) <= 255 for x in m[0].split(".")), "card": 14 <= len(d) <= 19 and luhn, "phone": 10 <= len(d) <= 15}[kind]:
+                    found.append((m.start(), k, f"{kind}:{m.start()}:{m.end()}"))
+        return ",".join(x[2] for x in sorted(found))
+
+    got = pii.report(docs).collect()
+    assert len(got) == len(ROWS)
+    for i, t in ROWS:
+        assert by_id(got)[i].base_sha256 == hashlib.sha256(base(t or "").encode()).hexdigest()
+    assert by_id(got)[16].spans == "iban:0:27,ssn:32:43"
+    assert pii.report(none).count() == 0
+    masked = by_id(pii.masked(docs).collect())
+    assert masked[1].text == "mail [EMAIL], ip [IP] and 300.1.1.1; card [CARD] phone [PHONE]." and masked[1].n_chars == len(masked[1].text)
+    assert masked[2].text is None and masked[10].text == LONG
+
+
+def test_jaccard(docs, none):
+    sets = {}
+    for i, t in ROWS:
+        w = re.findall(r"[^\x20\x09-\x0D]+", (t or "").lower())
+        sets[i] = {tuple(w[k : k + 5]) for k in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+    parent = {i: i for i in sets}
+
+    def root(x):
+        return x if parent[x] == x else root(parent[x])
+
+    for a in sets:
+        for b in sets:
+            if a is not None and b is not None and a < b and sets[a] and 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                x, y = sorted((root(a), root(b)))
+                parent[y] = x
+    got = jaccard.near_duplicates(docs).collect()
+    assert len(got) == len(ROWS)
+    for r in got:
+        assert r.n_shingles == len(sets[r.doc_id]) and r.component_id == root(r.doc_id)
+    assert jaccard.near_duplicates(none).count() == 0
+    kept = sorted((r.doc_id for r in jaccard.without_duplicates(docs).collect()), key=str)
+    assert kept == sorted((i for i, t in dict(ROWS).items() if root(i) == i), key=str)
+
+
+def test_jaccard_chain_of_near_copies(spark):
+    rng = np.random.default_rng(4)
+    base = prose(150, 9).split()
+    texts = []
+    for k in range(40):
+        w = list(base)
+        for j in rng.choice(150, k % 6, replace=False):
+            w[j] = f"new{k}x{j}"
+        texts.append((k, " ".join(w)))
+    sets = {i: {tuple(t.split()[k : k + 5]) for k in range(146)} for i, t in texts}
+    label = {i: i for i in sets}
+    for _ in sets:
+        for a in sets:
+            for b in sets:
+                if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b]):
+                    label[a] = label[b] = min(label[a], label[b])
+    got = {r.doc_id: r.component_id for r in jaccard.near_duplicates(spark.createDataFrame(texts, SCHEMA)).collect()}
+    assert got == label
+
+
+def test_pieces(docs, none):
+    model = pieces.load(pieces.model_path())
+    got = pieces.encoded(docs).collect()
+    assert len(got) == len(ROWS)
+    for i, t in ROWS:
+        ids, r = model.encode(t or "", add_eos=True), by_id(got)[i]
+        assert r.n_tokens == len(ids) and r.ids_sha256 == hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(model.decode(ids).encode()).hexdigest()
+    assert pieces.encoded(none).count() == 0
+
+
+def test_packing(docs, none):
+    from tokenizers import Tokenizer
+
+    model = Tokenizer.from_file(packing.tokenizer_path())
+    got = packing.pack(packing.pieces(docs), block=8).collect()
+    want = sum(len(model.encode(t or "", add_special_tokens=False).ids) + 1 for _, t in ROWS)
+    assert sum(r.length for r in got) == want
+    for i, t in ROWS:
+        if i != 8:
+            ids = np.array(model.encode(t or "", add_special_tokens=False).ids + [0], np.uint32)
+            mine = sorted((r for r in got if r.doc_id == i), key=lambda r: r.piece)
+            assert [r.start for r in mine] == list(np.cumsum([0] + [r.length for r in mine])[:-1]) and mine[-1].start + mine[-1].length == len(ids)
+            assert all(r.length == 2048 for r in mine[1:])
+            assert all(zlib.crc32(ids[r.start : r.start + r.length].tobytes()) == r.ids_crc32 for r in mine)
+    bins = {}
+    for r in got:
+        bins.setdefault(r.sequence_id, []).append((r.offset, r.length))
+    for b in bins.values():
+        b.sort()
+        assert all(o == sum(n for _, n in b[:k]) for k, (o, _) in enumerate(b)) and sum(n for _, n in b) <= 2048
+    assert packing.pack(packing.pieces(none)).count() == 0
+
+
+def test_local_search_empties_bins():
+    lengths = np.array([6, 6, 4, 4, 5, 5])
+    bins = packing.local_search([[0, 2], [1], [3, 4], [5]], lengths, 10)
+    assert len(bins) == 3 and sorted(i for b in bins for i in b) == list(range(6)) and all(lengths[b].sum() <= 10 for b in bins)
+
+
+def test_topk(spark):
+    rng = np.random.default_rng(0)
+    rows = [(i, [float(x) for x in rng.normal(0, 0.2, 20)]) for i in range(230)] + [(300, None), (350, [1.0, None]), (400, [float("nan")] * 20), (401, [0.0] * 20), (402, [0.0] * 20), (150, [0.0] * 20)]
+    got = topk.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    valid = {}
+    for i, v in rows:
+        if v is not None and None not in v and all(np.isfinite(v)):
+            valid[i] = max(v, valid.get(i, v))
+    ints = {i: np.floor(256 * np.array(v)) for i, v in valid.items()}
+    for q in [i for i in valid if i % 50 == 0]:
+        best = sorted((-int(ints[q] @ ints[c]), c) for c in ints if c != q)[:5]
+        assert [(-r.score, r.vec_id) for r in sorted((r for r in got if r.query_id == q), key=lambda r: r.rank)] == best
+    assert {r.query_id for r in got} == {i for i in valid if i % 50 == 0}
+    assert topk.search(spark.createDataFrame([], "vec_id long, embedding array<float>")).count() == 0
+    assert topk.search(spark.createDataFrame([(0, [1.0])], "vec_id long, embedding array<float>")).count() == 0
+
+
+def test_quality(spark, docs, none):
+    got = quality.judge(docs).collect()
+    assert len(got) == len(ROWS)
+    for i, t in ROWS:
+        t, r = t or "", by_id(got)[i]
+        w = re.findall(r"[^\x20\x09-\x0D]+", t)
+        lines = [x for x in t.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+        at = {}
+        for k in range(len(w) - 7):
+            at.setdefault(tuple(w[k : k + 8]), []).append(k)
+        repeated = {p for v in at.values() if len(v) > 1 for k in v for p in range(k, k + 8)}
+        want = (len(w), sum(map(len, w)), len(re.findall(r"[#*$%&|<>]", t)), len(lines) - len(set(lines)), len(repeated))
+        assert (r.n_words, r.word_chars, r.n_symbols, r.n_dup_lines, r.n_repeat_words) == want
+        assert r.base_failed == (len(w) < 20 or 100 * len(repeated) > 30 * len(w))
+    assert quality.judge(none).count() == 0
+    common = "subscribe to our news letter and read the terms of this site today for free with no ads at all times please now"
+    rows = [(i, common + "\n" + (prose(30, 100 + i) if i % 2 else "x"), "h") for i in range(80)]
+    kept = {r.doc_id: r.kept for r in quality.judge(spark.createDataFrame(rows, SCHEMA + ", source string"), line_limit=20).collect()}
+    assert all(kept[i] == bool(i % 2) for i in kept)
+
+
+def test_toxicity(spark, docs, none):
+    rows = [(i, prose(40, i) + (" you moron and moron" if i % 4 == 0 else "")) for i in range(400)]
+    d = spark.createDataFrame(rows, SCHEMA)
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i, _ in rows] + [(0, None)], "doc_id long, toxic int")
+    model = toxicity.fit(d, labels)
+    held = [r for r in toxicity.score(d, model).collect() if zlib.crc32(str(r.doc_id).encode()) % 3 == 1]
+    assert len(held) > 100 and sum((r.score >= 0.7) == (r.doc_id % 4 == 0) for r in held) >= 0.95 * len(held)
+    assert len(toxicity.score(docs, model).collect()) == len(ROWS) and toxicity.score(none, model).count() == 0
+    assert toxicity.without_toxic(d, model).count() < 400 and toxicity.without_toxic(docs, model).columns == docs.columns
+    nothing = toxicity.fit(docs, spark.createDataFrame([], labels.schema))
+    assert all(0 <= r.score < 0.7 for r in toxicity.score(docs, nothing).collect())
+
+
+def test_language(spark, docs, none):
+    french = "le la de et les des un une est que pour dans qui sur pas au avec il elle nous vous être avoir faire plus tout comme mais ou où".split()
+    rng = np.random.default_rng(0)
+    rows = [(i, prose(30, i), "en") if i % 2 else (i, " ".join(rng.choice(french, 30)), "fr") for i in range(300)]
+    d = spark.createDataFrame(rows, SCHEMA + ", lang string")
+    model = langid.fit(d)
+    assert all(r.lang_pred == ("en" if r.doc_id % 2 else "fr") and not r.rejected and 0 <= r.score <= 1 for r in langid.predict(d, model).collect())
+    odd = by_id(langid.predict(docs, model).collect())
+    assert odd[2].lang_pred == odd[3].lang_pred == odd[4].lang_pred == "und" and odd[2].score == 0
+    assert langid.predict(none, model).count() == 0
+    assert {r.lang_pred for r in langid.predict(d, langid.fit(none)).collect()} == {"und"}
+    assert langid.without_rejected(d, model).count() == 300
+
+
+def test_licences(spark):
+    rows = [(1, "a/LICENSE", "Released under the MIT License."), (2, "a/b/c.txt", "text"), (3, "a/b/d.txt", "Licensed under CC BY-NC 4.0.\n" + prose(100, 1)), (4, "e/f.txt", None), (5, None, ""), (2, "a/b/c.txt", "text")]
+    got = {r.file_id: (r.licence, r.origin) for r in licences.scan(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()}
+    assert got == {1: ("MIT", "own"), 2: ("MIT", "a"), 3: ("CC-BY-NC-4.0", "own"), 4: (None, None), 5: (None, None)}
+    assert licences.scan(spark.createDataFrame([], "file_id long, path string, text string")).count() == 0
+
+
+def test_html(spark):
+    page = "<html><head><title>t</title></head><body><p>One <b>two</b><p>three<ul><li>x<li>y<ul><li>z</ul></ul><table><tr><td>a<td>bb<tr><td>ccc<td>d</table><div style='display: none'>no</div><span hidden>no</span><pre>k\n  l</pre>&amp; end<script>no</script>"
+    assert html.render(page) == "One two\n\nthree\n\n- x\n- y\n  - z\n\na    bb\nccc  d\n\nk\n  l\n\n& end"
+    assert html.render(None) == html.render("") == "" and html.render("<b><i>x</b>y</i></p>") == "xy"
+    assert "x" in html.render("<div>" * 5000 + "x")
+    df = spark.createDataFrame([(1, page), (2, None), (2, None)], "page_id long, html string")
+    assert sorted(len(r.text) for r in html.extracted(df).collect())[:2] == [0, 0]
+    assert html.extracted(spark.createDataFrame([], df.schema)).count() == 0
+
+
+def test_pipeline(spark):
+    import corpus_pipeline
+
+    out = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
+    assert out and {r.length <= 2048 for r in out} == {True} and len({(r.doc_id, r.piece) for r in out}) == len(out)
