@@ -79,14 +79,27 @@ def _k_means(x: np.ndarray, k: int) -> np.ndarray:
     return c
 
 
-def train(counts: np.ndarray, langs: list[str]) -> Centroids:
-    """``counts``: a row of n-gram counts by sampled text."""
-    idf = (np.log((1 + len(counts)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
-    x = np.log1p(counts) * idf
-    x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
-    langs, names, parts, radius = np.array(langs, object), [], [], []
+def _dense(sparse: list[bytes]) -> np.ndarray:
+    counts = np.zeros((len(sparse), SIZE), np.float32)
+    for i, raw in enumerate(sparse):
+        both = np.frombuffer(raw, np.uint16)
+        counts[i, both[: len(both) // 2]] = both[len(both) // 2 :]
+    return counts
+
+
+def train(sparse: list[bytes], langs: list[str]) -> Centroids:
+    """``sparse``: buckets, then counts, of each sampled text. Only one language's texts are dense at a time."""
+    holding = np.zeros(SIZE, np.int64)
+    for raw in sparse:
+        both = np.frombuffer(raw, np.uint16)
+        holding[both[: len(both) // 2]] += 1
+    idf = (np.log((1 + len(sparse)) / (1 + holding)) + 1).astype(np.float32)
+    names, parts, radius = [], [], []
     for name in sorted(set(langs)):
-        own = x[langs == name]
+        own = _dense([raw for raw, lang in zip(sparse, langs) if lang == name])
+        np.log1p(own, out=own)
+        own *= idf
+        own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
         c = _k_means(own, CENTROIDS)
         names += [name] * len(c)
         radius += [SLACK * float(np.quantile((own @ c.T).max(1), 0.01))] * len(c)
@@ -122,11 +135,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Centroids:
     share = F.broadcast(per_language.select("lang", (F.lit(float(sample)) / F.col("n")).alias("share")))
     rows = per_batch(known.join(share, "lang").filter(place < F.col("share")).select("lang", "text"), "lang string, counts binary", _pairs).toPandas()
     rows = rows.sort_values(["lang", "counts"]) if len(rows) else rows
-    counts = np.zeros((len(rows), SIZE), np.float32)
-    for i, raw in enumerate(rows["counts"]):
-        both = np.frombuffer(raw, np.uint16)
-        counts[i, both[: len(both) // 2]] = both[len(both) // 2 :]
-    return train(counts, list(rows["lang"]))
+    return train(list(rows["counts"]), list(rows["lang"]))
 
 
 def has_letter(text: Column) -> Column:

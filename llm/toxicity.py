@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from llm import arrays as A
-from llm.tables import fold_of, per_batch
+from llm.tables import fold_of, per_batch, saved
 
 BUCKETS = 1 << 18
 #: Labelled rows that are learnt from, at most.
@@ -88,40 +88,32 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def train(docs: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
-    """Fits by Adam on the logistic loss; equal sets of terms count once."""
-    distinct = {}
-    for x, label in zip(docs, y):
-        distinct.setdefault((x.tobytes(), int(label)), x)
-    y = np.array([k[1] for k in distinct], np.float64)
-    docs = list(distinct.values())
-    share = float(y.mean()) if len(y) else 0.0
-    nothing = np.zeros(0, np.int64)
-    if not 0 < share < 1:
-        logit = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
-        return Machine(nothing, float(logit), np.zeros(0), np.zeros((0, FACTORS)))
-    sizes = np.array([len(x) for x in docs])
-    rows, cols = np.repeat(np.arange(len(docs)), sizes), np.concatenate(docs).astype(np.int64)
-    n1 = np.bincount(cols, y[rows], BUCKETS)
-    n = np.bincount(cols, minlength=BUCKETS).astype(np.float64)
+def strongest(n: np.ndarray, n1: np.ndarray, share: float) -> np.ndarray:
+    """The buckets that get parameters, from how many texts and toxic texts hold each bucket."""
     expected = n * share
     strength = np.where(n >= MIN_DOCUMENTS, np.abs(n1 - expected) / np.sqrt(np.maximum(expected * (1 - share), 1e-9)), 0)
     kept = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
-    kept = kept[strength[kept] > 2]
-    index = np.full(BUCKETS, -1, np.int64)
-    index[kept] = np.arange(len(kept))
-    feature = index[cols]
-    rows, feature = rows[feature >= 0], feature[feature >= 0]
-    at = np.searchsorted(rows, np.arange(len(docs) + 1))
+    return kept[strength[kept] > 2]
+
+
+def train(kept: np.ndarray, docs: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
+    """Fits by Adam on the logistic loss; each text is given by its features, which are places in ``kept``."""
+    y, n_docs = y.astype(np.float64), len(docs)
+    share = float(y.mean()) if n_docs else 0.0
+    if not 0 < share < 1:
+        logit = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
+        return Machine(np.zeros(0, np.int64), float(logit), np.zeros(0), np.zeros((0, FACTORS)))
+    sizes = np.array([len(x) for x in docs])
+    feature, at = np.concatenate(docs), np.concatenate([[0], np.cumsum(sizes)])
 
     rng = np.random.default_rng(seed)
     f = len(kept)
     p = {"w0": np.array([np.log(share / (1 - share))]), "w": np.zeros(f), "v": rng.normal(0, 0.02, (f, FACTORS))}
     m, s = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
     decay, step = {"w0": 0.0, "w": 2e-5, "v": 5e-5}, 0
-    epochs = max(EPOCHS, -(-STEPS // -(-len(docs) // BATCH)))
+    epochs = max(EPOCHS, -(-STEPS // -(-n_docs // BATCH)))
     for epoch in range(epochs):
-        order, rate = rng.permutation(len(docs)), 0.02 * 0.1 ** (epoch / epochs)
+        order, rate = rng.permutation(n_docs), 0.02 * 0.1 ** (epoch / epochs)
         for i in range(0, len(order), BATCH):
             batch = order[i : i + BATCH]
             x = np.zeros((len(batch), f))
@@ -152,19 +144,47 @@ def _features(batch: pa.RecordBatch):
         yield {"terms": pa.array([buckets[a:b].tobytes() for a, b in zip(cut, cut[1:])], pa.binary()), "label": labels.slice(i, j - i)}
 
 
+def _holders(batch: pa.RecordBatch):
+    """How many texts of the batch, and toxic ones, hold each bucket."""
+    sets, y = batch.column("terms").to_pylist(), batch.column("label").to_numpy()
+    cols = np.frombuffer(b"".join(sets), np.int32)
+    toxic = np.repeat(y, [len(x) // 4 for x in sets])
+    n, n1 = np.bincount(cols, minlength=BUCKETS), np.bincount(cols, toxic, BUCKETS).astype(np.int64)
+    at = np.flatnonzero(n)
+    yield {"bucket": at.astype(np.int32), "n": n[at], "n1": n1[at]}
+
+
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
-    """Learns from the labelled rows that are not held out, ``sample`` of them at most."""
+    """Learns from the labelled rows that are not held out, ``sample`` of them at most; equal sets of terms count once.
+
+    Features are counted in Spark and only the chosen ones of each sampled text come to the driver.
+    """
     chosen = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != 1))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    rows = per_batch(
-        documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label"), "terms binary, label int", _features
-    ).toPandas()
-    order = np.lexsort([rows["label"].to_numpy(), rows["terms"].to_numpy()]) if len(rows) else []
-    rows = rows.iloc[order]
-    return train([np.frombuffer(x, np.int32) for x in rows["terms"]], rows["label"].to_numpy())
+    sampled = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
+    sets = saved(per_batch(sampled, "terms binary, label int", _features).distinct())
+    total, toxic = sets.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
+    held = per_batch(sets, "bucket int, n long, n1 long", _holders).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
+    held = held.filter(F.col("n") >= MIN_DOCUMENTS).toArrow()
+    n, n1 = np.zeros(BUCKETS), np.zeros(BUCKETS)
+    n[held.column("bucket")], n1[held.column("bucket")] = held.column("n"), held.column("n1")
+    kept = strongest(n, n1, toxic / max(total, 1))
+
+    def featured(batch: pa.RecordBatch):
+        index = np.full(BUCKETS, -1, np.int32)
+        index[kept] = np.arange(len(kept))
+        out = []
+        for raw in batch.column("terms").to_pylist():
+            f = index[np.frombuffer(raw, np.int32)]
+            out.append(f[f >= 0].tobytes())
+        yield {"key": batch.column("key"), "label": batch.column("label"), "features": pa.array(out, pa.binary())}
+
+    rows = per_batch(sets.select(F.xxhash64("terms").alias("key"), "label", "terms"), "key long, label int, features binary", featured).toArrow()
+    rows = rows.sort_by([("key", "ascending"), ("label", "ascending"), ("features", "ascending")])
+    return train(kept, [np.frombuffer(x, np.int32) for x in rows.column("features").to_pylist()], rows.column("label").to_numpy())
 
 
 def score(documents: DataFrame, model: Machine, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
