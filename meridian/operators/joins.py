@@ -71,6 +71,34 @@ def grid_join(left: DataFrame, right: DataFrame, cell: float, predicate: Column,
     return cells(left, a).join(cells(right, b), ["_cx", "_cy"]).filter(owner & predicate).drop("_cx", "_cy")
 
 
+def in_ring(x: Column, y: Column, ring: Column) -> Column:
+    """Whether a ray from the point to the right crosses an odd number of edges of ``ring``, an array of (x, y) that closes itself."""
+    following = F.concat(F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))), F.slice(ring, 1, 1))
+
+    def crosses(p: Column, q: Column) -> Column:
+        at = F.try_divide((q["x"] - p["x"]) * (y - p["y"]), q["y"] - p["y"]) + p["x"]
+        return ((p["y"] > y) != (q["y"] > y)) & (x < at)
+
+    return F.size(F.filter(F.zip_with(ring, following, crosses), lambda c: c)) % 2 == 1
+
+
+def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> DataFrame:
+    """Pairs of a point and a polygon around it; points: x, y and others; polygons: ring (array of x, y doubles) and others.
+
+    Both sides meet in grid cells of the polygons' boxes. ``cell`` should be near the size of a common
+    polygon: a ring is sent once for each cell that its box touches. Points with a null coordinate and
+    polygons without a ring meet nothing.
+    """
+    edge = lambda f, c: f(F.transform("ring", lambda v: v[c]))
+    boxed = polygons.filter(F.size("ring") > 0).withColumns({
+        "_x0": edge(F.array_min, "x"), "_y0": edge(F.array_min, "y"), "_x1": edge(F.array_max, "x"), "_y1": edge(F.array_max, "y"),
+    })
+    located = points.filter("x is not null and y is not null").withColumns({"_px": F.col("x"), "_py": F.col("y")})
+    inside = in_ring(F.col("x"), F.col("y"), F.col("ring"))
+    names = ["_x0", "_y0", "_x1", "_y1"]
+    return grid_join(located, boxed, cell, inside, ["_px", "_py", "_px", "_py"], names).drop("_px", "_py", *names)
+
+
 def nearest_within(left: DataFrame, right: DataFrame, cell: float, radius: float, a: Sequence[str], b: Sequence[str], left_id: str, right_id: str) -> DataFrame:
     """Nearest other right point within ``radius`` (excluded) on the plane; ties go to the smaller id. ``cell`` >= radius."""
     steps = F.explode(F.array(*(F.lit(k) for k in (-1, 0, 1))))

@@ -365,8 +365,39 @@ def spatial_nearest(spark, load):
     return joins.nearest_within(points("a_"), points("b_"), 40.0, 40.0, ["a_x", "a_y"], ["b_x", "b_y"], "a_id", "b_id").withColumn("distance", r(F.col("distance")))
 
 
+@query("""WITH p AS (SELECT c_custkey AS id, CAST(c_custkey * 37 % 1000 AS DOUBLE) AS x, CAST(c_custkey * 91 % 1000 AS DOUBLE) AS y FROM customer),
+o AS (SELECT p_partkey AS id, CAST(p_partkey * 53 % 1000 AS DOUBLE) AS x, CAST(p_partkey * 29 % 1000 AS DOUBLE) AS y FROM part),
+e AS (SELECT id, x AS x1, y AS y1, x + 60 AS x2, y + 10 AS y2 FROM o UNION ALL SELECT id, x + 60, y + 10, x + 20, y + 50 FROM o UNION ALL SELECT id, x + 20, y + 50, x, y FROM o)
+SELECT p.id AS point_id, e.id AS region_id FROM p JOIN e ON (y1 > y) <> (y2 > y) AND x < (x2 - x1) * (y - y1) / (y2 - y1) + x1 GROUP BY 1, 2 HAVING count(*) % 2 = 1""")
+def point_in_polygon(spark, load):
+    at = lambda k, a, b: [(F.col(k) * a % 1000).cast("double"), (F.col(k) * b % 1000).cast("double")]
+    x, y = at("c_custkey", 37, 91)
+    points = load("customer").select(F.col("c_custkey").alias("point_id"), x.alias("x"), y.alias("y"))
+    x, y = at("p_partkey", 53, 29)
+    corner = lambda dx, dy: F.struct((x + dx).alias("x"), (y + dy).alias("y"))
+    regions = load("part").select(F.col("p_partkey").alias("region_id"), F.array(corner(0, 0), corner(60, 10), corner(20, 50)).alias("ring"))
+    return joins.points_in_polygons(points, regions, 50.0).select("point_id", "region_id")
+
+
 # --- cohorts, logs, monitoring, tracks
 
+@query("""WITH s AS (SELECT c_mktsegment AS sku, c_acctbal < 0 AS ended, count(*) AS periods FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY c_custkey, 1, 2),
+e AS (SELECT sku, ended, periods, unnest(range(periods)) AS period FROM s),
+c AS (SELECT sku, period, count(*) FILTER (WHERE period < periods - 1 OR ended) AS total, count(*) FILTER (WHERE period < periods - 1) AS kept FROM e GROUP BY 1, 2),
+k AS (SELECT *, bool_and(total > 5 AND kept > 5) OVER (PARTITION BY sku ORDER BY period) AS known FROM c),
+t AS (SELECT sku, least(period, 6) AS step, avg(ln(CAST(kept AS DOUBLE) / total)) AS log_rate FROM k WHERE known GROUP BY 1, 2),
+p AS (SELECT *, exp(sum(log_rate) OVER (PARTITION BY sku ORDER BY step)) AS product FROM t),
+f AS (SELECT sku, sum(product) AS chain, arg_max(product, step) AS product, least(exp(arg_max(log_rate, step)), 0.8) AS rate FROM p GROUP BY 1),
+n AS (SELECT sku, count(*) AS subscriptions FROM s GROUP BY 1),
+v AS (SELECT sku, subscriptions, 1 + coalesce(chain, 0) + coalesce(product, 1) * coalesce(rate, 0.5) / (1 - coalesce(rate, 0.5)) AS factor FROM n LEFT JOIN f USING (sku))
+SELECT sku, subscriptions, round(factor, 4) AS factor, round(10 * factor, 4) AS value FROM v""")
+def lifetime_value(spark, load):
+    bought = load("orders").groupBy(F.col("o_custkey").alias("c_custkey")).agg(F.count("*").alias("periods"))
+    ended = (F.col("c_acctbal") < 0).alias("ended")
+    subs = bought.join(load("customer"), "c_custkey").select(F.col("c_mktsegment").alias("sku"), "periods", ended, F.lit(1).alias("months"), F.lit(10.0).alias("price"), F.lit(0.5).alias("retention"))
+    return etl.lifetime_value(subs).select("sku", "subscriptions", r("factor").alias("factor"), r("value").alias("value"))
+
+
 @query("""WITH f AS (SELECT o_custkey, min(date_trunc('month', o_orderdate)) AS cohort FROM orders GROUP BY 1)
 SELECT cohort, CAST(date_diff('month', cohort, date_trunc('month', o_orderdate)) AS BIGINT) AS months, count(DISTINCT o_custkey) AS active FROM orders JOIN f USING (o_custkey) GROUP BY 1, 2""")
 def cohort_retention(spark, load):

@@ -44,6 +44,44 @@ def test_hierarchy_leaves_out_cycles(spark):
     assert {r.path for r in etl.hierarchy_paths(nodes, "id", "parent").collect()} == {"a", "a/b"}
 
 
+def test_points_in_polygons(spark):
+    square = [(0.0, 0.0), (10.0, 0.0), (10.0, 10.0), (0.0, 10.0)]
+    notch = [(20.0, 0.0), (30.0, 0.0), (30.0, 10.0), (25.0, 2.0), (20.0, 10.0)]
+    polygons = spark.createDataFrame([("square", square), ("notch", notch), ("none", []), ("null", None)], "region string, ring array<struct<x:double,y:double>>")
+    points = spark.createDataFrame([(1, 5.0, 5.0), (2, 25.0, 5.0), (3, 21.0, 5.0), (4, 11.0, 5.0), (5, None, 5.0)], "id long, x double, y double")
+    for cell in (3.0, 7.0, 100.0):
+        got = joins.points_in_polygons(points, polygons, cell)
+        assert got.columns == ["id", "x", "y", "region", "ring"]
+        assert sorted((r.id, r.region) for r in got.collect()) == [(1, "square"), (3, "notch")]
+
+
+def test_lifetime_value(spark):
+    def value(rows):
+        return {r.sku: r for r in etl.lifetime_value(spark.createDataFrame(rows, "sku string, periods int, ended boolean, months int, price double, retention double")).collect()}
+
+    few = value([("a", 3, True, 12, 20.0, 0.5), ("b-%", 0, False, 1, 10.0, 0.9)])
+    assert abs(few["a"].factor - 2) < 1e-9 and abs(few["a"].value - 40) < 1e-9
+    assert abs(few["b-%"].factor - 4.5) < 1e-9
+    rows = [("c", 5, False, 12, 1.0, 0.1)] * 12 + [("c", k, True, 12, 1.0, 0.1) for k in (1, 2, 2, 3, 4, 4)]
+    rates = [17 / 18, 15 / 17, (14 / 15 * 12 / 14) ** 0.5]
+    want = 1 + rates[0] + rates[0] * rates[1] + rates[0] * rates[1] * rates[2] * (1 + 0.8 / 0.2)
+    got = value(rows)["c"]
+    assert got.subscriptions == 18 and abs(got.factor - want) < 1e-9
+    assert value([]) == {}
+
+
+def test_way_tags_to_nodes(spark):
+    rows = [(1, [5, 6, 7], {"highway": "road", "x": "1"}), (2, [5, 6, 7, 5], {"highway": "road"}), (3, [8, 9], {"highway": "path"}), (4, [], {"highway": "road"}), (5, [4], {"x": "2"}), (6, [1, 2], None)]
+    ways = spark.createDataFrame(rows, "way long, nodes array<long>, tags map<string,string>")
+    at = lambda *rule: sorted((r.way, r.value, r.first, r.last) for r in etl.way_tags_to_nodes(ways, [rule]).collect())
+    assert at("highway", None, "center", True) == [(1, "road", 1, 1), (3, "path", 0, 1)]
+    assert at("highway", "road", "center", False) == [(1, "road", 1, 1), (2, "road", 2, 2)]
+    assert at("highway", None, "start", False) == [(1, "road", 0, 1), (2, "road", 0, 1), (3, "path", 0, 1)]
+    assert at("highway", None, "end", False) == [(1, "road", 1, 2), (2, "road", 2, 3), (3, "path", 0, 1)]
+    assert at("x", None, "all", False) == [(1, "1", 0, 0), (1, "1", 1, 1), (1, "1", 2, 2), (5, "2", 0, 0)]
+    assert etl.way_tags_to_nodes(ways, [("x", "2", "end", False), ("x", "1", "end", False)]).count() == 1
+
+
 def test_dump_and_log(spark, tmp_path):
     (tmp_path / "d.sql").write_text("-- x;\nINSERT INTO `t` VALUES (1,'a\\'b (c)',NULL),(2,'',3.5);\n")
     assert [r.fields for r in readers.sql_dump(spark, str(tmp_path / "d.sql")).collect()] == [["1", "a'b (c)", None], ["2", "", "3.5"]]
