@@ -4,9 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+#: Vectors of one block, about.
+BLOCK = 4096
+
 
 def newest(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in ``order``."""
@@ -62,3 +67,52 @@ def best_duplicates(pairs: DataFrame, scores: DataFrame) -> DataFrame:
     other = scores.select(F.col("id").alias("dup"), F.col("score").alias("dup_score"))
     better = pairs.join(scores, "id").join(other, "dup").filter(F.struct("dup_score", "dup") > F.struct("score", "id"))
     return newest(better, ["id"], [F.desc("similarity"), F.desc("dup_score"), F.desc("dup")]).select("id", "dup", "similarity")
+
+
+def _nearest(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> list[pa.RecordBatch]:
+    order = np.argsort(x_ids, kind="stable")
+    x, x_ids, out = x[order], x_ids[order], []
+    for i in range(0, len(q), 256):
+        ids = q_ids[i : i + 256]
+        scores = np.floor(np.clip(q[i : i + 256] @ x.T, 0.0, 1.0) * 1e4 + 0.5) / 1e4
+        scores[ids[:, None] == x_ids[None, :]] = -1.0
+        for _ in range(min(k, len(x))):
+            at = scores.argmax(1)
+            best = scores[np.arange(len(ids)), at]
+            real = best >= 0
+            out.append(pa.record_batch([ids[real], x_ids[at[real]], best[real]], ["id", "other", "similarity"]))
+            scores[np.arange(len(ids)), at] = -1.0
+    return out
+
+
+def nearest_vectors(vectors: DataFrame, key: str, group: str, vector: str, k: int, block: int = BLOCK) -> DataFrame:
+    """id, other, similarity and rank of the ``k`` rows of the same group with the greatest cosine (0 to 1, four digits); ties go to the smaller key.
+
+    A group's rows are dealt by hash into blocks of about ``block`` rows; each unordered pair of blocks is
+    one task's work, and the best of all pairs are merged by a ranked window. Vectors that are null, or hold
+    null or non-finite components, take no part; the cosine with a zero vector is 0.
+    """
+    fine = F.col(vector).isNotNull() & F.forall(vector, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    rows = vectors.filter(F.col(key).isNotNull() & F.col(group).isNotNull() & fine).select(F.col(key).cast("long").alias("id"), F.col(group).alias("g"), F.col(vector).cast("array<double>").alias("v"))
+    large = rows.groupBy("g").agg(F.count("*").alias("_n")).filter(F.col("_n") > block).select("g", F.ceil(F.col("_n") / block).cast("int").alias("blocks"))
+    dealt = rows.join(F.broadcast(large), "g", "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")).withColumn("met", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    pairs = dealt.select("g", F.least("own", "met").alias("lo"), F.greatest("own", "met").alias("hi"), "own", "id", "v")
+
+    def meet(table: pa.Table) -> pa.Table:
+        ids, own = table.column("id").to_numpy(), table.column("own").to_numpy()
+        v = table.column("v").combine_chunks()
+        sizes = np.diff(v.offsets.to_numpy())
+        x = np.zeros((len(ids), max(1, int(sizes.max(initial=0)))))
+        x[np.repeat(np.arange(len(ids)), sizes), np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)] = v.flatten().to_numpy(zero_copy_only=False)
+        norm = np.sqrt((x * x).sum(1, keepdims=True))
+        x /= np.where(norm > 0, norm, 1.0)
+        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        out = []
+        for a, b in {(lo, hi), (hi, lo)}:
+            out += _nearest(x[own == a], ids[own == a], x[own == b], ids[own == b], k)
+        return pa.Table.from_batches(out, pa.schema([("id", pa.int64()), ("other", pa.int64()), ("similarity", pa.float64())]))
+
+    found = pairs.groupBy("g", "lo", "hi").applyInArrow(meet, "id long, other long, similarity double")
+    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))
+    return found.withColumn("rank", rank).filter(F.col("rank") <= k)

@@ -495,14 +495,8 @@ def first_last_compaction(spark, load):
 s AS (SELECT a.vec_id AS id, b.vec_id AS other, round(greatest(0, least(1, list_cosine_similarity(a.e, b.e))), 4) AS similarity FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id)
 SELECT id, other, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, other) AS rank FROM s) WHERE rank <= 2""")
 def knn_embeddings(spark, load):
-    """Two nearest of the same place; a place's first 400 photos are the feature here, as places are small."""
-    e = load("embeddings").filter("vec_id < 400").select("vec_id", "label", F.col("embedding").cast("array<double>").alias("e"))
-    norm = F.sqrt(F.aggregate("e", F.lit(0.0), lambda a, x: a + x * x))
-    unit = e.withColumn("norm", norm).select("vec_id", "label", F.transform("e", lambda x: x / F.col("norm")).alias("e"))
-    other = unit.select("label", F.col("vec_id").alias("other"), F.col("e").alias("f"))
-    dot = F.aggregate(F.zip_with("e", "f", lambda x, y: x * y), F.lit(0.0), lambda a, x: a + x)
-    pairs = unit.join(other, "label").filter("vec_id <> other").select(F.col("vec_id").alias("id"), "other", r(F.greatest(F.lit(0.0), F.least(F.lit(1.0), dot))).alias("similarity"))
-    return pairs.withColumn("rank", F.row_number().over(Window.partitionBy("id").orderBy(F.desc("similarity"), "other"))).filter("rank <= 2")
+    """Two nearest of the same place, over all vectors; the SQL covers the first 400 ids only."""
+    return ranking.nearest_vectors(load("embeddings"), "vec_id", "label", "embedding", 2)
 
 
 @query("SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title FROM pages")

@@ -1,5 +1,6 @@
 from datetime import datetime
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from meridian.functions import columns as C
@@ -105,3 +106,21 @@ def test_stream_equals_batch(spark, tmp_path):
     assert got == events.count()
     last = feeds.run_once(feeds.last_values(stream), "lasts")
     assert last.count() == events.select("user_id").distinct().count()
+
+
+def test_nearest_vectors_over_all_ids(spark):
+    from meridian.plans.queries import QUERIES
+
+    rng = np.random.default_rng(5)
+    rows = [(i, "ab"[i % 2], [round(float(x), 2) for x in rng.normal(size=4)]) for i in range(300, 480)] + [(600, "c", [1.0] * 4), (601, "a", None), (602, "a", [0.0] * 4), (603, None, [1.0] * 4)]
+    vectors = spark.createDataFrame(rows, "vec_id long, label string, embedding array<double>")
+    real = [(i, g, np.array(v)) for i, g, v in rows if g and v]
+    cosine = lambda a, b: np.dot(a, b) / (np.linalg.norm(a) * np.linalg.norm(b) or 1.0)
+    want = set()
+    for i, g, v in real:
+        near = sorted((-round(max(0.0, min(1.0, cosine(v, w))), 4), j) for j, h, w in real if h == g and j != i)[:2]
+        want |= {(i, j, -s, n + 1) for n, (s, j) in enumerate(near)}
+    for block in (4096, 25):
+        assert {tuple(r) for r in ranking.nearest_vectors(vectors, "vec_id", "label", "embedding", 2, block).collect()} == want
+    all_of = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
+    assert QUERIES["knn_embeddings"](spark, "/root/testdata/sf0.1").select("id").distinct().count() == all_of.filter("embedding is not null").select("vec_id").distinct().count()
