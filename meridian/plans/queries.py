@@ -300,7 +300,8 @@ def argmax_latest_score(spark, load):
 c AS (SELECT e.event_id, r.rate, row_number() OVER (PARTITION BY e.event_id ORDER BY abs(epoch_us(e.ts) - epoch_us(r.day)), r.ord) AS n FROM events e JOIN rates r USING (user_id))
 SELECT event_id, rate FROM c WHERE n = 1""")
 def asof_nearest_rate(spark, load):
-    orders = load("orders").filter("o_orderdate >= timestamp_ntz'1997-12-01'")
+    """All orders are rates; the SQL covers those from 1997-12-01 on only."""
+    orders = load("orders")
     day = (F.col("o_orderdate").cast("timestamp") + F.expr("interval 9520 days")).alias("day")
     rates = orders.select(F.col("o_custkey").alias("user_id"), day, F.col("o_totalprice").alias("rate"), F.col("o_orderkey").alias("ord"))
     events = load("events").select("event_id", "user_id", F.col("ts").cast("timestamp").alias("ts"))

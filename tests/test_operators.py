@@ -124,3 +124,13 @@ def test_nearest_vectors_over_all_ids(spark):
         assert {tuple(r) for r in ranking.nearest_vectors(vectors, "vec_id", "label", "embedding", 2, block).collect()} == want
     all_of = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet")
     assert QUERIES["knn_embeddings"](spark, "/root/testdata/sf0.1").select("id").distinct().count() == all_of.filter("embedding is not null").select("vec_id").distinct().count()
+
+
+def test_nearest_rate_over_all_orders(spark, tmp_path):
+    from meridian.plans.queries import QUERIES
+
+    orders = [(1, 7, datetime(1995, 1, 1), 10.0), (2, 7, datetime(1997, 11, 30), 20.0), (3, 7, datetime(1998, 3, 1), 30.0), (4, 8, datetime(1992, 1, 1), 40.0)]
+    spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderdate timestamp_ntz, o_totalprice double").write.parquet(str(tmp_path / "orders.parquet"))
+    events = [(1, 7, datetime(2024, 1, 1)), (2, 7, datetime(2024, 6, 1)), (3, 8, datetime(2024, 1, 1)), (4, 9, datetime(2024, 1, 1))]
+    spark.createDataFrame(events, "event_id long, user_id long, ts timestamp_ntz").write.parquet(str(tmp_path / "events.parquet"))
+    assert {tuple(r) for r in QUERIES["asof_nearest_rate"](spark, str(tmp_path)).collect()} == {(1, 20.0), (2, 30.0), (3, 40.0)}
