@@ -223,6 +223,24 @@ def test_licences(spark):
     assert licences.scan(spark.createDataFrame([], "file_id long, path string, text string")).count() == 0
 
 
+def test_licences_inside_text(spark):
+    def at(text, length):
+        before = prose(4000, 3)[: length // 2].rsplit(" ", 1)[0]
+        line = f"{before} {text} "
+        return line + "x" * (length - len(line))
+
+    texts = []
+    for name, text in licences.TEMPLATES.items():
+        texts += [(name, text), (name, prose(40, 1) + " " + text + " " + prose(40, 2)), (name, at(text, 9_999)), (name, at(text, 10_001)), (name, prose(40, 1) + " " + text.replace(" ", "\n") + "\n" + prose(40, 2))]
+    texts += [(None, prose(40, 1) + " the license of the hall " + prose(40, 2)), (None, "This work is licensed under the terms of the agreement that was made"), ("MIT", "a\nMIT License\n" + prose(100, 1))]
+    rows = [(i, f"f{i}/{i}", text) for i, (_, text) in enumerate(texts)]
+    schema = "file_id long, path string, text string"
+    got = {r.file_id: r.licence for r in licences.scan(spark.createDataFrame(rows, schema)).collect()}
+    assert [got[i] for i in range(len(texts))] == [name for name, _ in texts]
+    rows = [(1, "LICENSE", "Released under the MIT License."), (2, "a/b/c.txt", "text"), (3, "/d/e.txt", "text"), (4, "f.txt", "text")]
+    assert {r.file_id: (r.licence, r.origin) for r in licences.scan(spark.createDataFrame(rows, schema)).collect()} == {1: ("MIT", "own"), 2: ("MIT", ""), 3: ("MIT", ""), 4: ("MIT", "")}
+
+
 def test_html(spark):
     page = "<html><head><title>t</title></head><body><p>One <b>two</b><p>three<ul><li>x<li>y<ul><li>z</ul></ul><table><tr><td>a<td>bb<tr><td>ccc<td>d</table><div style='display: none'>no</div><span hidden>no</span><pre>k\n  l</pre>&amp; end<script>no</script>"
     assert html.render(page) == "One two\n\nthree\n\n- x\n- y\n  - z\n\na    bb\nccc  d\n\nk\n  l\n\n& end"
