@@ -54,9 +54,9 @@ def merged_buckets(histogram: Sequence[tuple[int, int]], most: int) -> list[tupl
 
 
 def bucket_ranks(counts: DataFrame, user: str, count: str, buckets: Sequence[tuple[int, int, int]]) -> DataFrame:
-    """user, count and rank (1 for the highest bucket) by range join with a bounded bucket table."""
-    table = counts.sparkSession.createDataFrame([(k + 1, lo, hi) for k, (lo, hi, _) in enumerate(buckets)], "rank int, least long, most long")
-    return counts.join(F.broadcast(table), F.col(count).between(F.col("least"), F.col("most"))).select(user, count, "rank")
+    """user, count and rank (1 for the highest bucket, which has no upper end) by range join with a bounded bucket table."""
+    table = counts.sparkSession.createDataFrame([(k + 1, lo, hi if k else None) for k, (lo, hi, _) in enumerate(buckets)], "rank int, least long, most long")
+    return counts.join(F.broadcast(table), (F.col(count) >= F.col("least")) & (F.col("most").isNull() | (F.col(count) <= F.col("most")))).select(user, count, "rank")
 
 
 def best_duplicates(pairs: DataFrame, scores: DataFrame) -> DataFrame:

@@ -134,3 +134,10 @@ def test_nearest_rate_over_all_orders(spark, tmp_path):
     events = [(1, 7, datetime(2024, 1, 1)), (2, 7, datetime(2024, 6, 1)), (3, 8, datetime(2024, 1, 1)), (4, 9, datetime(2024, 1, 1))]
     spark.createDataFrame(events, "event_id long, user_id long, ts timestamp_ntz").write.parquet(str(tmp_path / "events.parquet"))
     assert {tuple(r) for r in QUERIES["asof_nearest_rate"](spark, str(tmp_path)).collect()} == {(1, 20.0), (2, 30.0), (3, 40.0)}
+
+
+def test_top_bucket_has_no_end(spark):
+    counts = spark.createDataFrame([(1, 10_000), (2, 10_001), (3, 5_000_000), (4, 19), (5, 1)], "u long, n long")
+    from meridian.plans.queries import BUCKETS
+
+    assert {(r.u, r["rank"]) for r in ranking.bucket_ranks(counts, "u", "n", BUCKETS).collect()} == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 5)}
