@@ -419,9 +419,7 @@ def weekly_distinct_pivot(spark, load):
 q AS (SELECT event_type, x, n, p, p * (n + 1) / 100.0 AS pos FROM s, (VALUES (5.0), (50.0), (95.0)) v(p))
 SELECT event_type, CAST(p AS INTEGER) AS p, round(CASE WHEN pos < 1 THEN x[1] WHEN pos >= n THEN x[n] ELSE x[CAST(floor(pos) AS BIGINT)] + (pos - floor(pos)) * (x[CAST(floor(pos) AS BIGINT) + 1] - x[CAST(floor(pos) AS BIGINT)]) END, 4) AS value FROM q""")
 def legacy_percentile(spark, load):
-    ordered = load("events").groupBy("event_type").agg(F.sort_array(F.collect_list("value")).alias("x"))
-    each = F.explode(F.array(*(F.struct(F.lit(p).alias("p"), r(C.rank_percentile(F.col("x"), float(p))).alias("value")) for p in (5, 50, 95))))
-    return ordered.select("event_type", each.alias("s")).select("event_type", "s.p", "s.value")
+    return ranking.rank_percentiles(load("events"), "event_type", "value", (5, 50, 95)).withColumn("value", r(F.col("value")))
 
 
 @query("""WITH f AS (SELECT user_id, event_type, min(ts) AS t FROM events GROUP BY 1, 2), u AS (SELECT event_type, count(*) AS n FROM f GROUP BY 1)

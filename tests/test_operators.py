@@ -141,3 +141,20 @@ def test_top_bucket_has_no_end(spark):
     from meridian.plans.queries import BUCKETS
 
     assert {(r.u, r["rank"]) for r in ranking.bucket_ranks(counts, "u", "n", BUCKETS).collect()} == {(1, 1), (2, 1), (3, 1), (4, 2), (5, 5)}
+
+
+def test_rank_percentiles_collect_no_group(spark):
+    from meridian.plans.queries import QUERIES
+
+    rng = np.random.default_rng(3)
+    groups = {"a": rng.normal(size=3000).tolist(), "b": [2.0] * 500 + [1.0, 3.0], "c": [7.0], None: [1.0, 4.0], "d": []}
+    rows = [(g, x) for g, values in groups.items() for x in [*values, None]]
+    got = {(r.g, r.p): r.v for r in ranking.rank_percentiles(spark.createDataFrame(rows, "g string, v double"), "g", "v", (5, 50, 95)).collect()}
+    for g, values in groups.items():
+        x = spark.createDataFrame([(sorted(values),)], "x array<double>")
+        for p in (5, 50, 95):
+            want = x.select(C.rank_percentile(F.col("x"), float(p))).first()[0]
+            assert got[g, p] == want or abs(got[g, p] - want) < 1e-9
+    assert len(got) == 15
+    plan = QUERIES["legacy_percentile"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list(value" not in plan
