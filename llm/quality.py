@@ -2,13 +2,15 @@
 
 For each document: base counts over its words (runs of anything but ASCII white space), and the hashes
 of its normalised lines (ASCII case folded, digits as 0, white space collapsed; lines without a word do
-not count). For each host the number of different texts that hold a line is counted over the whole
-corpus; lines over ``LINE_LIMIT`` are removed, and a document is rejected when less than
-``LEAST_SHARE`` of its words remain, or when it fails a base rule. Equal texts count once for a line, so
-plain copies do not turn each other into boilerplate.
+not count). For each host the documents that hold a line are counted over the whole corpus. A line is over
+the limit when more than ``LINE_SHARE`` of the host's documents hold it, and more than ``LINE_FLOOR`` do; so
+the limit follows the size of the host. Lines over it are removed. A document is depleted, and rejected,
+when less than ``LEAST_SHARE`` of its words or fewer than ``LEAST_WORDS`` words remain; a document that fails
+a base rule is rejected, too. Rows count as documents: exact copies on one host make their lines frequent.
 
 Defined cases: a null text is the empty text (0 words, base rules fail, not kept); a null host is a host
-of its own; repeated rows are judged one by one and equally; other columns of the input are not read.
+of its own; repeated rows are judged one by one and equally; an empty table gives no rows; other columns of
+the input are not read, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,8 +23,9 @@ from pyspark.sql import functions as F
 from llm import arrays as A
 from llm.tables import per_batch, saved
 
-LINE_LIMIT = 64
-LEAST_SHARE = 0.3
+LINE_SHARE = 0.05
+LINE_FLOOR = 3
+LEAST_SHARE = 0.5
 LEAST_WORDS = 20
 MOST_REPEATED = 30
 WINDOW = 8
@@ -89,19 +92,22 @@ def _measured(batch: pa.RecordBatch):
         cut = pa.array(np.searchsorted(lines["row"], np.arange(j - i + 1)), pa.int32())
         yield {
             "doc_id": batch.column("doc_id").slice(i, j - i), "host": batch.column("host").slice(i, j - i),
-            "content": A.hashes(part, off[:-1], off[1:]).view(np.int64), **{k: counts[k] for k in STATS},
+            **{k: counts[k] for k in STATS},
             "lines": pa.ListArray.from_arrays(cut, pa.array(lines["hash"])), "line_words": pa.ListArray.from_arrays(cut, pa.array(lines["words"])),
         }
 
 
-def judge(documents: DataFrame, host: str = "source", line_limit: int = LINE_LIMIT, least_share: float = LEAST_SHARE) -> DataFrame:
+def judge(documents: DataFrame, host: str = "source", line_share: float = LINE_SHARE, line_floor: int = LINE_FLOOR, least_share: float = LEAST_SHARE) -> DataFrame:
     """doc_id, the counts, removed_words, base_failed and kept of every row."""
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(host).cast("string").alias("host"), "text")
-    schema = "doc_id long, host string, content long, " + ", ".join(f"{k} long" for k in STATS) + ", lines array<long>, line_words array<long>"
+    schema = "doc_id long, host string, " + ", ".join(f"{k} long" for k in STATS) + ", lines array<long>, line_words array<long>"
     measured = saved(per_batch(rows, schema, _measured).withColumn("row_key", F.monotonically_increasing_id()))
     host_key = F.coalesce(F.concat(F.lit("="), "host"), F.lit("null")).alias("host")
-    lines = measured.select("row_key", host_key, "content", F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select("row_key", "host", "content", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
-    common = lines.groupBy("host", "line", "content").agg(F.lit(1).alias("one")).groupBy("host", "line").agg(F.count("*").alias("texts")).filter(F.col("texts") > line_limit)
+    lines = measured.select("row_key", host_key, F.explode(F.arrays_zip("lines", "line_words")).alias("x")).select("row_key", "host", F.col("x.lines").alias("line"), F.col("x.line_words").alias("words"))
+    hosts = measured.groupBy(host_key).agg(F.greatest(F.count("*") * F.lit(float(line_share)), F.lit(float(line_floor))).alias("limit"))
+    # a line's documents are counted before its host's limit is looked up, so a large host is not gathered anywhere
+    held = lines.groupBy("host", "line").agg(F.count("*").alias("documents")).filter(F.col("documents") > line_floor)
+    common = held.join(hosts, "host").filter(F.col("documents") > F.col("limit"))
     salted = common.select("host", "line", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
     removed = (
         lines.withColumn("salt", F.pmod(F.xxhash64("row_key"), F.lit(SALTS)).cast("int"))
@@ -112,6 +118,6 @@ def judge(documents: DataFrame, host: str = "source", line_limit: int = LINE_LIM
     return (
         measured.select("row_key", "doc_id", *STATS).join(removed, "row_key", "left")
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)).cast("long")).withColumn("base_failed", failed)
-        .withColumn("kept", ~F.col("base_failed") & (left >= least_share * F.col("n_words")))
+        .withColumn("kept", ~F.col("base_failed") & (left >= least_share * F.col("n_words")) & (left >= LEAST_WORDS))
         .select("doc_id", *STATS, "base_failed", "kept", "removed_words")
     )
