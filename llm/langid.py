@@ -3,10 +3,13 @@
 A text is the TF-IDF vector of its hashed byte 2-, 3- and 4-grams (ASCII case folded, everything in
 ASCII but letters as one blank), with length 1. Each language has up to ``CENTROIDS`` centroids, found
 by spherical k-means over its sample. The nearest centroid by cosine names the language and the cosine
-is the score. A text farther from its centroid than that centroid's radius (SLACK) is rejected.
+is the score. A text farther from its centroid than the language's radius for texts of its length is
+rejected: radii are low quantiles (``QUANTILE``) of the cosines of sampled texts and of stretches cut out of
+them, by the power of two below their number of n-grams, as short texts have lower cosines than long ones.
 
 Learning takes about ``SAMPLE`` documents of each language, chosen by a hash of the id among those that
-are not held out; that is the documented bound for fitting. Prediction covers every whole text.
+are not held out; that is the documented bound for fitting. One in ``CUT_EVERY`` of them gives stretches for the
+radii. Prediction covers every whole text.
 
 Defined cases: a null text and a text without a letter are ``und`` with score 0, and rejected; ties of
 centroids go to the first language by name; repeated rows get equal results; when nothing can be learnt
@@ -28,8 +31,11 @@ SIZE = 1 << 13
 SAMPLE = 800
 CENTROIDS = 4
 ROUNDS = 12
-#: The radius of a language's centroids: this share of the cosine that its sample's lowest hundredth has.
-SLACK = 0.4
+#: The radius of a language at a length: this quantile of its sample's cosines there, less a tenth of it.
+QUANTILE, SLACK = 0.01, 0.9
+CUT_EVERY = 4
+#: Lengths are powers of two of the number of n-grams; buckets with fewer cosines than LEAST_SEEN take the next shorter one's radius.
+LENGTHS, LEAST_SEEN = 24, 25
 UNKNOWN = "und"
 _FOLD = A.LOWER.copy()
 _FOLD[[b for b in range(128) if not chr(b).isalpha()]] = 32
@@ -57,16 +63,25 @@ def vectors(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     return total.reshape(n, SIZE)
 
 
+def bucket_of(counts: np.ndarray) -> np.ndarray:
+    """The power of two below each row's number of n-grams."""
+    return np.minimum(np.log2(np.maximum(counts.sum(1), 1)).astype(np.int64), LENGTHS - 1)
+
+
 class Centroids:
+    """``radius``: by centroid and bucket of lengths."""
+
     def __init__(self, idf: np.ndarray, languages: list[str], centroids: np.ndarray, radius: np.ndarray):
         self.idf, self.languages, self.centroids, self.radius = idf, languages, centroids, radius
 
-    def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(centroid, cosine) by row."""
+    def nearest(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(centroid, cosine, whether it is too far) by row."""
+        bucket = bucket_of(counts)
         x = np.log1p(counts) * self.idf
         cosine = (x @ self.centroids.T) / np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
         best = np.argmax(cosine, 1)
-        return best, np.clip(cosine[np.arange(len(x)), best], 0, 1).astype(np.float64)
+        top = np.clip(cosine[np.arange(len(x)), best], 0, 1).astype(np.float64)
+        return best, top, top < self.radius[best, bucket]
 
 
 def _k_means(x: np.ndarray, k: int) -> np.ndarray:
@@ -87,25 +102,51 @@ def _dense(sparse: list[bytes]) -> np.ndarray:
     return counts
 
 
-def train(sparse: list[bytes], langs: list[str]) -> Centroids:
-    """``sparse``: buckets, then counts, of each sampled text. Only one language's texts are dense at a time."""
+def _radii(cosines: np.ndarray, buckets: np.ndarray) -> np.ndarray:
+    out = np.zeros(LENGTHS)
+    for k in range(LENGTHS):
+        seen = cosines[buckets == k]
+        out[k] = SLACK * np.quantile(seen, QUANTILE) if len(seen) >= LEAST_SEEN else out[k - 1] if k else 0
+    return out
+
+
+def train(sparse: list[bytes], langs: list[str], cut: list[bool] | None = None) -> Centroids:
+    """``sparse``: buckets, then counts, of each sampled text, or of a stretch of one where ``cut`` says so.
+
+    Only one language's texts are dense at a time, and its stretches in small blocks.
+    """
+    cut = cut or [False] * len(sparse)
+    whole = [raw for raw, c in zip(sparse, cut) if not c]
     holding = np.zeros(SIZE, np.int64)
-    for raw in sparse:
+    for raw in whole:
         both = np.frombuffer(raw, np.uint16)
         holding[both[: len(both) // 2]] += 1
-    idf = (np.log((1 + len(sparse)) / (1 + holding)) + 1).astype(np.float32)
+    idf = (np.log((1 + len(whole)) / (1 + holding)) + 1).astype(np.float32)
+
+    def unit(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        x = _dense(rows)
+        bucket = bucket_of(x)
+        np.log1p(x, out=x)
+        x *= idf
+        x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+        return x, bucket
+
     names, parts, radius = [], [], []
-    for name in sorted(set(langs)):
-        own = _dense([raw for raw, lang in zip(sparse, langs) if lang == name])
-        np.log1p(own, out=own)
-        own *= idf
-        own /= np.maximum(np.linalg.norm(own, axis=1, keepdims=True), 1e-9)
+    for name in sorted({lang for lang, c in zip(langs, cut) if not c}):
+        own, bucket = unit([raw for raw, lang, c in zip(sparse, langs, cut) if lang == name and not c])
         c = _k_means(own, CENTROIDS)
+        cosines, buckets = [(own @ c.T).max(1)], [bucket]
+        del own
+        stretches = [raw for raw, lang, x in zip(sparse, langs, cut) if lang == name and x]
+        for i in range(0, len(stretches), 256):
+            x, bucket = unit(stretches[i : i + 256])
+            cosines.append((x @ c.T).max(1))
+            buckets.append(bucket)
         names += [name] * len(c)
-        radius += [SLACK * float(np.quantile((own @ c.T).max(1), 0.01))] * len(c)
+        radius += [_radii(np.concatenate(cosines), np.concatenate(buckets))] * len(c)
         parts.append(c)
     centroids = np.concatenate(parts) if parts else np.zeros((0, SIZE), np.float32)
-    return Centroids(idf, names, centroids.astype(np.float32), np.array(radius))
+    return Centroids(idf, names, centroids.astype(np.float32), np.array(radius).reshape(-1, LENGTHS))
 
 
 def _slices(data: np.ndarray, offsets: np.ndarray):
@@ -116,15 +157,28 @@ def _slices(data: np.ndarray, offsets: np.ndarray):
             yield k, m, data[offsets[k] : offsets[m]], offsets[k : m + 1] - offsets[k]
 
 
+def _sparse(counts: np.ndarray) -> bytes:
+    at = np.flatnonzero(counts)
+    return at.astype(np.uint16).tobytes() + np.minimum(counts[at], 65535).astype(np.uint16).tobytes()
+
+
 def _pairs(batch: pa.RecordBatch):
-    """Non-zero counts of sampled texts as bytes: buckets, then counts."""
+    """Non-zero counts of sampled texts as bytes: buckets, then counts; and of stretches of some of them, one of
+    each power of two of bytes, from the middle."""
     data, offsets = A.buffer(batch.column("text"))
+    langs, ids = batch.column("lang"), batch.column("key").to_numpy()
     for i, j, part, off in _slices(data, offsets):
-        out = []
-        for row in vectors(part, off):
-            at = np.flatnonzero(row)
-            out.append(at.astype(np.uint16).tobytes() + np.minimum(row[at], 65535).astype(np.uint16).tobytes())
-        yield {"lang": batch.column("lang").slice(i, j - i), "counts": pa.array(out, pa.binary())}
+        rows = [_sparse(row) for row in vectors(part, off)]
+        names, cut = langs.slice(i, j - i).to_pylist(), [False] * (j - i)
+        for k in np.flatnonzero(ids[i:j] % CUT_EVERY == 0):
+            text = part[off[k] : off[k + 1]]
+            sizes = [1 << p for p in range(3, 14) if 2 << p <= len(text)]
+            pieces = [text[(len(text) - n) // 2 : (len(text) + n) // 2] for n in sizes]
+            if pieces:
+                rows += [_sparse(row) for row in vectors(np.concatenate(pieces), np.cumsum([0, *map(len, pieces)]))]
+                names += [names[k]] * len(pieces)
+                cut += [True] * len(pieces)
+        yield {"lang": pa.array(names, pa.string()), "counts": pa.array(rows, pa.binary()), "cut": pa.array(cut)}
 
 
 def fit(documents: DataFrame, sample: int = SAMPLE) -> Centroids:
@@ -133,9 +187,9 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Centroids:
     per_language = known.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     share = F.broadcast(per_language.select("lang", (F.lit(float(sample)) / F.col("n")).alias("share")))
-    rows = per_batch(known.join(share, "lang").filter(place < F.col("share")).select("lang", "text"), "lang string, counts binary", _pairs).toPandas()
-    rows = rows.sort_values(["lang", "counts"]) if len(rows) else rows
-    return train(list(rows["counts"]), list(rows["lang"]))
+    chosen = known.join(share, "lang").filter(place < F.col("share")).select(F.col("lang").cast("string"), "text", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)).alias("key"))
+    rows = per_batch(chosen, "lang string, counts binary, cut boolean", _pairs).toArrow().sort_by([("lang", "ascending"), ("cut", "ascending"), ("counts", "ascending")])
+    return train(rows.column("counts").to_pylist(), rows.column("lang").to_pylist(), rows.column("cut").to_pylist())
 
 
 def has_letter(text: Column) -> Column:
@@ -148,8 +202,8 @@ def _predict(data: np.ndarray, offsets: np.ndarray, letter: np.ndarray, model: C
     if model.languages:
         names = np.array(model.languages, object)
         for i, j, part, off in _slices(data, offsets):
-            best, cosine = model.nearest(vectors(part, off))
-            pred[i:j], score[i:j], far[i:j] = names[best], cosine, cosine < model.radius[best]
+            best, score[i:j], far[i:j] = model.nearest(vectors(part, off))
+            pred[i:j] = names[best]
     pred[~letter], score[~letter], far[~letter] = UNKNOWN, 0, True
     return pred, score, far
 
@@ -178,4 +232,4 @@ def without_rejected(documents: DataFrame, model: Centroids) -> DataFrame:
                 _, _, far = _predict(data, offsets, batch.column(columns).to_numpy(zero_copy_only=False), shipped.value)
                 yield batch.filter(pc.invert(pa.array(far))).select(range(columns))
 
-    return documents.withColumn("_letter", has_letter(F.col("text"))).mapInArrow(kept, documents.schema)
+    return documents.select("*", has_letter(F.col("text")).alias("_letter")).mapInArrow(kept, documents.schema)
