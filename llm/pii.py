@@ -1,25 +1,34 @@
 """Personal data by patterns, checksums and context, in DataFrame functions only.
 
 Patterns propose spans, validators confirm them (parts of an address at most 255, Luhn, digit counts,
-mod 97), and words near a span adjust its score. The base kinds (email, ip, card, phone) are kept
-whenever they are valid, whatever their score; the added kinds (iban, ssn) need a score of ``LEAST``: a
-bank account number is confirmed by mod 97, a social security number by a word in the 40 characters
-before it. The patterns use possessive quantifiers and look at each run of characters once, so they are
-linear in the text; they find exactly what the plain greedy patterns find.
-
-Defined cases: a null text is the empty text and has no spans; spans of one kind do not overlap, spans
-of different kinds may; offsets count code points, end exclusive; repeated rows are treated one by one.
+mod 97), and words within ``CONTEXT`` characters before or after a span adjust its score: words of its kind
+raise it, words of trade numbers (``COUNTER``) lower it. The base kinds (email, ip, card, phone) are kept
+whenever they are valid, whatever their score; the added kinds (iban, ssn) need a score of ``LEAST``: a bank
+account number has it unless counter words stand near it, a social security number only beside a word of
+its kind. All of it is one projection over each row; nothing is shuffled. The patterns use possessive
+quantifiers and look at each run of characters once, so they are linear in the text; they find exactly what
+the plain greedy patterns find. Offsets are running sums in two levels, and stretches of a text are taken
+from blocks of it, so many spans in a long text stay cheap.
+
+Defined cases: a null text is the empty text and has no spans (and stays null when masked); spans of one kind
+do not overlap, spans of different kinds may; offsets count code points, end exclusive; ties in start go by
+the order of kinds; repeated rows are treated one by one; an empty table gives no rows; columns other than
+doc_id, text and, for masking, n_chars are not touched, whatever their names.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
-from pyspark.sql import functions as F
+from collections.abc import Callable
 
-from llm.tables import saved
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 CONTEXT = 40
 LEAST = 0.5
+STEP = 0.3
+COUNTER = "order|invoice|isbn|serial|sku|version|tracking|part"
+#: Code points of a block of text, and values of a block of running sums.
+BLOCK, RUN = 4096, 128
 #: kind, pattern, cheap condition that any text with a match meets, start score, context words.
 KINDS = (
     ("email", r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++", "@", 0.9, "mail|contact|write|schreib|correo"),
@@ -62,72 +71,105 @@ def _may_hold(kind: str, needs: str, text: Column) -> Column:
     return cheap if kind == "email" else cheap & text.rlike("[0-9]")
 
 
-def spans(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(rows, spans): every row with a row_key; row_key, kind, no, start, end, value, score of each confirmed span."""
-    text, none = F.col("text"), F.array().cast("array<struct<before:int,near:string,value:string>>")
-    found = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    columns = []
-    for kind, pattern, needs, _, _ in KINDS:
-        parts = F.transform(F.split(text, pattern, -1), lambda x: F.struct(F.length(x).alias("before"), F.lower(F.right(x, F.lit(CONTEXT))).alias("near")))
-        zipped = F.zip_with(parts, F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), lambda p, v: F.struct(p["before"].alias("before"), p["near"].alias("near"), v.alias("value")))
-        columns.append(F.when(_may_hold(kind, needs, text) & text.rlike(pattern), F.filter(zipped, lambda x: x["value"].isNotNull())).otherwise(none).alias(kind))
-    rows = saved(found.select("doc_id", *columns).withColumn("row_key", F.monotonically_increasing_id()))
-
-    kinds = F.array(*(F.struct(F.lit(k).alias("no"), F.col(kind).alias("matches")) for k, (kind, *_) in enumerate(KINDS)))
-    each = rows.select("row_key", F.explode(F.filter(kinds, lambda x: F.size(x["matches"]) > 0)).alias("k")).select("row_key", F.col("k.no").alias("no"), F.posexplode("k.matches").alias("at", "m"))
-    upto = Window.partitionBy("row_key", "no").orderBy("at").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    placed = each.select("row_key", "no", F.col("m.near").alias("near"), F.col("m.value").alias("value"), F.sum(F.col("m.before") + F.length("m.value")).over(upto).cast("long").alias("end"))
-    ok, score, name = F.lit(False), F.lit(0.0), F.lit("")
-    for k, (kind, _, _, start, words) in enumerate(KINDS):
-        mine = F.col("no") == k
-        ok = F.when(mine, valid(kind, F.col("value"))).otherwise(ok)
-        score = F.when(mine, F.lit(start) + F.when(F.col("near").rlike(rf"\b(?:{words})"), 0.3).otherwise(0.0)).otherwise(score)
-        name = F.when(mine, F.lit(kind)).otherwise(name)
-    placed = placed.withColumn("score", F.least(score, F.lit(1.0))).withColumn("kind", name).filter(ok & ((F.col("no") < len(BASE)) | (F.col("score") >= LEAST)))
-    return rows.select("row_key", "doc_id"), placed.select("row_key", "kind", "no", (F.col("end") - F.length("value")).alias("start"), "end", "value", "score")
-
-
-def _joined(base_only: bool) -> Column:
-    all_ = F.array_sort(F.collect_list(F.when(F.col("no") < len(BASE), F.struct("start", "no", "kind", "end")) if base_only else F.struct("start", "no", "kind", "end")))
-    return F.array_join(F.transform(all_, lambda x: F.concat_ws(":", x["kind"], x["start"].cast("string"), x["end"].cast("string"))), ",")
+def _let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)``, where the value is computed once however often ``f`` uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def _running(values: Column, op: Callable[[Column, Column], Column]) -> Column:
+    """The fold of each element and those before it, from 0; in blocks, as an array grows by copying."""
+    grow = lambda acc, v: F.concat(acc, F.array(op(F.element_at(acc, -1), v)))
+    zero = F.lit(0)
+
+    def blocks(x: Column) -> Column:
+        last = F.floor(F.greatest(F.size(x) - 1, zero) / RUN).cast("int")
+        return F.transform(F.sequence(zero, last), lambda b: F.slice(x, b * RUN + 1, RUN))
+
+    def joined(bs: Column) -> Column:
+        starts = F.aggregate(F.transform(bs, lambda b: F.aggregate(b, zero, op)), F.array(zero), grow)
+        return _let(starts, lambda s: F.flatten(F.zip_with(bs, F.slice(s, 1, F.size(bs)), lambda b, at: F.slice(F.aggregate(b, F.array(at), grow), 2, RUN))))
+
+    return _let(values, lambda x: _let(blocks(x), joined))
+
+
+def _stretch(blocks: Column, start: Column, length: Column) -> Column:
+    """Code points of a text that is given in blocks; empty where the length isn't positive."""
+    first = F.floor(start / BLOCK).cast("int")
+    many = F.floor((start + length - 1) / BLOCK).cast("int") - first + 1
+    inside = F.substring(F.array_join(F.slice(blocks, first + 1, F.greatest(many, F.lit(0))), ""), start % BLOCK + 1, length)
+    return F.when(length > 0, inside).otherwise("")
+
+
+def _in_blocks(text: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), F.floor(F.length(text) / BLOCK).cast("int")), lambda b: F.substring(text, b * BLOCK + 1, F.lit(BLOCK)))
+
+
+_SPAN = "array<struct<start:int,no:int,kind:string,end:int,score:double>>"
+
+
+def _spans_of(no: int, text: Column, blocks: Column) -> Column:
+    kind, pattern, needs, start_score, words = KINDS[no]
+
+    def described(v: Column, end: Column) -> Column:
+        start = end - F.length(v)
+        before = F.lower(_stretch(blocks, F.greatest(start - CONTEXT, F.lit(0)), F.least(start, F.lit(CONTEXT))))
+        near = F.concat(before, F.lit(" # "), F.lower(_stretch(blocks, end, F.lit(CONTEXT))))
+        step = F.when(near.rlike(rf"\b(?:{words})"), STEP).otherwise(0.0) - F.when(near.rlike(rf"\b(?:{COUNTER})\b"), STEP).otherwise(0.0)
+        score = F.round(F.least(F.greatest(start_score + step, F.lit(0.0)), F.lit(1.0)), 2)
+        return F.struct(start.alias("start"), F.lit(no).alias("no"), F.lit(kind).alias("kind"), end.alias("end"), score.alias("score"), valid(kind, v).alias("ok"))
+
+    def placed(both: Column) -> Column:
+        steps = F.zip_with(both["parts"], both["values"], lambda p, v: F.length(p) + F.coalesce(F.length(v), F.lit(0)))
+        ends = _running(steps, lambda a, x: a + x)
+        found = F.zip_with(both["values"], F.slice(ends, 1, F.size(both["values"])), described)
+        sure = F.filter(found, lambda x: x["ok"] & (F.lit(kind in BASE) | (x["score"] >= LEAST)))
+        return F.transform(sure, lambda x: F.struct(*(x[c].alias(c) for c in ("start", "no", "kind", "end", "score"))))
+
+    both = F.struct(F.split(text, pattern, -1).alias("parts"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
+    return F.when(_may_hold(kind, needs, text) & text.rlike(pattern), _let(both, placed)).otherwise(F.array().cast(_SPAN))
+
+
+def spans(text: Column) -> Column:
+    """Confirmed spans of a text, by start and kind: array of (start, no, kind, end, score)."""
+    text = F.coalesce(text, F.lit(""))
+    found = _let(_in_blocks(text), lambda blocks: F.array_sort(F.flatten(F.array(*(_spans_of(no, text, blocks) for no in range(len(KINDS)))))))
+    return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(_SPAN))
+
+
+def _joined(found: Column, *more: str) -> Column:
+    return F.array_join(F.transform(found, lambda x: F.concat_ws(":", *(x[c].cast("string") for c in ("kind", "start", "end", *more)))), ",")
 
 
 def report(documents: DataFrame) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256 and spans of every row."""
-    rows, found = spans(documents)
-    by_row = found.groupBy("row_key").agg(
-        *(F.count_if(F.col("kind") == kind).alias(f"n_{kind}") for kind in BASE), _joined(True).alias("base"), _joined(False).alias("spans")
-    )
-    empty = F.lit("")
-    return rows.join(by_row, "row_key", "left").select(
-        "doc_id", *(F.coalesce(f"n_{kind}", F.lit(0)).cast("long").alias(f"n_{kind}") for kind in BASE),
-        F.sha2(F.coalesce("base", empty), 256).alias("base_sha256"), F.coalesce("spans", empty).alias("spans"),
-    )
+    """doc_id, counts of the base kinds, base_sha256, spans, and the spans with their scores, of every row."""
+    found = documents.select(F.col("doc_id").cast("long").alias("doc_id"), spans(F.col("text")).alias("found"))
+    base = F.filter("found", lambda x: x["no"] < len(BASE))
+    of_kind = lambda kind: F.filter("found", lambda x: x["kind"] == kind)
+    counts = (F.size(of_kind(kind)).cast("long").alias(f"n_{kind}") for kind in BASE)
+    return found.select("doc_id", *counts, F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("found")).alias("spans"), _joined(F.col("found"), "score").alias("scores"))
 
 
-def _shown(kind: str, start: float, words: str):
-    """What stands before a match, and the match or its mask."""
+def masked_text(text: Column) -> Column:
+    """``text`` with its spans replaced by their kinds in brackets; what several spans cover gets the first one's kind."""
 
-    def shown(before: Column, value: Column) -> Column:
-        near = F.lower(F.right(before, F.lit(CONTEXT))).rlike(rf"\b(?:{words})")
-        sure = valid(kind, value) if kind in BASE or start >= LEAST else valid(kind, value) & near
-        return F.concat(before, F.when(value.isNull(), "").when(sure, f"[{kind.upper()}]").otherwise(value))
+    def masked(both: Column) -> Column:
+        found, blocks = both["found"], both["blocks"]
 
-    return shown
+        def pieces(covered: Column) -> Column:
+            before = F.slice(F.concat(F.array(F.lit(0)), covered), 1, F.size(found))
+            shown = F.zip_with(found, before, lambda x, at: F.when(x["start"] >= at, F.concat(_stretch(blocks, at, x["start"] - at), F.lit("["), F.upper(x["kind"]), F.lit("]"))).otherwise(""))
+            end = F.element_at(covered, -1)
+            return F.concat(F.array_join(shown, ""), _stretch(blocks, end, F.length(text) - end))
 
+        return _let(_running(F.transform(found, lambda x: x["end"]), lambda a, x: F.greatest(a, x)), pieces)
 
-def masked(documents: DataFrame) -> DataFrame:
-    """The documents with each confirmed span replaced by its kind in brackets; n_chars follows the text.
+    shown = _let(spans(text), lambda found: F.when(F.size(found) > 0, _let(F.struct(found.alias("found"), _in_blocks(text).alias("blocks")), masked)).otherwise(text))
+    return F.when(text.isNotNull(), shown)
 
-    Kinds are masked one after another, base kinds first, each on the text that the one before left.
-    """
-    out = documents
-    for kind, pattern, needs, start, words in KINDS:
-        text = F.col("text")
-        parts, values = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
-        may = _may_hold(kind, needs, text)
-        out = out.withColumn("text", F.when(may & text.rlike(pattern), F.array_join(F.zip_with(parts, values, _shown(kind, start, words)), "")).otherwise(text))
+def masked(documents: DataFrame) -> DataFrame:
+    """The documents with the spans of each text masked; n_chars follows the text."""
+    out = documents.withColumn("text", masked_text(F.col("text")))
     if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")).cast(documents.schema["n_chars"].dataType))
     return out
