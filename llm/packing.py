@@ -8,11 +8,13 @@ rest. Full pieces are sequences of their own.
 Packing: pieces are dealt by hash into blocks of about ``BLOCK`` pieces. In a block best-fit decreasing
 makes bins; then local search takes the least filled bin and moves its pieces into gaps, or exchanges one
 of them for a shorter one, or two of them for a single shorter one, of an underfull bin that is at least
-as full. Each step raises the sum of squared fills. It ends when no step helps. Bins that stay underfull
-are dealt again, all blocks' together, until one block holds them or a round saves no bin.
+as full. Each step raises the sum of squared fills. The underfull bins are gone through again and again; the
+search ends when no step helps for any of them, or when the block has as few bins as its lengths need. Bins
+that stay underfull are dealt again, all blocks' together, until one block holds them or a round saves no bin.
 
-Defined cases: a null text is the empty text, whose only id is 0; repeated rows are packed one by one;
-an empty table gives no sequences. Only doc_id and text are read.
+Defined cases: a null text is the empty text, whose only id is 0; repeated rows, equal ids and null ids are
+packed row by row, dealt by a key of the row; pieces of equal length go by id, piece and row; an empty table
+gives no sequences. Only doc_id and text are read.
 """
 
 from __future__ import annotations
@@ -97,9 +99,26 @@ def segmenter(path: str):
     return segment
 
 
+#: A text with each place at which ``cut`` cuts, and places at which it doesn't.
+PROBE = "One, two; three. four\nfive\n\nsix  seven 8 nine's é. à! (ten) don't\tx \u00a0y ... z9 A-b c_d ÷ × zwölf,dreizehn"
+
+
+def check_tokenizer(path: str) -> None:
+    """Raises where a tokenizer's ids of a text aren't those of the chunks that ``cut`` makes of it."""
+    from tokenizers import Tokenizer
+
+    data = np.frombuffer(PROBE.encode(), np.uint8)
+    starts = cut(data, np.array([0, len(data)]))
+    chunks = [data[a:b].tobytes() for a, b in zip(starts, np.append(starts[1:], len(data)))]
+    ids = [i for raw in segmenter(path)(chunks) for i in np.frombuffer(raw, np.uint32)]
+    if ids != Tokenizer.from_file(path).encode(PROBE, add_special_tokens=False).ids:
+        raise ValueError("this tokenizer has tokens over the places at which texts are cut")
+
+
 def pieces(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY) -> DataFrame:
     """(doc_id, piece, start, length, ids_crc32) of every row's pieces."""
     path = path or tokenizer_path()
+    check_tokenizer(path)
 
     def split(batch: pa.RecordBatch):
         table = table_of("byte bpe", path, segmenter)
@@ -147,62 +166,85 @@ def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:
     return bins
 
 
-def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int, tries: int = 64) -> list[list[int]]:
-    """Moves and exchanges between underfull bins, from the least filled one, until none helps."""
-    size = lengths.tolist()
-    fill = [sum(size[i] for i in b) for b in bins]
-    least = -(-sum(fill) // capacity)
-    open_ = sorted((b for b in range(len(bins)) if fill[b] < capacity), key=lambda b: fill[b])
-    alive = len(bins)
-    for victim in open_:
-        if alive <= least:
-            break
-        others = [b for b in open_ if b != victim and bins[b] and fill[b] >= fill[victim]]
-        for _ in range(tries):
-            if not _step(bins, fill, size, victim, others, capacity):
-                break
-            if not bins[victim]:
-                alive -= 1
-                break
-    return [b for b in bins if b]
-
-
-def _step(bins, fill, size, victim, others, capacity) -> bool:
-    def put(target, give, take):
-        for i in give:
-            bins[victim].remove(i)
-            bins[target].append(i)
-        for i in take:
-            bins[target].remove(i)
-            bins[victim].append(i)
-        moved = sum(size[i] for i in give) - sum(size[i] for i in take)
-        fill[target] += moved
-        fill[victim] -= moved
+class _Bins:
+    """Bins under search: the bin of each piece, the fill of each bin."""
+
+    def __init__(self, bins: list[list[int]], lengths: np.ndarray, capacity: int):
+        self.size, self.capacity, self.bins = np.asarray(lengths, np.int64), capacity, [list(b) for b in bins]
+        self.owner = np.zeros(len(self.size), np.int64)
+        for k, b in enumerate(self.bins):
+            self.owner[b] = k
+        self.fill = np.bincount(self.owner, self.size, len(self.bins)).astype(np.int64)
+        by_fill = np.argsort(self.fill, kind="stable")
+        self.open = by_fill[self.fill[by_fill] < capacity]
+        self.items = np.flatnonzero(np.isin(self.owner, self.open))
+
+    def put(self, victim: int, target: int, give: list[int], take: list[int]) -> bool:
+        for source, goal, items in ((victim, target, give), (target, victim, take)):
+            for i in items:
+                self.bins[source].remove(i)
+                self.bins[goal].append(i)
+                self.owner[i] = goal
+        moved = int(self.size[give].sum() - self.size[take].sum())
+        self.fill[target] += moved
+        self.fill[victim] -= moved
         return True
 
-    mine = sorted(bins[victim], key=lambda i: -size[i])
-    for i in mine:  # a move
-        room = [b for b in others if capacity - fill[b] >= size[i]]
-        if room:
-            return put(max(room, key=lambda b: fill[b]), [i], [])
-    best = (0,)
-    for target in others:  # an exchange: what raises the target's fill most
-        gap = capacity - fill[target]
-        if gap <= best[0]:
-            continue
-        theirs = sorted((size[k], k) for k in bins[target])
-        offers = [(size[i], (i,)) for i in mine] + [(size[i] + size[k], (i, k)) for a, i in enumerate(mine) for k in mine[a + 1 :]]
-        for total, give in offers:
-            at = bisect_left(theirs, (total - gap, -1))
-            if at < len(theirs) and 0 < total - theirs[at][0] and total - theirs[at][0] > best[0]:
-                best = (total - theirs[at][0], target, give, theirs[at][1])
-    return put(best[1], list(best[2]), [best[3]]) if best[0] else False
+    def step(self, victim: int) -> bool:
+        """One move, or else the exchange that raises another bin's fill most."""
+        mine = sorted(self.bins[victim], key=lambda i: (-self.size[i], i))
+        others = self.open[(self.open != victim) & (self.fill[self.open] >= max(1, self.fill[victim]))]
+        gap = self.capacity - self.fill[others]
+        for i in mine:
+            room = np.flatnonzero(gap >= self.size[i])
+            if len(room):
+                return self.put(victim, int(others[room[np.argmin(gap[room])]]), [i], [])
+        theirs = self.items[(self.owner[self.items] != victim) & (self.fill[self.owner[self.items]] >= self.fill[victim])]
+        if not len(theirs) or not mine:
+            return False
+        # what the victim can give: one piece or two, by length; equal lengths are the same offer
+        first, second = {}, {}
+        for i in mine:
+            (second if int(self.size[i]) in first else first).setdefault(int(self.size[i]), i)
+        offers = {n: [i] for n, i in first.items()}
+        names = sorted(first)
+        for a, n in enumerate(names):
+            for m in names[a:]:
+                other = second.get(n) if m == n else first[m]
+                if other is not None:
+                    offers.setdefault(n + m, [first[n], other])
+        totals = np.array(sorted(offers))
+        most = self.size[theirs] + self.capacity - self.fill[self.owner[theirs]]
+        at = np.searchsorted(totals, most, "right") - 1
+        gain = np.where(at >= 0, totals[np.maximum(at, 0)] - self.size[theirs], 0)
+        best = int(gain.argmax())
+        if gain[best] <= 0:
+            return False
+        return self.put(victim, int(self.owner[theirs[best]]), offers[int(totals[at[best]])], [int(theirs[best])])
+
+
+def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> list[list[int]]:
+    """Moves and exchanges between underfull bins, from the least filled one, until none helps or the bins are as few as can be."""
+    state = _Bins(bins, lengths, capacity)
+    least, alive, helped = -(-int(state.size.sum()) // capacity), len(state.bins), True
+    while helped and alive > least:
+        helped = False
+        for victim in sorted(state.open.tolist(), key=lambda b: (state.fill[b], b)):
+            was = state.fill[victim] > 0
+            while state.fill[victim] and state.step(victim):
+                helped = True
+            alive -= int(was and not state.fill[victim])
+            if alive <= least:
+                break
+        state.open = np.array([b for b in state.open if 0 < state.fill[b] < capacity], np.int64)
+        state.items = state.items[np.isin(state.owner[state.items], state.open)]
+    return [b for b in state.bins if b]
 
 
 def _packer(capacity: int, level: int):
     def pack(table: pa.Table) -> pa.Table:
         lengths = table.column("length").to_numpy()
-        order = np.lexsort([table.column("piece").to_numpy(), table.column("doc_id").fill_null(-1).to_numpy(), -lengths])
+        order = np.lexsort([table.column("row_key").to_numpy(), table.column("piece").to_numpy(), table.column("doc_id").fill_null(-1).to_numpy(), -lengths])
         table, lengths = table.take(pa.array(order)), lengths[order]
         bins = local_search(best_fit(lengths, capacity), lengths, capacity)
         sequence, offset, fill = (np.zeros(len(lengths), np.int64) for _ in range(3))
@@ -210,7 +252,7 @@ def _packer(capacity: int, level: int):
         for k, b in enumerate(bins):
             own = lengths[b]
             sequence[b], offset[b], fill[b] = base + k, np.cumsum(own) - own, own.sum()
-        return table.select(["doc_id", "piece", "start", "length", "ids_crc32"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).append_column("fill", pa.array(fill))
+        return table.select([*_COLUMNS, "row_key"]).append_column("sequence_id", pa.array(sequence)).append_column("offset", pa.array(offset)).append_column("fill", pa.array(fill))
 
     return pack
 
@@ -220,18 +262,18 @@ _COLUMNS = ("doc_id", "piece", "start", "length", "ids_crc32")
 
 def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> DataFrame:
     """``items`` (as from ``pieces``) with sequence_id and offset."""
-    items = saved(items)
+    items = saved(items.select(*_COLUMNS, F.monotonically_increasing_id().alias("row_key")))
     full = items.filter(F.col("length") == capacity).select(*_COLUMNS, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest, done, level, before = items.filter(F.col("length") < capacity), full, 1, None
     while True:
         n = rest.count()
         blocks = max(1, -(-n // block))
-        dealt = rest.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece", F.lit(level)), F.lit(blocks)))
+        dealt = rest.withColumn("block", F.pmod(F.xxhash64("row_key", F.lit(level)), F.lit(blocks)))
         packed = dealt.groupBy("block").applyInArrow(
-            _packer(capacity, level), "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long, fill long"
+            _packer(capacity, level), "doc_id long, piece int, start long, length long, ids_crc32 long, row_key long, sequence_id long, offset long, fill long"
         )
         if blocks == 1 or n == before or level == 30:
             return done.union(packed.select(*done.columns))
         packed = saved(packed)
         done = done.union(packed.filter(F.col("fill") >= UNDERFULL * capacity).select(*done.columns))
-        rest, before, level = packed.filter(F.col("fill") < UNDERFULL * capacity).select(*_COLUMNS), n, level + 1
+        rest, before, level = packed.filter(F.col("fill") < UNDERFULL * capacity).select(*_COLUMNS, "row_key"), n, level + 1
