@@ -1,19 +1,23 @@
 """Layout-aware HTML rendering: a tree builder with implied tags and visibility rules, then text.
 
 All visible text is emitted: blocks start on their own lines and paragraphs are set off by an empty
-line, list items carry bullets or numbers and their depth, cells of a table are aligned in columns,
+line, list items carry bullets or numbers and their depth, cells of a table are aligned in columns (spans
+of columns and rows are laid out on its grid; see ``WIDEST``), ``br`` breaks a line and a further one leaves it empty,
 ``pre`` keeps its spacing. Comments, scripts, styles, heads, templates and hidden elements (attribute
 ``hidden``, ``display:none``, ``visibility:hidden``) are left out.
 
 Defined cases: null and empty pages render to the empty text; unclosed and misnested tags close as
-the tree builder implies; any end tag without its start is ignored; repeated rows render equally; depth
-is bounded by ``DEEPEST`` (deeper elements become siblings, no text is lost).
+the tree builder implies; any end tag without its start is ignored; a tag that is never closed by ``>`` is
+text, and so is all after it; a quote that is never closed is an ordinary character; repeated rows render
+equally; depth is bounded by ``DEEPEST`` (deeper elements become siblings: no visible text is lost, and what a
+deeper hidden element holds stays hidden). Reading a page takes time in proportion to its length.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -22,7 +26,13 @@ from pyspark.sql import functions as F
 from llm.tables import per_batch
 
 DEEPEST = 200
-TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"]*\"|'[^']*'|[^>\"'])*)>", re.S)
+OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
+ENDS = re.compile("[>\"']")
+#: A table whose alignment needs more than this many blanks for each character of text is set unaligned.
+WIDEST = 64
+#: Columns that a cell may span, and rows.
+MOST_COLUMNS, MOST_ROWS = 1000, 65534
+SPAN = {k: re.compile(rf"""(?i)(?:^|\s){k}\s*=\s*["']?\s*(\d{{1,6}})""") for k in ("colspan", "rowspan")}
 STYLE = re.compile(r"(?i)(?:display\s*:\s*none|visibility\s*:\s*hidden)")
 HIDDEN = re.compile(r"(?i)(?:^|\s)hidden(?=[\s=/]|$)")
 ATTRIBUTE = re.compile(r"""(?i)(?:^|\s)style\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)""")
@@ -61,32 +71,67 @@ class Node:
         return bool(style and STYLE.search(style[1])) or bool(HIDDEN.search(re.sub(r"\"[^\"]*\"|'[^']*'", '""', self.rest)))
 
 
+def tokens(page: str):
+    """(text before, kind, name, attributes, position after) of each tag, with kind "" for a start and "/" for an end;
+    at last (text, None, "", "", length)."""
+    at, done, last = 0, 0, {q: page.rfind(q) for q in "\"'"}
+    while m := OPEN.search(page, at):
+        i = m.end()
+        if m[1]:
+            end = page.find("-->", m.start() + 2)
+            end = len(page) if end < 0 else end + 3
+        elif m[2]:
+            end = page.find(">", i) + 1
+        else:
+            while (c := ENDS.search(page, i)) and c[0] != ">":
+                i = page.find(c[0], c.end()) + 1 if c.start() < last[c[0]] else c.end()
+            end = c.end() if c else 0
+        if not end:
+            break
+        kind = None if m[1] or m[2] else m[3]
+        skip = yield page[done : m.start()], kind, (m[4] or "").lower(), "" if kind is None else page[m.end() : end - 1], end
+        at = done = skip or end
+    yield page[done:], None, "", "", len(page)
+
+
 def tree(page: str) -> Node:
     root = Node("html")
-    stack, at = [root], 0
+    stack, tags, skip = [root], tokens(page), None
+    #: Name and depth of an element that is hidden and too deep to be kept.
+    hidden: tuple[str, int] | None = None
 
     def close(names, barriers) -> None:
-        for k in range(len(stack) - 1, 0, -1):
+        k = len(stack) - 1
+        while k > 0 and stack[k].tag not in barriers:
             if stack[k].tag in names:
                 del stack[k:]
-                return close(names, barriers)
-            if stack[k].tag in barriers:
-                return None
-        return None
+            k -= 1
 
     def text(piece: str) -> None:
-        if piece:
+        if piece and not hidden:
             if stack[-1].tag == "head" and piece.strip():
                 stack.pop()
             stack[-1].children.append(html.unescape(piece))
 
-    while m := TOKEN.search(page, at):
-        text(page[at : m.start()])
-        at = m.end()
-        if m[2] is None:
+    while True:
+        try:
+            before, kind, tag, rest, at = tags.send(skip)
+        except StopIteration:
+            return root
+        skip = None
+        text(before)
+        if kind is None:
             continue
-        tag = m[2].lower()
-        if m[1]:
+        raw = None
+        if not kind and tag in RAW:
+            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
+            raw, skip = page[at : end.start() if end else len(page)], end.end() if end else len(page)
+        if hidden:
+            if tag == hidden[0] and raw is None:
+                depth = hidden[1] + (-1 if kind else 1)
+                hidden = (tag, depth) if depth else None
+            continue
+        if kind:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k].tag == tag:
                     del stack[k:]
@@ -100,19 +145,19 @@ def tree(page: str) -> Node:
             close(*IMPLIED[tag])
         if tag in CLOSES_P:
             close(("p",), BARRIERS)
-        node = Node(tag, m[3])
+        node = Node(tag, rest)
+        if raw is not None:
+            node.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
+        elif tag not in VOID and not rest.endswith("/"):
+            if len(stack) < DEEPEST:
+                stack[-1].children.append(node)
+                stack.append(node)
+                continue
+            if node.unseen():
+                hidden = (tag, 1)
+                continue
+            node = Node("div" if tag in BLOCK else "span")
         stack[-1].children.append(node)
-        if tag in RAW:
-            end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
-            stop = end.start() if end else len(page)
-            node.children.append(html.unescape(page[at:stop]) if tag in ("textarea", "title") else page[at:stop])
-            at = end.end() if end else len(page)
-        elif tag not in VOID and not m[3].endswith("/") and len(stack) < DEEPEST:
-            stack.append(node)
-        elif tag not in VOID and len(stack) >= DEEPEST:
-            stack[-1].children[-1] = Node("div" if tag in BLOCK else "span")
-    text(page[at:])
-    return root
 
 
 class Lines:
@@ -167,6 +212,8 @@ def _render(node: Node, out: Lines, preformatted: bool = False) -> None:
         elif child.tag == "br":
             if out.now.strip():
                 out.line()
+            elif out.done:
+                out.gap += 1
         elif child.tag == "table":
             out.line(2)
             out.add(_table(child))
@@ -237,23 +284,65 @@ def _table(node: Node) -> list[str]:
                     elif not c.unseen():
                         inner = Lines()
                         _render(c, inner)
-                        target.append(inner.result())
+                        target.append((inner.result(), _span(c, "colspan", MOST_COLUMNS), _span(c, "rowspan", MOST_ROWS)))
             else:
                 holder = Node("div")
                 holder.children = [child]
                 _render(holder, loose)
 
     walk(node)
-    out = loose.result()
-    widths: list[int] = []
-    for _, cells in rows:
-        for k, cell in enumerate(cells):
-            if k == len(widths):
-                widths.append(0)
-            widths[k] = max(widths[k], *(len(x) for x in cell), 0)
-    for _, cells in rows:
-        for line in range(max((len(c) for c in cells), default=0)):
-            out.append("  ".join((c[line] if line < len(c) else "").ljust(w) for c, w in zip(cells, widths)).rstrip())
+    return loose.result() + _aligned([cells for _, cells in rows])
+
+
+def _span(cell: Node, kind: str, most: int) -> int:
+    found = SPAN[kind].search(cell.rest) if cell.rest else None
+    return min(max(1, int(found[1])) if found else 1, most)
+
+
+def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
+    """Lines of a table from its rows of (lines, columns, rows spanned) cells: each cell takes the next free place of
+    the grid; a column is as wide as its widest cell of one column, and a wider span widens its last one."""
+    placed, busy = [], []  # busy: [first column, column after, row after] that cells of rows above take, in order
+    for y, cells in enumerate(rows):
+        busy = [b for b in busy if b[2] > y]
+        at, k, here, new = 0, 0, [], []
+        for lines, columns, down in cells:
+            while k < len(busy) and busy[k][0] < at + 1:
+                at, k = max(at, busy[k][1]), k + 1
+            here.append((at, at + columns, lines))
+            if down > 1:
+                new.append([at, at + columns, min(y + down, len(rows))])
+            at += columns
+        placed.append(here)
+        merged: list[list[int]] = []
+        for b in sorted(busy + new):
+            if merged and merged[-1][1] == b[0] and merged[-1][2] == b[2]:
+                merged[-1][1] = b[1]
+            else:
+                merged.append(b)
+        busy = merged
+    starts = sorted({a for row in placed for a, _, _ in row})
+    index = {a: i for i, a in enumerate(starts)}
+    widths = [0] * len(starts)
+    spans = [(index[a], bisect_left(starts, b), max(map(len, lines), default=0)) for row in placed for a, b, lines in row]
+    for i, j, n in spans:
+        if j - i == 1:
+            widths[i] = max(widths[i], n)
+    for i, j, n in sorted(s for s in spans if s[1] - s[0] > 1):
+        widths[j - 1] += max(0, n - sum(widths[i:j]) - 2 * (j - i - 1))
+    left = [0]
+    for w in widths:
+        left.append(left[-1] + w + 2)
+    padding = sum(left[index[row[-1][0]]] * max(map(len, (lines for _, _, lines in row))) for row in placed if row)
+    if padding > WIDEST * (1000 + sum(map(len, (x for row in placed for _, _, lines in row for x in lines)))):
+        left = [0] * len(left)
+    out = []
+    for row in placed:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            line = ""
+            for a, _, lines in row:
+                line = line.ljust(left[index[a]] or (len(line) + 2 if line else 0)) + (lines[k] if k < len(lines) else "")
+            out.append(line.rstrip())
     return out
 
 
