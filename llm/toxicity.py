@@ -1,14 +1,18 @@
 """Toxicity by a factorization machine over hashed terms.
 
-Terms of a text are its words (ASCII case folded, cut at ASCII punctuation) and the first four and
-five bytes of longer words, each hashed into ``BUCKETS`` buckets, and once more where a term occurs
-twice or more; a text is the set of its buckets.
+Terms of a text are its words (ASCII case folded, cut at ASCII punctuation) and the first four to seven
+bytes of longer words, each hashed into ``BUCKETS`` buckets, and once more where a term occurs twice or
+more, and where it occurs four times or more; a text is the set of its buckets. Whole words have even ones.
 The model is ``w0 + sum w_i + sum_{i<j} <v_i, v_j>`` over that set, squashed to (0, 1). The pairwise
 part lets a group mention raise an insult, which additive weights miss.
 
 Learning uses at most ``SAMPLE`` labelled rows (smallest hashes of the id) of the folds that are not
-held out; that is the documented bound for fitting. Scoring runs over every whole text inside Spark
-tasks; the model that is shipped has ``FEATURES`` rows at most, whatever the size of the corpus.
+held out; that is the documented bound for fitting. Buckets get parameters if at least ``MIN_DOCUMENTS`` of
+these hold them and either they say something alone (``STRONG`` deviations from the share of toxic texts)
+or a pair of them does, beyond what its members say (``STRONG_PAIR``), so a pair counts whose members are
+neutral alone. Pairs are looked for among whole words that at most ``COMMON`` of the texts and at least
+``PAIR_SHARE`` of the toxic ones hold, in texts with up to ``PAIR_TERMS`` of those. Scoring runs over every whole text inside Spark tasks; the
+model that is shipped has ``BUCKETS`` rows at most, whatever the size of the corpus.
 
 Defined cases: a null text is the empty text; an empty text has no terms and scores ``sigmoid(w0)``;
 repeated rows get equal scores; with no labels, or only one class among them, the score is the share
@@ -29,30 +33,32 @@ from llm.tables import fold_of, per_batch, saved
 BUCKETS = 1 << 18
 #: Labelled rows that are learnt from, at most.
 SAMPLE = 20_000
-#: Buckets that get parameters, at most; the rest weigh nothing.
-FEATURES = 1024
 FACTORS = 6
 MIN_DOCUMENTS = 8
+STRONG, STRONG_PAIR, COMMON, PAIR_SHARE, PAIR_TERMS = 4.0, 5.0, 0.3, 0.02, 2000
+PREFIXES = (4, 5, 6, 7)
 #: Passes over the sample; small samples get more, so that there are STEPS steps at least.
 EPOCHS = 14
 STEPS = 750
 BATCH = 256
+WEIGHT_DECAY, FACTOR_DECAY = 2e-5, 5e-5
 REJECT = 0.7
 
 
-def _again(bucket: np.ndarray) -> np.ndarray:
-    """The bucket that says that another one's term occurs twice or more."""
-    return A.mix(bucket + np.uint64(0x5EED)) & np.uint64(BUCKETS - 1)
+def _again(bucket: np.ndarray, times: int) -> np.ndarray:
+    """The bucket that says that another one's term occurs so many times or more."""
+    return A.mix(bucket + np.uint64(0x5EED * times)) & np.uint64(BUCKETS - 1) | np.uint64(1)
 
 
 def terms(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(row, bucket) pairs of a slice of texts; ``wanted`` says which first buckets are looked at."""
     starts, ends, rows = A.runs(data, offsets, A.NOT_ALNUM)
     parts, owners = [], []
-    for n in (0, 4, 5):
+    for n in (0, *PREFIXES):
         longer = slice(None) if n == 0 else ends - starts > n
         h = A.hashes(data, starts[longer], ends[longer] if n == 0 else starts[longer] + n, A.LOWER)
         bucket = A.mix(h ^ np.uint64(n)) & np.uint64(BUCKETS - 1)
+        bucket = bucket | np.uint64(1) if n else bucket & np.uint64(BUCKETS - 2)
         row = rows[longer]
         if wanted is not None:
             hit = wanted[bucket]
@@ -61,8 +67,8 @@ def terms(data: np.ndarray, offsets: np.ndarray, wanted: np.ndarray | None = Non
         owners.append(row)
     key, count = np.unique(np.concatenate(owners).astype(np.uint64) * np.uint64(BUCKETS) + np.concatenate(parts), return_counts=True)
     row, bucket = (key // np.uint64(BUCKETS)).astype(np.int64), key % np.uint64(BUCKETS)
-    twice = count > 1
-    row, bucket = np.concatenate([row, row[twice]]), np.concatenate([bucket, _again(bucket[twice])])
+    twice, often = count > 1, count > 3
+    row, bucket = np.concatenate([row, row[twice], row[often]]), np.concatenate([bucket, _again(bucket[twice], 2), _again(bucket[often], 4)])
     key = np.unique(row.astype(np.uint64) * np.uint64(BUCKETS) + bucket)
     return (key // np.uint64(BUCKETS)).astype(np.int64), (key % np.uint64(BUCKETS)).astype(np.int64)
 
@@ -75,7 +81,7 @@ class Machine:
         known = np.zeros(BUCKETS, bool)
         known[buckets] = True
         every = np.arange(BUCKETS, dtype=np.uint64)
-        self.wanted = known | known[_again(every)]
+        self.wanted = known | known[_again(every, 2)] | known[_again(every, 4)]
 
     def score(self, rows: np.ndarray, buckets: np.ndarray, n: int) -> np.ndarray:
         index = np.full(BUCKETS, -1, np.int64)
@@ -88,17 +94,9 @@ class Machine:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
-def strongest(n: np.ndarray, n1: np.ndarray, share: float) -> np.ndarray:
-    """The buckets that get parameters, from how many texts and toxic texts hold each bucket."""
-    expected = n * share
-    strength = np.where(n >= MIN_DOCUMENTS, np.abs(n1 - expected) / np.sqrt(np.maximum(expected * (1 - share), 1e-9)), 0)
-    kept = np.sort(np.argsort(-strength, kind="stable")[:FEATURES])
-    return kept[strength[kept] > 2]
-
-
 def train(kept: np.ndarray, docs: list[np.ndarray], y: np.ndarray, seed: int = 1) -> Machine:
     """Fits by Adam on the logistic loss; each text is given by its features, which are places in ``kept``."""
-    y, n_docs = y.astype(np.float64), len(docs)
+    y, n_docs = y.astype(np.float32), len(docs)
     share = float(y.mean()) if n_docs else 0.0
     if not 0 < share < 1:
         logit = np.log(max(share, 1e-9) / max(1 - share, 1e-9))
@@ -108,29 +106,35 @@ def train(kept: np.ndarray, docs: list[np.ndarray], y: np.ndarray, seed: int = 1
 
     rng = np.random.default_rng(seed)
     f = len(kept)
-    p = {"w0": np.array([np.log(share / (1 - share))]), "w": np.zeros(f), "v": rng.normal(0, 0.02, (f, FACTORS))}
-    m, s = {k: np.zeros_like(x) for k, x in p.items()}, {k: np.zeros_like(x) for k, x in p.items()}
-    decay, step = {"w0": 0.0, "w": 2e-5, "v": 5e-5}, 0
+    # one row per feature: its weight, then its factors; the constant is apart
+    p = np.concatenate([np.zeros((f, 1)), rng.normal(0, 0.02, (f, FACTORS))], 1).astype(np.float32)
+    w0, m0, s0 = np.log(share / (1 - share)), 0.0, 0.0
+    m, s = np.zeros_like(p), np.zeros_like(p)
+    decay, step = np.array([WEIGHT_DECAY] + [FACTOR_DECAY] * FACTORS, np.float32), 0
     epochs = max(EPOCHS, -(-STEPS // -(-n_docs // BATCH)))
     for epoch in range(epochs):
         order, rate = rng.permutation(n_docs), 0.02 * 0.1 ** (epoch / epochs)
         for i in range(0, len(order), BATCH):
             batch = order[i : i + BATCH]
-            x = np.zeros((len(batch), f))
-            lengths = at[batch + 1] - at[batch]
-            x[np.repeat(np.arange(len(batch)), lengths), feature[A.ragged(at[batch], lengths)]] = 1
-            sums = x @ p["v"]
-            z = p["w0"] + x @ p["w"] + 0.5 * ((sums**2).sum(1) - x @ (p["v"] ** 2).sum(1))
-            g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)
-            back = x.T @ g
-            grad = {"w0": np.array([g.sum()]), "w": back, "v": x.T @ (g[:, None] * sums) - p["v"] * back[:, None]}
+            lengths = sizes[batch]
+            rows, cols = np.repeat(np.arange(len(batch)), lengths), feature[A.ragged(at[batch], lengths)]
+            own = p[cols]
+            sums = np.stack([np.bincount(rows, own[:, k], len(batch)) for k in range(FACTORS + 1)], 1).astype(np.float32)
+            squares = np.bincount(rows, np.einsum("ij,ij->i", own[:, 1:], own[:, 1:]), len(batch))
+            z = w0 + sums[:, 0] + 0.5 * ((sums[:, 1:] ** 2).sum(1) - squares)
+            g = ((1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[batch]) / len(batch)).astype(np.float32)
+            back = g[rows]
+            own[:, 1:] = back[:, None] * (sums[rows, 1:] - own[:, 1:])
+            own[:, 0] = back
+            grad = np.stack([np.bincount(cols, own[:, k], f) for k in range(FACTORS + 1)], 1).astype(np.float32) + decay * p
             step += 1
-            for k in p:
-                d = grad[k] + decay[k] * p[k]
-                m[k] = 0.9 * m[k] + 0.1 * d
-                s[k] = 0.999 * s[k] + 0.001 * d * d
-                p[k] = p[k] - rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(s[k] / (1 - 0.999**step)) + 1e-8)
-    return Machine(kept, float(p["w0"][0]), p["w"], p["v"])
+            m += 0.1 * (grad - m)
+            s += 0.001 * (grad * grad - s)
+            p -= rate / (1 - 0.9**step) * m / (np.sqrt(s / (1 - 0.999**step)) + 1e-8)
+            g0 = float(g.sum())
+            m0, s0 = 0.9 * m0 + 0.1 * g0, 0.999 * s0 + 0.001 * g0 * g0
+            w0 -= rate * (m0 / (1 - 0.9**step)) / (np.sqrt(s0 / (1 - 0.999**step)) + 1e-8)
+    return Machine(kept, float(w0), p[:, 0].astype(np.float64), p[:, 1:].astype(np.float64))
 
 
 def _features(batch: pa.RecordBatch):
@@ -154,24 +158,90 @@ def _holders(batch: pa.RecordBatch):
     yield {"bucket": at.astype(np.int32), "n": n[at], "n1": n1[at]}
 
 
+def deviations(n: np.ndarray, n1: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Standard deviations by which ``n1`` toxic ones of ``n`` are from what ``share`` lets expect."""
+    share = np.clip(share, 1e-6, 1 - 1e-6)
+    return (n1 - n * share) / np.sqrt(np.maximum(n * share * (1 - share), 1e-9))
+
+
+def _pair_counter(weak: np.ndarray, known: np.ndarray | None):
+    """Counts texts of a batch by pairs of ``weak`` buckets; those of ``known`` pairs only, if given."""
+    is_weak = np.zeros(BUCKETS, bool)
+    is_weak[weak if known is None else np.concatenate([known >> 18, known & (BUCKETS - 1)])] = True
+
+    def count(batch: pa.RecordBatch):
+        found, gathered = [], 0
+
+        def summed():
+            pair, n = np.unique(np.concatenate(found), return_counts=True)
+            return {"pair": pair, "n": n.astype(np.int64)}
+
+        for raw in batch.column("terms").to_pylist():
+            t = np.frombuffer(raw, np.int32).astype(np.int64)
+            t = t[is_weak[t]]
+            if len(t) > PAIR_TERMS:
+                continue
+            i, j = np.triu_indices(len(t), 1)
+            pair = (t[i] << 18) | t[j]
+            if known is not None and len(known):
+                pair = pair[known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair]
+            found.append(pair)
+            gathered += len(pair)
+            if gathered > 1 << 22:
+                yield summed()
+                found, gathered = [], 0
+        if gathered:
+            yield summed()
+
+    return count
+
+
+def pair_members(sets: DataFrame, n: np.ndarray, n1: np.ndarray, total: int, toxic_total: int, strong: np.ndarray) -> np.ndarray:
+    """Buckets of pairs that are more often toxic than either member lets expect; pairs are counted in Spark, first among
+    toxic texts, then those that enough of them hold among the others."""
+    least = max(MIN_DOCUMENTS, PAIR_SHARE * toxic_total)
+    weak = np.flatnonzero((n1 >= least) & (n <= COMMON * total) & ~strong & (np.arange(BUCKETS) % 2 == 0))
+
+    def counted(label: int, known: np.ndarray | None) -> pa.Table:
+        rows = per_batch(sets.filter(F.col("label") == label).select("terms"), "pair long, n long", _pair_counter(weak, known))
+        rows = rows.groupBy("pair").agg(F.sum("n").alias("n"))
+        return (rows.filter(F.col("n") >= float(least)) if known is None else rows).sort("pair").toArrow()
+
+    toxic = counted(1, None)
+    pair, toxic_n = toxic.column("pair").to_numpy(), toxic.column("n").to_numpy()
+    if not len(pair):
+        return pair
+    rate = n1 / np.maximum(n, 1)
+    expected = np.maximum(rate[pair >> 18], rate[pair & (BUCKETS - 1)])
+    worth = deviations(toxic_n, toxic_n, expected) > STRONG_PAIR  # even if no other text held them
+    pair, toxic_n, expected = pair[worth], toxic_n[worth], expected[worth]
+    others, clean_n = counted(0, pair), np.zeros(len(pair), np.int64)
+    clean_n[np.searchsorted(pair, others.column("pair").to_numpy())] = others.column("n").to_numpy()
+    pair = pair[deviations(toxic_n + clean_n, toxic_n, expected) > STRONG_PAIR]
+    return np.unique(np.concatenate([pair >> 18, pair & (BUCKETS - 1)]))
+
+
 def fit(documents: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> Machine:
     """Learns from the labelled rows that are not held out, ``sample`` of them at most; equal sets of terms count once.
 
-    Features are counted in Spark and only the chosen ones of each sampled text come to the driver.
+    Features are counted in Spark and only those of each sampled text come to the driver. Where a labelled id has
+    several texts, the one with the smallest hash is learnt from.
     """
     chosen = (
         labels.filter(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & (fold_of(F.col("doc_id")) != 1))
         .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("label"))
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
     )
-    sampled = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", "label")
-    sets = saved(per_batch(sampled, "terms binary, label int", _features).distinct())
+    sampled = documents.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("doc_id", F.xxhash64("text").alias("h"), "text", "label")
+    one = sampled.groupBy("doc_id").agg(F.min_by(F.struct("text", "label"), "h").alias("one")).select("one.*")
+    sets = saved(per_batch(one, "terms binary, label int", _features).distinct())
     total, toxic = sets.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
     held = per_batch(sets, "bucket int, n long, n1 long", _holders).groupBy("bucket").agg(F.sum("n").alias("n"), F.sum("n1").alias("n1"))
     held = held.filter(F.col("n") >= MIN_DOCUMENTS).toArrow()
     n, n1 = np.zeros(BUCKETS), np.zeros(BUCKETS)
     n[held.column("bucket")], n1[held.column("bucket")] = held.column("n"), held.column("n1")
-    kept = strongest(n, n1, toxic / max(total, 1))
+    strong = (n >= MIN_DOCUMENTS) & (np.abs(deviations(n, n1, np.full(BUCKETS, toxic / max(total, 1)))) > STRONG)
+    kept = np.union1d(np.flatnonzero(strong), pair_members(sets, n, n1, total, toxic, strong)).astype(np.int64)
 
     def featured(batch: pa.RecordBatch):
         index = np.full(BUCKETS, -1, np.int32)
