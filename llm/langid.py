@@ -8,8 +8,8 @@ rejected: radii are low quantiles (``QUANTILE``) of the cosines of sampled texts
 them, by the power of two below their number of n-grams, as short texts have lower cosines than long ones.
 
 Learning takes about ``SAMPLE`` documents of each language, chosen by a hash of the id among those that
-are not held out; that is the documented bound for fitting. One in ``CUT_EVERY`` of them gives stretches for the
-radii. Prediction covers every whole text.
+are not held out; that is the documented bound for fitting. One in ``CUT_EVERY`` of them (all of a language with fewer
+documents) gives stretches for the radii. Prediction covers every whole text.
 
 Defined cases: a null text and a text without a letter are ``und`` with score 0, and rejected; ties of
 centroids go to the first language by name; repeated rows get equal results; when nothing can be learnt
@@ -170,7 +170,7 @@ def _pairs(batch: pa.RecordBatch):
     for i, j, part, off in _slices(data, offsets):
         rows = [_sparse(row) for row in vectors(part, off)]
         names, cut = langs.slice(i, j - i).to_pylist(), [False] * (j - i)
-        for k in np.flatnonzero(ids[i:j] % CUT_EVERY == 0):
+        for k in np.flatnonzero(ids[i:j] == 0):
             text = part[off[k] : off[k + 1]]
             sizes = [1 << p for p in range(3, 14) if 2 << p <= len(text)]
             pieces = [text[(len(text) - n) // 2 : (len(text) + n) // 2] for n in sizes]
@@ -187,7 +187,7 @@ def fit(documents: DataFrame, sample: int = SAMPLE) -> Centroids:
     per_language = known.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     share = F.broadcast(per_language.select("lang", (F.lit(float(sample)) / F.col("n")).alias("share")))
-    chosen = known.join(share, "lang").filter(place < F.col("share")).select(F.col("lang").cast("string"), "text", F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(1 << 20)).alias("key"))
+    chosen = known.join(share, "lang").filter(place < F.col("share")).select(F.col("lang").cast("string"), "text", F.when(F.col("share") < 1, F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CUT_EVERY))).otherwise(0).alias("key"))
     rows = per_batch(chosen, "lang string, counts binary, cut boolean", _pairs).toArrow().sort_by([("lang", "ascending"), ("cut", "ascending"), ("counts", "ascending")])
     return train(rows.column("counts").to_pylist(), rows.column("lang").to_pylist(), rows.column("cut").to_pylist())
 
@@ -232,4 +232,5 @@ def without_rejected(documents: DataFrame, model: Centroids) -> DataFrame:
                 _, _, far = _predict(data, offsets, batch.column(columns).to_numpy(zero_copy_only=False), shipped.value)
                 yield batch.filter(pc.invert(pa.array(far))).select(range(columns))
 
-    return documents.select("*", has_letter(F.col("text")).alias("_letter")).mapInArrow(kept, documents.schema)
+    unused = "_" * (1 + max(map(len, documents.columns)))
+    return documents.select("*", has_letter(F.col("text")).alias(unused)).mapInArrow(kept, documents.schema)
