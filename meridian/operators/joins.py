@@ -113,3 +113,11 @@ def nearest_within(left: DataFrame, right: DataFrame, cell: float, radius: float
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Rows of ``left`` that a defaulting left join would flag as missing."""
     return left.join(right.select(key).distinct(), key, "left_anti")
+
+
+def not_in(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
+    """Rows of ``left`` whose key is not in ``right``, as SQL says NOT IN: a null among the right keys leaves no rows, and a null
+    left key passes only where ``right`` is empty."""
+    known = right.agg(F.count("*").alias("_rows"), F.count_if(F.col(key).isNull()).alias("_nulls"))  # one row
+    rest = left.join(right.select(key), key, "left_anti").join(F.broadcast(known))
+    return rest.filter((F.col("_rows") == 0) | ((F.col("_nulls") == 0) & F.col(key).isNotNull())).select(*left.columns)

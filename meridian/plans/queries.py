@@ -36,11 +36,11 @@ def r(column, digits: int = 4):
 # --- contribution reports: user = customer, change set = order, region = nation
 
 BUCKETS = [(20, 10_000, 0), (15, 19, 0), (10, 14, 0), (5, 9, 0), (1, 4, 0)]
-BUCKET_SQL = "(VALUES (1,20,10000),(2,15,19),(3,10,14),(4,5,9),(5,1,4)) b(rank, least, most)"
+BUCKET_SQL = "(VALUES (1,20,9223372036854775807),(2,15,19),(3,10,14),(4,5,9),(5,1,4)) b(rank, least, most)"
 
 
 @query("""SELECT b.rank AS rank, count(*) AS users, CAST(sum(c.n) AS BIGINT) AS orders FROM (SELECT o_custkey, count(*) AS n FROM orders GROUP BY 1) c
-JOIN (VALUES (1,20,10000),(2,15,19),(3,10,14),(4,5,9),(5,1,4)) b(rank, least, most) ON c.n BETWEEN b.least AND b.most GROUP BY 1""")
+JOIN (VALUES (1,20,9223372036854775807),(2,15,19),(3,10,14),(4,5,9),(5,1,4)) b(rank, least, most) ON c.n BETWEEN b.least AND b.most GROUP BY 1""")
 def contrib_ranking(spark, load):
     counts = load("orders").groupBy("o_custkey").agg(F.count("*").alias("n"))
     return ranking.bucket_ranks(counts, "o_custkey", "n", BUCKETS).groupBy("rank").agg(F.count("*").alias("users"), F.sum("n").alias("orders"))
@@ -218,9 +218,13 @@ def semi_in(spark, load):
     return load("part").join(lines, F.col("p_partkey") == F.col("l_partkey"), "left_semi").select("p_partkey")
 
 
-@query("SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_custkey IS NOT NULL)")
+@query("""SELECT c_custkey FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)
+UNION ALL SELECT s_suppkey FROM supplier WHERE s_suppkey NOT IN (SELECT CASE WHEN p_partkey % 50 = 7 THEN NULL ELSE p_partkey END FROM part)""")
 def anti_not_in(spark, load):
-    return load("customer").join(load("orders"), F.col("c_custkey") == F.col("o_custkey"), "left_anti").select("c_custkey")
+    """The second half looks among keys with nulls, so it gives no rows."""
+    large = load("orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
+    some_null = load("part").select(F.when(F.col("p_partkey") % 50 != 7, F.col("p_partkey")).alias("s_suppkey"))
+    return joins.not_in(load("customer"), large, "c_custkey").select("c_custkey").union(joins.not_in(load("supplier"), some_null, "s_suppkey").select("s_suppkey"))
 
 
 @query("SELECT p.p_partkey, p.p_name FROM part p LEFT JOIN (SELECT DISTINCT l_partkey, 1 AS done FROM lineitem WHERE l_quantity > 45) l ON p.p_partkey = l.l_partkey WHERE coalesce(done, 0) = 0")
@@ -296,11 +300,10 @@ def argmax_latest_score(spark, load):
 
 # --- as-of, intervals, reconciliation, diffs, space
 
-@query("""WITH rates AS (SELECT o_custkey AS user_id, o_orderdate + INTERVAL 9520 DAY AS day, arg_min(o_totalprice, o_orderkey) AS rate, min(o_orderkey) AS ord FROM orders WHERE o_orderdate >= TIMESTAMP '1997-12-01' GROUP BY 1, 2),
+@query("""WITH rates AS (SELECT o_custkey AS user_id, o_orderdate + INTERVAL 9520 DAY AS day, arg_min(o_totalprice, o_orderkey) AS rate, min(o_orderkey) AS ord FROM orders GROUP BY 1, 2),
 c AS (SELECT e.event_id, r.rate, row_number() OVER (PARTITION BY e.event_id ORDER BY abs(epoch_us(e.ts) - epoch_us(r.day)), r.ord) AS n FROM events e JOIN rates r USING (user_id))
 SELECT event_id, rate FROM c WHERE n = 1""")
 def asof_nearest_rate(spark, load):
-    """All orders are rates; the SQL covers those from 1997-12-01 on only."""
     orders = load("orders")
     day = (F.col("o_orderdate").cast("timestamp") + F.expr("interval 9520 days")).alias("day")
     rates = orders.select(F.col("o_custkey").alias("user_id"), day, F.col("o_totalprice").alias("rate"), F.col("o_orderkey").alias("ord"))
@@ -460,11 +463,12 @@ def running_distance(spark, load):
     return load("events").select("user_id", "event_id", r(F.sum("value").over(w), 2).alias("run"))
 
 
-@query("""WITH c AS (SELECT s_nationkey AS region, p_type AS k, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN part ON l_partkey = p_partkey WHERE l_quantity > 48 GROUP BY 1, 2), t AS (SELECT k, sum(n) AS total FROM c GROUP BY 1)
+@query("""WITH c AS (SELECT n_regionkey AS region, p_type AS k, count(*) AS n FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey JOIN part ON l_partkey = p_partkey GROUP BY 1, 2), t AS (SELECT k, sum(n) AS total FROM c GROUP BY 1)
 SELECT region, k AS key, round(n / CAST(total AS DOUBLE), 6) AS share FROM c JOIN t USING (k) WHERE n / CAST(total AS DOUBLE) > 0.2""")
 def ownership_share(spark, load):
-    rows = load("lineitem").filter("l_quantity > 48").join(load("supplier"), F.col("l_suppkey") == F.col("s_suppkey")).join(load("part"), F.col("l_partkey") == F.col("p_partkey"))
-    counts = rows.groupBy(F.col("s_nationkey").alias("region"), F.col("p_type").alias("key")).agg(F.count("*").alias("n"))
+    suppliers = load("supplier").join(F.broadcast(load("nation")), F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_regionkey")
+    rows = load("lineitem").join(suppliers, F.col("l_suppkey") == F.col("s_suppkey")).join(load("part"), F.col("l_partkey") == F.col("p_partkey"))
+    counts = rows.groupBy(F.col("n_regionkey").alias("region"), F.col("p_type").alias("key")).agg(F.count("*").alias("n"))
     return etl.owned_keys(counts, 0.2).withColumn("share", r(F.col("share"), 6))
 
 
@@ -490,11 +494,11 @@ def first_last_compaction(spark, load):
     return etl.compacted(changes, ["user_id"], ["ts", "event_id"], "gone").select("user_id", "event_id", "value")
 
 
-@query("""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings WHERE vec_id < 400),
+@query("""WITH v AS (SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings),
 s AS (SELECT a.vec_id AS id, b.vec_id AS other, round(greatest(0, least(1, list_cosine_similarity(a.e, b.e))), 4) AS similarity FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id)
 SELECT id, other, similarity, rank FROM (SELECT *, row_number() OVER (PARTITION BY id ORDER BY similarity DESC, other) AS rank FROM s) WHERE rank <= 2""")
 def knn_embeddings(spark, load):
-    """Two nearest of the same place, over all vectors; the SQL covers the first 400 ids only."""
+    """Two nearest of the same place, over all vectors."""
     return ranking.nearest_vectors(load("embeddings"), "vec_id", "label", "embedding", 2)
 
 

@@ -6,7 +6,7 @@ import os
 import duckdb
 import pytest
 
-from meridian.plans.queries import ORACLES, QUERIES
+from meridian.plans.catalog import ORACLES, QUERIES
 
 DATA = "/root/testdata/sf0.001"
 
