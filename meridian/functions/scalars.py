@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType
 
 
 def natural_join(values: Column, separator: str = ";") -> Column:
     """Array elements in natural order: by first number, then by what follows it ignoring case; pairs that are equal in
-    both collapse to the first. Elements without a number come last."""
+    both collapse to the one with the smaller code points. Elements without a number come last."""
     number = lambda v: F.coalesce(F.regexp_extract(v, "([0-9]{1,18})", 1).try_cast("long"), F.lit(2**62))
     suffix = lambda v: F.lower(F.regexp_extract(v, "[0-9]+(.*)$|^([^0-9]*)$", 0))
     keyed = F.array_sort(F.transform(F.array_compact(values), lambda v: F.struct(number(v).alias("n"), F.regexp_replace(suffix(v), "^[0-9]+", "").alias("s"), v.alias("v"))))
@@ -119,7 +120,7 @@ def _simplified(x: np.ndarray, y: np.ndarray, tolerance: float) -> np.ndarray:
 def simplified(tolerance: float):
     """UDF (array of x, array of y) -> places of the points that are kept (0-based); null and empty lines keep none."""
 
-    @pandas_udf("array<int>")
+    @pandas_udf(ArrayType(IntegerType()))
     def places(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
         for xs, ys in batches:
             yield pd.Series([[] if x is None or len(x) == 0 else _simplified(np.asarray(x, float), np.asarray(y, float), tolerance).tolist() for x, y in zip(xs, ys)])
@@ -139,21 +140,23 @@ def _zigzag(values: np.ndarray) -> bytes:
 
 
 def _unzigzag(raw: bytes) -> list[int]:
+    if not raw:
+        return []
     data = np.frombuffer(raw, np.uint8).astype(np.uint64)
     last = np.flatnonzero(data < 128)
     first = np.append(0, last[:-1] + 1)
     place = np.arange(len(data)) - np.repeat(first, last - first + 1)
-    values = np.add.reduceat((data & np.uint64(127)) << (7 * place).astype(np.uint64), first) if len(data) else data
+    values = np.add.reduceat((data & np.uint64(127)) << (7 * place).astype(np.uint64), first)
     return np.cumsum((values >> np.uint64(1)).astype(np.int64) ^ -(values & np.uint64(1)).astype(np.int64)).tolist()
 
 
-@pandas_udf("binary")
+@pandas_udf(BinaryType())
 def packed_deltas(values: pd.Series) -> pd.Series:
     """Whole numbers as zigzag varints of their differences; null for null."""
     return values.map(lambda v: None if v is None else _zigzag(np.asarray(v, np.int64)))
 
 
-@pandas_udf("array<long>")
+@pandas_udf(ArrayType(LongType()))
 def unpacked_deltas(raw: pd.Series) -> pd.Series:
     """What ``packed_deltas`` packed."""
     return raw.map(lambda b: None if b is None else _unzigzag(b))

@@ -108,3 +108,60 @@ def geojson(df: DataFrame, lat: str, lon: str, properties: Sequence[str]) -> Dat
     """One GeoJSON feature per row."""
     point = F.struct(F.lit("Point").alias("type"), F.array(lon, lat).alias("coordinates"))
     return df.select(F.to_json(F.struct(F.lit("Feature").alias("type"), point.alias("geometry"), F.struct(*properties).alias("properties"))).alias("feature"))
+
+
+def gpx_points(spark: SparkSession, path: str) -> DataFrame:
+    """(track, seg, ord, lat, lon, ele, time) of the track points of GPX files; a track is known by its file and place there."""
+    point = "array<struct<_lat:double,_lon:double,ele:double,time:timestamp>>"
+    raw = spark.read.format("xml").options(rowTag="trk").schema(f"name string, trkseg array<struct<trkpt:{point}>>").load(path)
+    tracks = raw.select(F.concat_ws("#", F.input_file_name(), F.monotonically_increasing_id().cast("string")).alias("track"), F.posexplode("trkseg").alias("seg", "s"))
+    return tracks.select("track", "seg", F.posexplode("s.trkpt").alias("ord", "p")).select(
+        "track", "seg", "ord", F.col("p._lat").alias("lat"), F.col("p._lon").alias("lon"), F.col("p.ele").alias("ele"), F.col("p.time").alias("time")
+    )
+
+
+def json_documents(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One row per JSON document, whole file or array of objects; files that don't parse give rows of nulls."""
+    return spark.read.schema(schema).option("multiLine", True).json(path)
+
+
+def dump_pages(spark: SparkSession, path: str) -> DataFrame:
+    """(id, title, fields) of the pages of a wiki dump whose text is a JSON object; other pages have null fields."""
+    schema = "id long, title string, revision struct<text:string>"
+    pages = spark.read.format("xml").options(rowTag="page").schema(schema).load(path)
+    return pages.select("id", "title", F.from_json("revision.text", "map<string,string>").alias("fields"))
+
+
+def geojson_features(spark: SparkSession, path: str, names: Sequence[str]) -> DataFrame:
+    """(tags, type, coordinates) of GeoJSON features, one per line; tags are the named properties that a feature has."""
+    fields = ", ".join(f"{n}: string" for n in names)
+    raw = spark.read.schema(f"properties struct<{fields}>, geometry struct<type: string, coordinates: string>").json(path)
+    tags = F.map_filter(F.create_map(*(x for n in names for x in (F.lit(n), F.col(f"properties.{n}")))), lambda k, v: v.isNotNull())
+    return raw.select(tags.alias("tags"), F.col("geometry.type").alias("type"), F.col("geometry.coordinates").alias("coordinates"))
+
+
+def write_osm_nodes(nodes: DataFrame, path: str) -> None:
+    """Nodes (id, lat, lon, tags) as XML elements, in the form that ``osm_xml`` reads."""
+    tag = F.transform(F.map_entries("tags"), lambda e: F.struct(e["key"].alias("_k"), e["value"].alias("_v")))
+    out = nodes.select(F.col("id").alias("_id"), F.col("lat").alias("_lat"), F.col("lon").alias("_lon"), tag.alias("tag"))
+    out.write.format("xml").options(rootTag="osm", rowTag="node", declaration="version='1.0'").save(path)
+
+
+def write_csv_union(frames: Sequence[DataFrame], path: str) -> None:
+    """Frames with different columns as one CSV, whose header is the union of their columns."""
+    first, *rest = frames
+    for df in rest:
+        first = first.unionByName(df, allowMissingColumns=True)
+    first.write.csv(path, header=True, quote='"', escape='"')
+
+
+def purged(df: DataFrame, time: str, before: str, referenced: DataFrame | None = None, key: str | None = None) -> DataFrame:
+    """Rows that a rotation keeps: not older than ``before``, or still referenced by key. Rows without a time are kept."""
+    old = F.coalesce(F.col(time) < F.lit(before).cast("timestamp"), F.lit(False))
+    kept = df.filter(~old)
+    return kept if referenced is None else kept.unionByName(df.filter(old).join(referenced.select(key).distinct(), key, "left_semi").select(*df.columns))
+
+
+def without_blocked(tables: dict[str, tuple[DataFrame, str]], blocked: DataFrame, key: str) -> dict[str, DataFrame]:
+    """Each table, given with the name of its key column, without the rows of blocked keys; null keys stay."""
+    return {name: df.join(blocked.select(F.col(key).alias(column)).distinct(), column, "left_anti") for name, (df, column) in tables.items()}
