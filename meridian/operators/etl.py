@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.functions.columns import haversine
+from meridian.operators.maps import kept
 from meridian.operators.ranking import newest
 
 
@@ -20,14 +21,15 @@ def token_index(objects: DataFrame, id_col: str, text_col: str) -> DataFrame:
 def hierarchy_paths(nodes: DataFrame, id_col: str, parent_col: str, deepest: int = 30) -> DataFrame:
     """id, depth and path from the root; nodes that reach no root within ``deepest`` steps are left out.
 
-    Each step joins the frontier to its children, so cycles end with the depth limit.
+    Each step joins the frontier to its children, so cycles end with the depth limit. A frontier is kept before the
+    next one is made of it, so no level is joined twice.
     """
     rows = nodes.select(F.col(id_col).alias("id"), F.col(parent_col).alias("parent"))
     front = rows.filter("parent is null").select("id", F.lit(0).alias("depth"), F.col("id").cast("string").alias("path"))
     out = front
     for depth in range(1, deepest + 1):
         up = front.select(F.col("id").alias("parent"), "path")
-        front = rows.join(up, "parent").select("id", F.lit(depth).alias("depth"), F.concat_ws("/", "path", F.col("id").cast("string")).alias("path"))
+        front = kept(rows.join(up, "parent").select("id", F.lit(depth).alias("depth"), F.concat_ws("/", "path", F.col("id").cast("string")).alias("path")))
         if front.isEmpty():
             break
         out = out.union(front)
