@@ -103,3 +103,25 @@ def test_sources(spark, tmp_path):
     rows = spark.createDataFrame([(1, datetime(2023, 1, 1)), (2, datetime(2023, 1, 1)), (3, datetime(2024, 5, 1)), (4, None)], "k long, t timestamp")
     assert sorted(r.k for r in readers.purged(rows, "t", "2024-01-01", spark.createDataFrame([(2,)], "k long"), "k").collect()) == [2, 3, 4]
     assert sorted(r.k for r in readers.without_blocked({"r": (rows, "k")}, spark.createDataFrame([(1,)], "id long"), "id")["r"].collect()) == [2, 3, 4]
+
+
+def test_mappings(spark):
+    from meridian.functions.mappings import Translation, due_ids, mapped, window_seconds
+
+    df = spark.createDataFrame([(1, "a", None), (2, "b", "x"), (3, "a", "y")], "id long, k string, v string")
+    assert [tuple(r) for r in mapped(df, {"where": {"k": "a"}, "select": {"n": "id", "t": ["k", "v"]}}).orderBy("n").collect()] == [(1, "a"), (3, "a y")]
+    assert mapped(df, {"where": {"v": None}}).count() == 1 and mapped(df, {}).columns == df.columns and mapped(df, {"where": {"k": ["a", "b"]}}).count() == 3
+
+    class Parks(Translation):
+        def keep(self, tags):
+            return tags["type"] == "park"
+
+        def translate(self, tags):
+            return F.create_map(F.lit("leisure"), tags["type"])
+
+    layer = spark.createDataFrame([(1, {"type": "park"}), (2, {"type": "road"}), (3, None)], "id long, tags map<string,string>")
+    assert [(r.id, r.tags) for r in Parks().transform(layer).collect()] == [(1, {"leisure": "park"})]
+    ids = lambda *v: spark.createDataFrame([(x,) for x in v], "id long")
+    due, mark = due_ids(ids(1, 2, 5), ids(3, 3, 5), 3)
+    assert [r.id for r in due.collect()] == [3, 6, 7] and mark.first().mark == 6 and due_ids(ids(), ids(), 2)[1].first().mark == 1
+    assert [window_seconds(s) for s in (0, 610, 615, 1300, 9999)] == [0, 0, 600, 1200, 2400]
