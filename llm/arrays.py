@@ -16,7 +16,6 @@ import pyarrow.compute as pc
 #: Bytes of text that are handled at a time.
 SLICE = 4 << 20
 BLOCK = 1 << 18
-_MULTIPLIER = 0x9E3779B97F4A7C15 | 1
 
 
 def lut(values: str | bytes | list[int], base: np.ndarray | None = None) -> np.ndarray:
@@ -41,25 +40,10 @@ def _spread(n: int, seed: int) -> np.ndarray:
     return np.random.default_rng(seed).integers(0, 2**63, n, np.uint64) * np.uint64(2) + np.uint64(1)
 
 
-_VALUES = _spread(256, 7)
 _SHIFTS = _spread(64, 11)
-
-
-def _powers(n: int, m: int) -> np.ndarray:
-    out = np.full(n, m, np.uint64)
-    out[0] = 1
-    return np.multiply.accumulate(out)
-
-
-_tables: dict[str, np.ndarray] = {}
-
-
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_tables.get("up", ())) < n:
-        size = max(n, 2 * BLOCK)
-        _tables["up"] = _powers(size, _MULTIPLIER)
-        _tables["down"] = _powers(size, pow(_MULTIPLIER, -1, 2**64))
-    return _tables["up"], _tables["down"]
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Keeps the first k of eight bytes.
+_KEEP = np.array([2 ** (8 * k) - 1 for k in range(9)], np.uint64)
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -113,35 +97,54 @@ def runs(data: np.ndarray, offsets: np.ndarray, separator: np.ndarray) -> tuple[
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
+def _eights(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(eight bytes each of spans of ``data``, the last filled up with zeros; place in its span; blocks of each span)."""
+    count = (ends - starts + 7) // 8
+    first = np.cumsum(count) - count
+    place = np.arange(int(count.sum())) - np.repeat(first, count)
+    at = np.repeat(starts, count) + 8 * place
+    padded = np.concatenate([data, np.zeros(8, np.uint8)])
+    every = np.ndarray(len(data) + 1, "<u8", padded, strides=(1,))
+    return every[at] & _KEEP[np.minimum(np.repeat(ends, count) - at, 8)], place, count
+
+
 def hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, fold: np.ndarray = SAME) -> np.ndarray:
-    """64-bit hash of each span of bytes, after ``fold``. Spans are sorted and do not overlap."""
-    out = np.empty(len(starts), np.uint64)
-    values = _VALUES[fold]
-    long = np.flatnonzero(ends - starts > 4 * BLOCK)
-    if len(long):  # in pieces, so that the power tables stay small
-        short = ends - starts <= 4 * BLOCK
-        out[short] = hashes(data, starts[short], ends[short], fold)
-        for k in long:
-            cuts = np.arange(starts[k], ends[k], 2 * BLOCK)
-            with np.errstate(over="ignore"):
-                total = np.uint64(0)
-                for h in hashes(data, cuts, np.append(cuts[1:], ends[k]), fold):
-                    total = total * np.uint64(_MULTIPLIER) + h
-            out[k] = total
-        return out
+    """64-bit hash of each span of bytes, after ``fold``. Spans are sorted, not empty, and do not overlap.
+
+    Each eight bytes are mixed, mixed again with their place in the span, and summed, so that words which
+    defeat a polynomial (those in the order of Thue and Morse, say) get different hashes.
+    """
+    out = np.zeros(len(starts), np.uint64)
     i = 0
     while i < len(starts):
         base = int(starts[i])
         j = max(i + 1, int(np.searchsorted(ends, base + BLOCK, "right")))
-        a, b = starts[i:j] - base, ends[i:j] - base
-        size = int(b[-1])
-        up, down = _power_tables(size + 1)
-        total = np.empty(size + 1, np.uint64)
-        total[0] = 0
-        np.cumsum(values[data[base : base + size]] * up[:size], out=total[1:])
-        out[i:j] = (total[b] - total[a]) * down[a] + (b - a).astype(np.uint64)
+        for a in range(base, int(ends[j - 1]), 8 * BLOCK):  # more than one step only for a long span, alone
+            part = fold[data[a : min(int(ends[j - 1]), a + 8 * BLOCK)]]
+            from_, to = np.maximum(starts[i:j], a) - a, np.minimum(ends[i:j] - a, len(part))
+            values, place, count = _eights(part, from_, to)
+            place = place + np.repeat((a + from_ - starts[i:j]) // 8, count)
+            values = mix(mix(values) + (place + 1).astype(np.uint64) * _STEP)
+            out[i:j] += np.add.reduceat(values, np.cumsum(count) - count)
+        i = j
+    return mix(out + (ends - starts).astype(np.uint64))
+
+
+def differing(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, like: np.ndarray) -> np.ndarray:
+    """Numbers of the spans whose bytes aren't those of span ``like`` of the same list."""
+    odd = (ends - starts) != (ends - starts)[like]
+    out = [np.flatnonzero(odd)]
+    check = np.flatnonzero(~odd & (like != np.arange(len(like))))
+    total = np.cumsum((ends - starts)[check])
+    i = 0
+    while i < len(check):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + SLICE, "right")))
+        mine = check[i:j]
+        a, _, count = _eights(data, starts[mine], ends[mine])
+        b, _, _ = _eights(data, starts[like[mine]], ends[like[mine]])
+        out.append(mine[np.unique(np.repeat(np.arange(len(mine)), count)[a != b])])
         i = j
-    return mix(out)
+    return np.concatenate(out)
 
 
 def grams(h: np.ndarray, rows: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:

@@ -1,6 +1,7 @@
 """Distinct-chunk tables: segment each different chunk of text once, then join the results by position.
 
-A task keeps a table from chunk (by 64-bit hash) to what a tokenizer made of it. The table is bounded and
+A task keeps a table from chunk, by its bytes, to what a tokenizer made of it. Within a slice equal chunks are
+found by hash and compared byte by byte, so that chunks of equal hashes stay apart. The table is bounded and
 starts anew when full, so memory does not follow the vocabulary; a chunk that is met again later is
 segmented again.
 """
@@ -25,14 +26,17 @@ class ChunkTable:
 
     def values(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[list, np.ndarray]:
         """(value of each different chunk, index of the value of each chunk)."""
-        keys, first, inverse = np.unique(A.hashes(data, starts, ends), return_index=True, return_inverse=True)
-        names = keys.tolist()
-        missing = [k for k, name in enumerate(names) if name not in self.known]
-        if len(self.known) + len(missing) > KEPT:
-            self.known, missing = {}, range(len(names))
+        _, first, inverse = np.unique(A.hashes(data, starts, ends), return_index=True, return_inverse=True)
+        odd = A.differing(data, starts, ends, first[inverse])
+        if len(odd):  # other bytes of the same hash are entries of their own
+            inverse[odd] = len(first) + np.arange(len(odd))
+            first = np.append(first, odd)
         raw = data.tobytes()
-        made = self.segment([raw[starts[i] : ends[i]] for i in first[list(missing)].tolist()]) if len(missing) else []
-        self.known.update((names[k], value) for k, value in zip(missing, made))
+        names = [raw[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())]
+        missing = {name: None for name in names if name not in self.known}
+        if len(self.known) + len(missing) > KEPT:
+            self.known, missing = {}, dict.fromkeys(names)
+        self.known.update(zip(missing, self.segment(list(missing)) if missing else ()))
         return [self.known[name] for name in names], inverse
 
 

@@ -24,7 +24,10 @@ there, to the part of the hash space that owns it; what a shingle that very many
 grows with the number of chunks only. Parts and chunks grow with the corpus: a part holds about ``PART``
 entries, a chunk a few for each part.
 
-Shingles are 52-bit hashes. Defined cases: null and empty texts, and texts without words, have no
+Shingles are 64-bit hashes; the first count goes by 38 bits or more of them, which can only keep too much. Rows are
+fetched by id and text, so that many texts of one id cost what those of many ids do, and tasks sort what they
+fetched, so that a task that runs again makes the same chunks; the first pass relies on its input for that, as
+files give it. Defined cases: null and empty texts, and texts without words, have no
 shingles and link with nothing; texts of one to four words have one shingle, the whole sequence; repeated
 rows and equal ids fall into one class; a row without an id belongs to the component of the rows that it
 links with, which is null where none has an id; an empty table gives an empty result. Only doc_id and text
@@ -47,8 +50,8 @@ from llm.tables import per_batch, saved
 
 WORDS = 5
 PERCENT = 80
-BITS = 52
-ROWS = 1 << (64 - BITS)
+#: Rows of a text slice, at most.
+ROWS = 2048
 SEGMENTS = 256
 #: Entries that one part of the hash space should hold, about.
 PART = 1 << 21
@@ -69,7 +72,7 @@ def extra(n):
 
 
 def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct (row, shingle) pairs, sorted; at most ROWS rows."""
+    """Distinct (row, shingle) pairs, sorted."""
     starts, ends, rows = A.runs(data, offsets, A.SPACE)
     h = A.hashes(data, starts, ends, A.LOWER)
     gram, at = A.grams(h, rows, WORDS)
@@ -84,18 +87,22 @@ def shingle_sets(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.
         np.add.at(short, rows[mine], A.mix(h[mine] + place.astype(np.uint64)))
         gram = np.concatenate([gram, A.mix(short[few] + per[few].astype(np.uint64))])
         owner = np.concatenate([owner, np.flatnonzero(few)])
-    key = np.sort((owner.astype(np.uint64) << np.uint64(BITS)) | (gram >> np.uint64(64 - BITS)))
-    if len(key):
-        key = key[np.append(True, key[1:] != key[:-1])]
-    return (key >> np.uint64(BITS)).astype(np.int64), key & np.uint64((1 << BITS) - 1)
+    if few.any():
+        order = np.argsort(owner, kind="stable")
+        gram, owner = gram[order], owner[order]
+    cut = np.searchsorted(owner, np.arange(len(offsets))).tolist()
+    for a, b in zip(cut, cut[1:]):
+        gram[a:b].sort()
+    new = np.append(True, (gram[1:] != gram[:-1]) | (owner[1:] != owner[:-1]))[: len(gram)]
+    return owner[new], gram[new]
 
 
 def _sets(batch: pa.RecordBatch):
     """(first row, last row, row of each shingle, shingle, size and both digests of each row) by slice."""
     data, offsets = A.buffer(batch.column("text"))
     for a, b in A.slices(offsets, 2 * A.SLICE):
-        for i in range(a, b, ROWS // 2):
-            j = min(b, i + ROWS // 2)
+        for i in range(a, b, ROWS):
+            j = min(b, i + ROWS)
             rows, tokens = shingle_sets(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
             cut = np.searchsorted(rows, np.arange(j - i + 1))
             digests = []
@@ -160,7 +167,7 @@ class _Chunk:
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array(part[names], pa.int32()), pa.array(np.full(len(names), number)), _blobs(rows.astype(np.uint16), cut), _blobs(rest.astype(np.uint32), cut),
-                _blobs((rest >> np.uint64(32)).astype(np.uint16), none if first else cut), _blobs(count.astype(np.uint16), none if first else cut),
+                _blobs((rest >> np.uint64(32)).astype(np.uint32), none if first else cut), _blobs(count.astype(np.uint16), none if first else cut),
             ],
             ["part", "chunk", "rows", "low", "high", "count"],
         )
@@ -219,7 +226,7 @@ def _count(bits: int, first: bool):
         tokens = _parse(table.column("low"), np.uint32)[0]
         held = np.where(rows == NO_ROW, 2, 1)
         if not first:
-            tokens = tokens.astype(np.uint64) | (_parse(table.column("high"), np.uint16)[0].astype(np.uint64) << np.uint64(32))
+            tokens = tokens.astype(np.uint64) | (_parse(table.column("high"), np.uint32)[0].astype(np.uint64) << np.uint64(32))
             held = _parse(table.column("count"), np.uint16)[0].astype(np.int64)
         order = np.argsort(tokens, kind="stable")
         ordered = tokens[order]
@@ -370,10 +377,11 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     n_rows, total = docs.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     # a class is known by its smallest id; one without ids by a number that no usual id has
     unnamed = F.lit(1 << 62) + F.min("d1").bitwiseAND(F.lit((1 << 61) - 1))
+    named_first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("named")
     classes = saved(
         docs.filter("n > 0").groupBy("d1", "d2")
-        .agg(F.min("doc_id").alias("doc_id"), F.min(F.when(F.col("doc_id").isNull(), F.col("h"))).alias("h"), F.count("*").alias("copies"), unnamed.alias("unnamed"))
-        .select("d1", "d2", F.coalesce("doc_id", "unnamed").alias("u"), "doc_id", "h", "copies")
+        .agg(named_first, F.min(F.when(F.col("doc_id").isNull(), F.col("h"))).alias("h"), F.count("*").alias("copies"), unnamed.alias("unnamed"))
+        .select("d1", "d2", F.coalesce("named.doc_id", "unnamed").alias("u"), "named.doc_id", F.coalesce("named.h", "h").alias("h"), "copies")
     )
 
     def counted(df: DataFrame, entries: float, first: bool) -> DataFrame:
@@ -383,9 +391,10 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     possible = counted(texts.select("text"), total * (120 - percent) / 100, True).applyInArrow(_possible(percent), "d1 long, d2 long")
     possible = saved(classes.join(possible.distinct(), ["d1", "d2"]))
     facts = ("u", "d1", "d2")
-    fetched = possible.filter("doc_id is not null").select("doc_id", *facts).join(texts.filter("doc_id is not null"), "doc_id").select(*facts, "text")
-    unnamed_texts = texts.filter("doc_id is null").select("text").distinct().withColumn("h", F.xxhash64("text"))
-    fetched = fetched.union(possible.filter("doc_id is null").select("h", *facts).join(unnamed_texts, "h").select(*facts, "text"))
+    hashed = texts.withColumn("h", F.xxhash64("text"))
+    fetched = possible.filter("doc_id is not null").select("doc_id", "h", *facts).join(hashed.filter("doc_id is not null"), ["doc_id", "h"]).select(*facts, "text")
+    unnamed_texts = hashed.filter("doc_id is null").select("text", "h").distinct()
+    fetched = fetched.union(possible.filter("doc_id is null").select("h", *facts).join(unnamed_texts, "h").select(*facts, "text")).sortWithinPartitions("d1", "d2")
     chosen = counted(fetched, total / 2, False).applyInArrow(_survivors(percent), "u long, n int, own int, prefix array<long>, s0 long, s1 long, s2 long, s3 long, tokens binary")
     links = _links(saved(chosen).withColumnRenamed("u", "v"), percent)
 

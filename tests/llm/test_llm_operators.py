@@ -9,7 +9,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from llm import html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
+from llm import arrays, html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
 
 BASE = "the of and to in is that it was for on are with as his they be at one have this from or had by hot word but what some we can out other were all there when up use your how said an each she which do their time if will way about many then them write would like so these her long make thing see him two has look more day could go come did number sound no most people my over know water than call first who may down side been now find".split()
 
@@ -20,10 +20,14 @@ def prose(n: int, seed: int) -> str:
 
 
 LONG = prose(30_000, 1)
+#: A word and its mirror, which have the same hash by any polynomial modulo a power of two.
+THUE = "".join("ab"[i.bit_count() % 2] for i in range(1024))
+SWAP = str.maketrans("ab", "ba")
 ROWS = [
     (1, "mail a.b@x.org, ip 10.0.0.255 and 300.1.1.1; card 4111 1111 1111 1111 phone +1 (415) 555-0132."),
     (2, None), (3, ""), (4, " \n\t "), (5, "one two three"), (6, "ONE two Three"), (7, prose(60, 2)), (8, prose(60, 2)), (8, prose(60, 2)),
     (9, prose(60, 2).replace("the", "THE") + " end"), (10, LONG), (11, LONG + " tail"), (12, "x" * 300_000), (13, "é ß 日本 語\x85<|endoftext|> ▁x  y "),
+    (20, THUE), (21, THUE.translate(SWAP)), (22, THUE + "\n" + THUE.translate(SWAP)),
     (14, "a b c d e f g h " * 5), (15, "line one here\nline one here\n\n  \nline two\n"), (None, "no id"), (16, "DE89 3704 0044 0532 0130 00 ssn 123-45-6789"), (17, prose(50, 3)), (18, prose(50, 3) + " z"),
 ]
 SCHEMA = "doc_id long, text string"
@@ -100,6 +104,33 @@ def test_jaccard(docs, none):
     assert kept == sorted((i for i, t in dict(ROWS).items() if root(i) == i), key=str)
 
 
+def test_jaccard_many_texts_of_one_id(spark):
+    """All rows carry one id, as a hot key would; texts come in pairs of near copies."""
+    words = [prose(60, k // 2).split() for k in range(400)]
+    texts = [(7, " ".join(w[:-1] + [f"end{k % 2}"])) for k, w in enumerate(words)]
+    got = jaccard.near_duplicates(spark.createDataFrame(texts, SCHEMA)).collect()
+    assert len(got) == 400 and {(r.doc_id, r.component_id) for r in got} == {(7, 7)}
+    names = [(k, t) for k, (_, t) in enumerate(texts)] + [(None, t) for _, t in texts[:40]]
+    got = jaccard.near_duplicates(spark.createDataFrame(names, SCHEMA)).collect()
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in got if r.doc_id is not None)
+    assert sorted(r.component_id for r in got if r.doc_id is None) == [k // 2 * 2 for k in range(40)]
+
+
+def test_hashes_of_words_and_long_spans():
+    rng = np.random.default_rng(5)
+    data = rng.integers(97, 100, 3 << 20).astype(np.uint8)
+    cuts = np.array([0, 1, 9, 17, 2_500_000, 2_500_003, 3 << 20])
+    got = arrays.hashes(data, cuts[:-1], cuts[1:])
+    again = np.concatenate([data[a:b] for a, b in zip(cuts[:-1], cuts[1:])][::-1])
+    size = np.diff(cuts)[::-1]
+    ends = np.cumsum(size)
+    assert (arrays.hashes(again, ends - size, ends)[::-1] == got).all()
+    pairs = np.frombuffer((THUE + THUE.translate(SWAP) + THUE).encode(), np.uint8)
+    starts = np.array([0, 1024, 2048])
+    h = arrays.hashes(pairs, starts, starts + 1024)
+    assert h[0] == h[2] != h[1] and arrays.differing(pairs, starts, starts + 1024, np.array([0, 0, 0])).tolist() == [1]
+
+
 def test_jaccard_chain_of_near_copies(spark):
     rng = np.random.default_rng(4)
     base = prose(150, 9).split()
