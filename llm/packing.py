@@ -10,7 +10,8 @@ makes bins; then local search takes the least filled bin and moves its pieces in
 of them for a shorter one, or two of them for a single shorter one, of an underfull bin that is at least
 as full. Each step raises the sum of squared fills. The underfull bins are gone through again and again; the
 search ends when no step helps for any of them, or when the block has as few bins as its lengths need. Bins
-that stay underfull are dealt again, all blocks' together, until one block holds them or a round saves no bin.
+that stay underfull are dealt again, all blocks' together, until one block holds them or a round saves less than
+``LEAST_SAVED`` of the bins that were left.
 
 Defined cases: a null text is the empty text, whose only id is 0; repeated rows, equal ids and null ids are
 packed row by row, dealt by a key of the row; pieces of equal length go by id, piece and row; an empty table
@@ -38,6 +39,8 @@ CAPACITY = 2048
 BLOCK = 4096
 #: Bins emptier than this share are packed again.
 UNDERFULL = 0.995
+#: Share of the left bins that a further round must save.
+LEAST_SAVED = 0.001
 SOLID = np.array([32 < b != 127 for b in range(256)])
 LETTER = np.array([b < 128 and chr(b).isalpha() for b in range(256)])
 #: Second bytes of two-byte letters whose first byte is C3.
@@ -57,8 +60,9 @@ def cut(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """Starts of chunks, at places where a pre-token always starts: a text, a single space between words, a
     single line break and what follows it, a stop after a Latin letter."""
     solid = SOLID[data]
-    for i in np.flatnonzero(DOUBTFUL[data]):
-        solid[i : i + 3] = False
+    doubtful = np.flatnonzero(DOUBTFUL[data])
+    for k in range(3):
+        solid[np.minimum(doubtful + k, len(data) - 1)] = False
     first = np.zeros(len(data) + 1, bool)
     first[offsets] = True
     before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
@@ -248,7 +252,7 @@ def _packer(capacity: int, level: int):
         table, lengths = table.take(pa.array(order)), lengths[order]
         bins = local_search(best_fit(lengths, capacity), lengths, capacity)
         sequence, offset, fill = (np.zeros(len(lengths), np.int64) for _ in range(3))
-        base = (level << 58) + (int(table.column("block")[0].as_py()) << 24)
+        base = (level << 53) + (int(table.column("block")[0].as_py()) << 24)
         for k, b in enumerate(bins):
             own = lengths[b]
             sequence[b], offset[b], fill[b] = base + k, np.cumsum(own) - own, own.sum()
@@ -265,15 +269,18 @@ def pack(items: DataFrame, capacity: int = CAPACITY, block: int = BLOCK) -> Data
     items = saved(items.select(*_COLUMNS, F.monotonically_increasing_id().alias("row_key")))
     full = items.filter(F.col("length") == capacity).select(*_COLUMNS, (-1 - F.monotonically_increasing_id()).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     rest, done, level, before = items.filter(F.col("length") < capacity), full, 1, None
+    blocks = max(1, -(-rest.count() // block))
     while True:
-        n = rest.count()
-        blocks = max(1, -(-n // block))
         dealt = rest.withColumn("block", F.pmod(F.xxhash64("row_key", F.lit(level)), F.lit(blocks)))
         packed = dealt.groupBy("block").applyInArrow(
             _packer(capacity, level), "doc_id long, piece int, start long, length long, ids_crc32 long, row_key long, sequence_id long, offset long, fill long"
         )
-        if blocks == 1 or n == before or level == 30:
+        if blocks == 1:
             return done.union(packed.select(*done.columns))
         packed = saved(packed)
+        bins = packed.filter("offset = 0").agg(F.count("*").alias("all"), F.count(F.when(F.col("fill") < UNDERFULL * capacity, 1)).alias("left")).first()
+        if before is not None and before - bins["all"] <= LEAST_SAVED * before:
+            return done.union(packed.select(*done.columns))
         done = done.union(packed.filter(F.col("fill") >= UNDERFULL * capacity).select(*done.columns))
-        rest, before, level = packed.filter(F.col("fill") < UNDERFULL * capacity).select(*_COLUMNS, "row_key"), n, level + 1
+        rest, before, level = packed.filter(F.col("fill") < UNDERFULL * capacity).select(*_COLUMNS, "row_key"), bins["left"], level + 1
+        blocks = max(1, -(-rest.count() // block))

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
+from llm import audit, html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
 from llm.tables import held_out, read
 
 
@@ -59,6 +59,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(read(spark, sf_dir, "pages"))
 
 
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -66,7 +70,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_packing, op3_topk, op4_sentencepiece, op5_pii, op6_licences, op7_jaccard, op8_quality, op9_language, op10_html, pipeline)
+    f.__name__: f for f in (op1_toxicity, op2_packing, op3_topk, op4_sentencepiece, op5_pii, op6_licences, op7_jaccard, op8_quality, op9_language, op10_html, op12_filter_audit, pipeline)
 }
 
 #: The rest can't be said in SQL or would not end on whole tables; tests/llm hold them against brute force.
@@ -80,5 +84,34 @@ scored AS (
   FROM fine q JOIN fine c ON q.no <> c.no WHERE q.vec_id % 50 = 0)
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
 FROM (SELECT *, row_number() OVER (PARTITION BY query_id, query_no ORDER BY score DESC, vec_id, no) AS rank FROM scored) WHERE rank <= 5
+""",
+    "op12_filter_audit": r"""
+WITH d AS (SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents),
+w AS (SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words FROM d),
+earliest AS (SELECT text, min(doc_id) AS least FROM d GROUP BY text),
+said AS (SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic FROM labels GROUP BY doc_id),
+masks AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(words) < 200 THEN 1 ELSE 0 END + CASE WHEN 100 * len(list_distinct(words)) < 50 * len(words) THEN 2 ELSE 0 END
+    + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 3 * length(text) THEN 4 ELSE 0 END
+    + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask
+  FROM w JOIN earliest USING (text) LEFT JOIN said USING (doc_id)),
+counted AS (SELECT part, mask, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM masks GROUP BY part, mask),
+f AS (SELECT i, 1 << i AS bit, substr('ABCDE', CAST(i AS INTEGER) + 1, 1) AS name FROM range(5) r(i)),
+o AS (
+  SELECT a.name || b.name || c.name || d.name || e.name AS filter_order, [a.bit, b.bit, c.bit, d.bit, e.bit] AS bits
+  FROM f a, f b, f c, f d, f e WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31 AND len(list_distinct([a.bit, b.bit, c.bit, d.bit, e.bit])) = 5),
+steps AS (SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::BIGINT AS earlier FROM o, range(1, 6) s(step)),
+every AS (
+  SELECT part, filter_order, step, bit,
+    sum(CASE WHEN mask & (earlier | bit) = 0 THEN n ELSE 0 END) AS kept, sum(CASE WHEN mask & bit > 0 AND mask & earlier = 0 THEN n ELSE 0 END) AS removed,
+    sum(CASE WHEN mask & bit > 0 AND mask & earlier > 0 THEN n ELSE 0 END) AS redundant, sum(CASE WHEN mask = bit THEN n ELSE 0 END) AS unique_fails,
+    sum(CASE WHEN mask & bit > 0 AND mask & earlier = 0 THEN good ELSE 0 END) AS good_lost,
+    sum(CASE WHEN mask & bit > 0 AND mask & earlier = 0 THEN toxic ELSE 0 END) AS toxic_lost
+  FROM counted, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) AS kept, CAST(removed AS BIGINT) AS removed, CAST(redundant AS BIGINT) AS redundant,
+  CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
+  CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
+FROM every
 """,
 }
