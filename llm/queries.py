@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import audit, html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
+from llm import audit, decontaminate, html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
 from llm.tables import held_out, read
 
 
@@ -63,6 +63,10 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -70,7 +74,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_packing, op3_topk, op4_sentencepiece, op5_pii, op6_licences, op7_jaccard, op8_quality, op9_language, op10_html, op12_filter_audit, pipeline)
+    f.__name__: f for f in (op1_toxicity, op2_packing, op3_topk, op4_sentencepiece, op5_pii, op6_licences, op7_jaccard, op8_quality, op9_language, op10_html, op12_filter_audit, op13_decontamination, pipeline)
 }
 
 #: The rest can't be said in SQL or would not end on whole tables; tests/llm hold them against brute force.
@@ -113,5 +117,28 @@ SELECT part, filter_order, CAST(step AS INTEGER) AS step, CAST(kept AS BIGINT) A
   CAST(unique_fails AS BIGINT) AS unique_fails, CAST(good_lost AS BIGINT) AS good_lost, CAST(toxic_lost AS BIGINT) AS toxic_lost,
   CAST(sum(removed) OVER (PARTITION BY part, bit) AS BIGINT) AS shapley
 FROM every
+""",
+    "op13_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, row_number() OVER () AS no,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+i AS (
+  SELECT CAST(item_id AS VARCHAR) AS item_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+iw AS (
+  SELECT DISTINCT item_id, m, array_to_string(w[k:k + m - 1], ' ') AS win
+  FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM (SELECT *, least(len(w), 10) AS m FROM i WHERE len(w) > 0))),
+dw AS (
+  SELECT no, m, k, array_to_string(w[k:k + m - 1], ' ') AS win
+  FROM (SELECT no, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM d, (SELECT DISTINCT m FROM iw) WHERE len(w) >= m)),
+hits AS (SELECT DISTINCT no, k, dw.m AS m FROM dw WHERE win IN (SELECT win FROM iw WHERE iw.m = dw.m)),
+places AS (SELECT no, count(DISTINCT p) AS n_hit FROM (SELECT no, unnest(range(k, k + m)) AS p FROM hits) GROUP BY no),
+held AS (SELECT DISTINCT no, item_id FROM dw JOIN iw USING (m, win) WHERE item_id IS NOT NULL),
+ids AS (SELECT no, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id) AS names FROM held GROUP BY no)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN places USING (no) LEFT JOIN ids USING (no)
 """,
 }
