@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import audit, decontaminate, html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
+from llm import audit, collocations, decontaminate, html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
 from llm.tables import held_out, read
 
 
@@ -59,6 +59,10 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extracted(read(spark, sf_dir, "pages"))
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read(spark, sf_dir, "documents"))
+
+
 def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return audit.audit(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -74,7 +78,7 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_toxicity, op2_packing, op3_topk, op4_sentencepiece, op5_pii, op6_licences, op7_jaccard, op8_quality, op9_language, op10_html, op12_filter_audit, op13_decontamination, pipeline)
+    f.__name__: f for f in (op1_toxicity, op2_packing, op3_topk, op4_sentencepiece, op5_pii, op6_licences, op7_jaccard, op8_quality, op9_language, op10_html, op11_collocations, op12_filter_audit, op13_decontamination, pipeline)
 }
 
 #: The rest can't be said in SQL or would not end on whole tables; tests/llm hold them against brute force.
@@ -140,5 +144,29 @@ ids AS (SELECT no, count(*) AS n_items, string_agg(item_id, ',' ORDER BY item_id
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
   sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM d LEFT JOIN places USING (no) LEFT JOIN ids USING (no)
+""",
+    "op11_collocations": r"""
+WITH t AS (SELECT row_number() OVER () AS no, coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents),
+p AS (SELECT no, lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM (SELECT no, lang, unnest(regexp_split_to_array(text, '[.,;:!?\x0A-\x0D]')) AS piece FROM t)),
+g AS (
+  SELECT lang, k, w[i:i + k - 1] AS words
+  FROM (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM p, range(1, 4) s(k) WHERE len(w) >= k)),
+f AS MATERIALIZED (SELECT lang, k, array_to_string(words, ' ') AS phrase, words, count(*) AS a FROM g GROUP BY lang, k, words),
+n AS (SELECT lang, sum(a) AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS MATERIALIZED (SELECT * FROM f WHERE k > 1 AND a >= 10),
+cut AS MATERIALIZED (
+  SELECT lang, phrase, a, j, array_to_string(words[1:j], ' ') AS front, array_to_string(words[j + 1:], ' ') AS back
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+fronts AS MATERIALIZED (SELECT cut.*, x.a AS l FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = cut.front),
+cuts AS (
+  SELECT t.lang, t.phrase, t.a, l, y.a AS r, j, CAST(CAST(1000000 AS HUGEINT) * t.a * t.a // (CAST(l AS HUGEINT) * y.a) AS BIGINT) AS score
+  FROM fronts t JOIN f y ON y.lang = t.lang AND y.phrase = t.back),
+lowest AS (SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) AS place FROM cuts),
+inside AS (SELECT lang, a, unnest([array_to_string(words[1:2], ' '), array_to_string(words[2:3], ' ')]) AS phrase FROM c WHERE k = 3),
+dropped AS (SELECT DISTINCT c.lang, c.phrase FROM c JOIN inside i ON c.lang = i.lang AND c.phrase = i.phrase AND 100 * i.a >= 50 * c.a),
+ranked AS (
+  SELECT lang, phrase, a, l, r, score, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+  FROM lowest WHERE place = 1 AND NOT EXISTS (SELECT 1 FROM dropped d WHERE d.lang = lowest.lang AND d.phrase = lowest.phrase))
+SELECT lang, CAST(rank AS INTEGER) AS rank, phrase, a, l, r, CAST(n AS BIGINT) AS n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
 """,
 }
