@@ -14,7 +14,7 @@
 4. Every figure of every order follows from the counters of a part by a table over masks, orders and steps.
 
 Defined cases: a null text is the empty text, which has no words; a null part counts as the empty string; rows with
-a null id fail no duplicate filter and make none fail; repeated rows of one id don't make each other fail (no id is
+a null id fail no duplicate filter, make none fail and have no labels; repeated rows of one id don't make each other fail (no id is
 smaller), but each counts; a document has a label if any of its label rows says so; an empty table gives no rows;
 other columns are not read, whatever their names.
 """
