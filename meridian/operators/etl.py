@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from meridian.functions.columns import haversine
-from meridian.operators.maps import kept
+from meridian.operators.saving import saved
 from meridian.operators.ranking import newest
 
 
@@ -29,7 +29,7 @@ def hierarchy_paths(nodes: DataFrame, id_col: str, parent_col: str, deepest: int
     out = front
     for depth in range(1, deepest + 1):
         up = front.select(F.col("id").alias("parent"), "path")
-        front = kept(rows.join(up, "parent").select("id", F.lit(depth).alias("depth"), F.concat_ws("/", "path", F.col("id").cast("string")).alias("path")))
+        front = saved(rows.join(up, "parent").select("id", F.lit(depth).alias("depth"), F.concat_ws("/", "path", F.col("id").cast("string")).alias("path")))
         if front.isEmpty():
             break
         out = out.union(front)

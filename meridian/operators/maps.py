@@ -11,10 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-
-def kept(df: DataFrame) -> DataFrame:
-    """``df`` with its lineage cut by a checkpoint where a folder is set; else held in memory and on disk."""
-    return df.checkpoint() if df.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else df.persist()
+from meridian.operators.saving import saved
 
 
 def with_children(parents: DataFrame, children: DataFrame, key: str, order: Sequence[str], fields: Sequence[str], name: str) -> DataFrame:
@@ -139,10 +136,10 @@ def merged_border_points(points: DataFrame) -> DataFrame:
 
 def reached(edges: DataFrame, sources: DataFrame, steps: int) -> DataFrame:
     """(node, distance) of nodes that sources reach over edges (a, b) in at most ``steps`` steps; each node is expanded once."""
-    out = front = kept(sources.select("node").distinct().withColumn("distance", F.lit(0)))
+    out = front = saved(sources.select("node").distinct().withColumn("distance", F.lit(0)))
     for k in range(1, steps + 1):
         near = front.join(edges, F.col("node") == F.col("a")).select(F.col("b").alias("node")).distinct()
-        front = kept(near.join(out, "node", "left_anti").withColumn("distance", F.lit(k)))
+        front = saved(near.join(out, "node", "left_anti").withColumn("distance", F.lit(k)))
         out = out.union(front)
     return out
 
@@ -174,7 +171,7 @@ def enabled_above(ranked: DataFrame, enabled: DataFrame) -> DataFrame:
         lowest = ranked.join(keys, "key", "left_semi").groupBy("region").agg(F.max("rank").alias("lowest"))
         above = ranked.join(lowest, "region").filter(F.col("rank") <= F.col("lowest"))
         keys = above.select("key").union(keys).distinct()
-        keys = kept(keys)
+        keys = saved(keys)
         n = keys.count()
         if n == known:
             return above.select("region", "key")

@@ -11,6 +11,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.operators.saving import saved
+
 
 def word_dictionary(objects: DataFrame, text: str, predefined: Sequence[str], frequent: int, top: int, least: int) -> DataFrame:
     """(token, id, n) of common words: predefined, with ``frequent`` occurrences or more, or among the ``top`` most frequent.
@@ -60,17 +62,41 @@ def rolled(hours: DataFrame, time: str, sums: Mapping[str, tuple[str, int]]) ->
     return totals.filter("_own > 0").drop("_own").withColumnRenamed("_hour", time)
 
 
+def placed(df: DataFrame, order: Sequence[str]) -> DataFrame:
+    """(row, place, of): each row of ``df`` as a struct, its place (from 0) in ``order``, and the number of rows.
+
+    Rows are range-partitioned and sorted once, with all their columns, and saved; places follow from the saved
+    ranges and their sizes, so they don't depend on how a second plan would cut the ranges. Ties are placed in any order;
+    nulls come first.
+    """
+    keys = [f"k{k}" for k in range(len(order))]
+    ranged = df.select(F.struct(*df.columns).alias("row"), *(F.col(c).alias(k) for c, k in zip(order, keys))).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    parts = saved(ranged.select("row", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("at")))
+    sizes = parts.groupBy("part").agg(F.count("*").alias("n"))  # one row a partition
+    starts = sizes.select("part", (F.sum("n").over(Window.orderBy("part")) - F.col("n")).alias("before"), F.sum("n").over(Window.partitionBy()).alias("of"))
+    return parts.join(F.broadcast(starts), "part").select("row", (F.col("before") + F.col("at")).alias("place"), "of")
+
+
 def stride_sample(df: DataFrame, key: str, percent: int) -> DataFrame:
     """``percent`` of the rows (rounded up) at even steps in the order of ``key``: the first row at or after each multiple of
-    total / wanted. Places come from range partitions and their sizes, not from one sorted task."""
-    parts = df.repartitionByRange(key).sortWithinPartitions(key).select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id"))
-    parts = parts.withColumn("_at", F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
-    sizes = parts.groupBy("_part").agg(F.count("*").alias("_n"))
-    before = sizes.select(F.col("_part"), (F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).alias("_before"), F.sum("_n").over(Window.partitionBy()).alias("_total"))
-    placed = parts.join(F.broadcast(before), "_part").withColumn("_k", F.col("_before") + F.col("_at"))
-    wanted = F.ceil(F.col("_total") * percent / 100)
-    step = lambda k: F.floor(k * wanted / F.col("_total"))
-    return placed.filter((F.col("_k") == 0) | (step(F.col("_k")) != step(F.col("_k") - 1))).select(*df.columns)
+    total / wanted. All columns are kept; repeated keys are rows of their own; an empty table gives no rows."""
+    k, of = F.col("place"), F.col("of")
+    wanted = F.ceil(of * percent / 100)
+    step = lambda x: F.floor(x * wanted / of)
+    return placed(df, [key]).filter((k == 0) | (step(k) != step(k - 1))).select("row.*")
+
+
+def drawn(participants: DataFrame, key: str, time: str, winners: DataFrame) -> DataFrame:
+    """One row of those that haven't won: with n of them in the order of (time, key), that at place h modulo n.
+
+    ``h`` adds up the first 32 bits of the MD5 of each one's "key:time", so any change of the field changes the draw, and tasks
+    add up their own share. A key that won is out with all its rows; rows without a key take no part; nobody left gives no row.
+    """
+    left = participants.filter(F.col(key).isNotNull()).join(winners.select(key).filter(F.col(key).isNotNull()).distinct(), key, "left_anti")
+    bits = F.conv(F.substring(F.md5(F.concat_ws(":", F.col(key).cast("string"), F.col(time).cast("string"))), 1, 8), 16, 10).cast("long")
+    rows = placed(left.select(*participants.columns), [time, key])
+    h = left.agg(F.sum(bits).alias("h"))  # one row
+    return rows.join(F.broadcast(h)).filter(F.col("place") == F.col("h") % F.col("of")).select("row.*")
 
 
 def first_contained(text: Column, names: Mapping[str, str], default: str) -> Column:
@@ -121,20 +147,21 @@ def leading_run(df: DataFrame, key: str, order: Sequence[str], name: str, distan
     return stop.groupBy(key).agg(F.count("*").alias("run"), F.min_by("_row", F.struct(F.col(f"_row.{distance}"), "_k")).alias("closest"))
 
 
-def aliases(seen: DataFrame, folder: str | None = None) -> DataFrame:
+def aliases(seen: DataFrame) -> DataFrame:
     """(v, label): the smallest id that each id of the pairs (a, b) can reach.
 
     Each round gives every id the smallest label among itself and its neighbours' labels, and follows labels to their
-    labels, so a chain is halved; it ends when nothing changes. Rounds are cut by checkpoints where a folder is set.
+    labels, so a chain is halved; it ends when nothing changes. Rounds are saved.
     """
     edges = seen.select("a", "b").union(seen.select(F.col("b").alias("a"), F.col("a").alias("b"))).filter("a is not null and b is not null").distinct()
+    edges = saved(edges)
     labels = edges.groupBy(F.col("a").alias("v")).agg(F.least(F.min("b"), F.first("a")).alias("label"))
     while True:
         near = edges.join(labels.withColumnsRenamed({"v": "b"}), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
         step = labels.join(near, "v").select("v", F.least("label", "near").alias("label"))
         jump = step.select(F.col("v").alias("label"), F.col("label").alias("far"))
         after = step.join(jump, "label", "left").select("v", F.coalesce("far", "label").alias("label"))
-        after = after.checkpoint() if seen.sparkSession.sparkContext._jsc.sc().getCheckpointDir().isDefined() else after.persist()
+        after = saved(after)
         moved = after.withColumnRenamed("label", "now").join(labels, "v").filter("now <> label").limit(1).count()
         labels = after
         if not moved:

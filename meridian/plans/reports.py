@@ -136,10 +136,10 @@ def rolling_metrics(spark, load):
     )
 
 
-@query("""WITH n AS (SELECT event_id, row_number() OVER (ORDER BY event_id) AS k, count(*) OVER () AS total FROM events), s AS (SELECT *, CAST(ceil(total * 7 / 100.0) AS BIGINT) AS most FROM n)
-SELECT event_id FROM s WHERE k = 1 OR (k - 1) * most // total <> (k - 2) * most // total""")
+@query("""WITH n AS (SELECT *, row_number() OVER (ORDER BY event_id) AS k, count(*) OVER () AS total FROM events), s AS (SELECT *, CAST(ceil(total * 7 / 100.0) AS BIGINT) AS most FROM n)
+SELECT event_id, user_id, event_type, round(value, 4) AS value, props FROM s WHERE k = 1 OR (k - 1) * most // total <> (k - 2) * most // total""")
 def stride_sample(spark, load):
-    return reports.stride_sample(load("events").select("event_id"), "event_id", 7)
+    return reports.stride_sample(load("events"), "event_id", 7).select("event_id", "user_id", "event_type", r("value").alias("value"), "props")
 
 
 @query("""WITH c AS (SELECT DISTINCT user_id, event_type, props FROM events WHERE value > 180)
@@ -211,13 +211,14 @@ def server_shares(spark, load):
     return counts.join(F.broadcast(total)).select("s_suppkey", F.floor(100 * F.col("n") / F.col("total")).alias("share"))
 
 
-@query("""WITH p AS (SELECT c_custkey, row_number() OVER (ORDER BY c_custkey) - 1 AS place, count(*) OVER () AS n FROM customer WHERE c_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 300000)) SELECT c_custkey FROM p WHERE place = 123456789 % n""")
+@query("""WITH p AS (SELECT o_custkey, o_orderkey, strftime(o_orderdate, '%Y-%m-%d') AS day FROM orders WHERE o_custkey NOT IN (SELECT o_custkey FROM orders WHERE o_totalprice > 480000)),
+n AS (SELECT *, row_number() OVER (ORDER BY day, o_orderkey) - 1 AS place, count(*) OVER () AS n, sum(CAST('0x' || substr(md5(o_orderkey || ':' || day), 1, 8) AS BIGINT)) OVER () AS h FROM p)
+SELECT o_custkey, o_orderkey FROM n WHERE place = h % n""")
 def hash_draw(spark, load):
-    """A seed picks one participant, in the order of time, among those who have not won."""
-    winners = load("orders").filter("o_totalprice > 300000").select(F.col("o_custkey").alias("c_custkey"))
-    left = load("customer").join(winners, "c_custkey", "left_anti").select("c_custkey")
-    n = left.count()
-    return left.orderBy("c_custkey").offset(123456789 % n).limit(1) if n else left
+    """A hash over all participants (orders by day) picks one among those whose customer has not won."""
+    orders = load("orders").select("o_custkey", "o_orderkey", "o_totalprice", F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"))
+    winners = orders.join(orders.filter("o_totalprice > 480000").select("o_custkey").distinct(), "o_custkey", "left_semi")
+    return reports.drawn(orders.select("o_custkey", "o_orderkey", "day"), "o_orderkey", "day", winners).select("o_custkey", "o_orderkey")
 
 
 @query("""SELECT CASE coalesce(lang, 'none') WHEN 'en' THEN 'english' ELSE coalesce(lang, 'none') END AS category, count(*) AS n FROM documents WHERE list_has_any([source, lang], ['src1', 'src2', 'de']) GROUP BY 1""")
@@ -235,12 +236,12 @@ def leading_run(spark, load):
     return reports.leading_run(load("events"), "user_id", ["ts", "event_id"], "event_type", "value").select("user_id", "run", F.col("closest.event_id").alias("closest"))
 
 
-@query("""WITH RECURSIVE l AS (SELECT event_id AS a, event_id + 1 + event_id % 5 AS b FROM events WHERE event_id % 97 < 12 AND event_id < 1000), both_ AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
+@query("""WITH RECURSIVE l AS (SELECT event_id AS a, event_id + 1 + event_id % 5 AS b FROM events WHERE event_type = 'error'), both_ AS (SELECT a, b FROM l UNION SELECT b, a FROM l),
 w AS (SELECT a AS v, a AS r FROM both_ UNION SELECT b.b, w.r FROM w JOIN both_ b ON b.a = w.v) SELECT v, min(r) AS alias FROM w GROUP BY 1""")
 def account_aliases(spark, load):
     """Accounts and addresses that were seen together are one visitor: the smallest id that each can reach."""
     k = F.col("event_id")
-    seen = load("events").filter("event_id % 97 < 12 and event_id < 1000").select(k.alias("a"), (k + 1 + k % 5).alias("b"))
+    seen = load("events").filter("event_type = 'error'").select(k.alias("a"), (k + 1 + k % 5).alias("b"))
     return reports.aliases(seen).select("v", F.col("label").alias("alias"))
 
 

@@ -57,36 +57,70 @@ def osm_xml(spark: SparkSession, path: str, kind: str) -> DataFrame:
     return df.select(F.col("_id").alias("id"), *(F.col(c).alias(c.strip("_")) if isinstance(c, str) else c for c in rest), tags.alias("tags"))
 
 
-_VALUE = re.compile(r"'((?:[^'\\]|\\.|'')*)'|([^,()'\s]+)", re.S)
+_TOKEN = re.compile(r"""\s+|--\s[^\n]*|/\*.*?\*/|`[^`]*`|'(?P<single>(?:[^'\\]|\\.|'')*)'|"(?P<double>(?:[^"\\]|\\.|"")*)"|(?P<mark>[(),;])|(?P<bare>[^\s(),;'"`]+)|(?P<odd>.)""", re.S)
+
+
+def dump_tuples(statements: str) -> Iterator[list[str | None]]:
+    """Tuples of the INSERT statements in a stretch of a dump that may begin after the words INSERT INTO.
+
+    NULL becomes null, a backslash or a doubled quote stands for the sign after it. Names, strings and comments may hold any sign,
+    words such as VALUES among them; commas between tuples may be missing. A string without an end is an error.
+    """
+    place, fields, value, depth = "head", [], None, 0
+    for m in _TOKEN.finditer(statements):
+        kind = m.lastgroup
+        if kind is None:  # space, comment or name
+            continue
+        if kind == "odd":
+            raise ValueError(f"a quoted string of the dump has no end: {statements[m.start() : m.start() + 60]!r}")
+        word = m["bare"].upper() if kind == "bare" else m["mark"] or ""
+        if depth == 0:
+            if word == "INSERT":
+                place = "head"
+            elif word == ";":
+                place = "none"
+            elif word == "VALUES" and place == "head":
+                place = "tuples"
+            elif word == "(":
+                fields, value, depth = [], None, 1
+            elif word not in (",", "") and place == "tuples":  # such as ON DUPLICATE KEY UPDATE
+                place = "none"
+        elif word == "(":
+            depth += 1
+        elif word == ")" and depth > 1:
+            depth -= 1
+        elif word == ")" or (word == "," and depth == 1):
+            if value is not None:
+                fields.append(value[0])
+            value = None
+            if word == ")":
+                depth = 0
+                if place == "tuples":
+                    yield fields
+        elif depth == 1 and kind == "bare":
+            value = (None if word == "NULL" else m["bare"],)
+        elif depth == 1:
+            quote = "'" if kind == "single" else '"'
+            value = (re.sub(r"\\(.)", r"\1", m[kind].replace(quote * 2, quote), flags=re.S) if "\\" in m[kind] or quote in m[kind] else m[kind],)
 
 
 @udtf(returnType="fields: array<string>")
 class DumpTuples:
-    """One row per tuple of a dump's INSERT statement; NULL becomes null, escapes are resolved."""
-
-    def eval(self, statement: str) -> Iterator[tuple[list[str | None]]]:
-        if not statement or not statement.upper().startswith("INSERT INTO"):
-            return
-        at = statement.upper().find("VALUES") + 6
-        while (at := statement.find("(", at)) >= 0:
-            fields, at = [], at + 1
-            while at < len(statement):
-                if m := _VALUE.match(statement, at):
-                    quoted, bare = m.groups()
-                    fields.append(re.sub(r"\\(.)", r"\1", quoted.replace("''", "'"), flags=re.S) if quoted is not None else None if bare == "NULL" else bare)
-                    at = m.end()
-                elif statement[at] == ")":
-                    break
-                else:
-                    at += 1
+    """One row per tuple."""
+
+    def eval(self, statements: str) -> Iterator[tuple[list[str | None]]]:
+        for fields in dump_tuples(statements or ""):
             yield (fields,)
 
 
 def sql_dump(spark: SparkSession, path: str) -> DataFrame:
-    """Tuples of a dump with one statement per line (plain or gz)."""
+    """(fields) of all tuples of a dump's INSERT statements (plain or gz); a task takes the statements that begin in its part of a file.
+
+    Statements may hold line breaks and semicolons in strings; a line that begins with ``INSERT INTO`` begins a statement.
+    """
     spark.udtf.register("dump_tuples", DumpTuples)
-    spark.read.text(path, lineSep=";\n").createOrReplaceTempView("_dump")
-    return spark.sql("SELECT t.fields FROM _dump, LATERAL dump_tuples(trim(value)) t")
+    spark.read.text(path, lineSep="\nINSERT INTO ").createOrReplaceTempView("_dump")
+    return spark.sql("SELECT t.fields FROM _dump, LATERAL dump_tuples(value) t")
 
 
 def files(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
