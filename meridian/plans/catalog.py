@@ -1,4 +1,4 @@
 """All queries and oracles."""
 
-from meridian.plans import filters, maps, reports  # noqa: F401
+from meridian.plans import filters, maps, polygons, reports  # noqa: F401
 from meridian.plans.queries import ORACLES, QUERIES  # noqa: F401
