@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.operators.nearness import crowded_join
+
 
 def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: Sequence[str], tie: str) -> DataFrame:
     """As-of join to the nearest right row of the key; ties go to the smaller ``tie``.
@@ -56,6 +58,28 @@ def snapshot_diff(start: DataFrame, end: DataFrame, key: str, attributes: Sequen
     return a.join(b, key, "full_outer").select(key, change.alias("change")).filter("change is not null")
 
 
+def snapshot_delta(start: DataFrame, end: DataFrame, key: Sequence[str], attributes: Sequence[str], modified: DataFrame | None = None) -> DataFrame:
+    """(key, attributes, change): what must be added to ``start`` to get ``end``: rows that are added or changed, and tombstones.
+
+    Rows of ``end`` whose attributes differ (nulls equal each other) or that ``start`` lacks are kept with their attributes. A row that ``end`` lacks
+    becomes a tombstone, change ``deleted``, with the attributes that it had; but if ``modified`` (the first key column's values that were edited)
+    has any row, only if it is listed there or has a null id, since others merely left the cut-out. Of rows of one key the largest counts;
+    keys that are null belong together.
+    """
+    one = lambda df, name: df.groupBy(*key).agg(F.max(F.struct(*attributes)).alias(name))
+    a, b = one(start, "_was"), one(end, "_is")
+    both = a.alias("a").join(b.alias("b"), [F.col(f"a.{k}").eqNullSafe(F.col(f"b.{k}")) for k in key], "full_outer")
+    both = both.select(*(F.coalesce(f"a.{k}", f"b.{k}").alias(k) for k in key), "_was", "_is")
+    change = F.when(F.col("_was").isNull(), "added").when(F.col("_is").isNull(), "deleted").when(~F.col("_was").eqNullSafe(F.col("_is")), "changed")
+    out = both.select(*key, F.coalesce("_is", "_was").alias("_now"), change.alias("change")).filter("change is not null")
+    if modified is not None:
+        listed = modified.select(F.col(modified.columns[0]).alias(key[0])).filter(F.col(key[0]).isNotNull()).distinct().withColumn("_listed", F.lit(True))
+        some = modified.agg((F.count("*") > 0).alias("_some"))  # one row
+        out = out.join(listed, key[0], "left").join(F.broadcast(some))
+        out = out.filter((F.col("change") != "deleted") | ~F.col("_some") | F.col("_listed") | F.col(key[0]).isNull())
+    return out.select(*key, *(F.col(f"_now.{c}").alias(c) for c in attributes), "change")
+
+
 def grid_join(left: DataFrame, right: DataFrame, cell: float, predicate: Column, a: Sequence[str], b: Sequence[str]) -> DataFrame:
     """Rectangles that meet, by grid cells: each pair is made only in the cell that owns it.
 
@@ -68,7 +92,7 @@ def grid_join(left: DataFrame, right: DataFrame, cell: float, predicate: Column,
         return df.withColumn("_cx", F.explode(span(box[0], box[2]))).withColumn("_cy", F.explode(span(box[1], box[3])))
 
     owner = (F.col("_cx") == F.floor(F.greatest(a[0], b[0]) / cell)) & (F.col("_cy") == F.floor(F.greatest(a[1], b[1]) / cell))
-    return cells(left, a).join(cells(right, b), ["_cx", "_cy"]).filter(owner & predicate).drop("_cx", "_cy")
+    return crowded_join(cells(left, a), cells(right, b), ["_cx", "_cy"]).filter(owner & predicate).drop("_cx", "_cy")
 
 
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
@@ -106,7 +130,7 @@ def nearest_within(left: DataFrame, right: DataFrame, cell: float, radius: float
     wide = wide.withColumn("_cx", F.floor(F.col(a[0]) / cell) + F.col("_dx")).withColumn("_cy", F.floor(F.col(a[1]) / cell) + F.col("_dy"))
     own = right.withColumn("_cx", F.floor(F.col(b[0]) / cell)).withColumn("_cy", F.floor(F.col(b[1]) / cell))
     d2 = F.pow(F.col(a[0]) - F.col(b[0]), 2) + F.pow(F.col(a[1]) - F.col(b[1]), 2)
-    near = wide.join(own, ["_cx", "_cy"]).withColumn("d2", d2).filter((F.col("d2") < radius * radius) & (F.col(left_id) != F.col(right_id)))
+    near = crowded_join(wide, own, ["_cx", "_cy"]).withColumn("d2", d2).filter((F.col("d2") < radius * radius) & (F.col(left_id) != F.col(right_id)))
     return near.groupBy(left_id).agg(F.min(F.struct("d2", right_id)).alias("m")).select(left_id, F.col(f"m.{right_id}").alias(right_id), F.sqrt("m.d2").alias("distance"))
 
 

@@ -6,11 +6,13 @@ Unless said otherwise: null keys meet nothing, repeated rows count as rows of th
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil, log2
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.operators.nearness import crowded_join
+from meridian.operators.polygons import doubled
 from meridian.operators.saving import saved
 
 
@@ -45,7 +47,7 @@ def within_type_radius(points: DataFrame, places: DataFrame, radii: Mapping[str,
     sent = sent.withColumn("_cx", F.floor(F.col("px") / cell) + F.col("_cx")).withColumn("_cy", F.floor(F.col("py") / cell) + F.col("_cy")).withColumn("_r", radius)
     own = points.withColumn("_cx", F.floor(F.col("x") / cell)).withColumn("_cy", F.floor(F.col("y") / cell))
     distance = F.sqrt(F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2))
-    return own.join(sent, ["_cx", "_cy"]).withColumn("distance", distance).filter(F.col("distance") < F.col("_r")).select("point_id", "place_id", "kind", "distance")
+    return crowded_join(own, sent, ["_cx", "_cy"]).withColumn("distance", distance).filter(F.col("distance") < F.col("_r")).select("point_id", "place_id", "kind", "distance")
 
 
 def transformed_tags(tags: Column, rules: Sequence[tuple[Mapping[str, str], Mapping[str, str], Sequence[str]]]) -> Column:
@@ -88,28 +90,29 @@ def border_points(taken: DataFrame) -> DataFrame:
 
 
 def merged_roads(roads: DataFrame) -> DataFrame:
-    """(ref, chain, nodes): roads of one ref joined at shared end points, by repeated pairing.
+    """(ref, chain, nodes): roads of one ref joined end to start wherever exactly one of them ends and one starts at a node.
 
-    ``roads``: id, ref, nodes (array). Roads are joined end to start while exactly one road ends and one starts at a node; a chain has the
-    smallest id of its roads. Roads of a ref are one task's work: a ref is one numbered road, whose parts are few.
+    ``roads``: id (long), ref, nodes (array). A chain has the smallest id of its roads; a chain that closes begins with that road, and a road that ends
+    where it starts isn't joined to itself. Roads without a ref, or with fewer than two nodes, are left out; of rows of one id in a ref the one with the smallest
+    list counts. Followers are found by joins, and a chain's order by following the followers of followers, so no ref is one task's work.
     """
-
-    def join(group: pd.DataFrame) -> pd.DataFrame:
-        chains = {r.id: list(r.nodes) for r in group.sort_values("id").itertuples() if r.nodes is not None and len(r.nodes) > 1}
-        while True:
-            starts, ends = {}, {}
-            for k, nodes in chains.items():
-                starts.setdefault(nodes[0], []).append(k)
-                ends.setdefault(nodes[-1], []).append(k)
-            pairs = [(ends[n][0], s[0]) for n, s in starts.items() if len(s) == 1 and len(ends.get(n, ())) == 1 and s[0] != ends[n][0]]
-            if not pairs:
-                break
-            a, b = min(pairs)
-            nodes = chains.pop(a) + chains.pop(b)[1:]
-            chains[min(a, b)] = nodes
-        return pd.DataFrame({"ref": [group["ref"].iloc[0]] * len(chains), "chain": list(chains), "nodes": list(chains.values())})
-
-    return roads.filter("ref is not null").select("id", "ref", "nodes").groupBy("ref").applyInPandas(join, "ref string, chain long, nodes array<long>")
+    usable = roads.filter("ref is not null and id is not null and size(nodes) > 1").groupBy("ref", "id").agg(F.min("nodes").alias("nodes"))
+    usable = saved(usable)
+    at = lambda node, name: usable.groupBy("ref", node.alias("node")).agg(F.count("*").alias("n"), F.min("id").alias(name)).filter("n = 1").drop("n")
+    next_ = at(F.element_at("nodes", -1), "id").join(at(F.get("nodes", F.lit(0)), "next"), ["ref", "node"]).filter("id <> next").select("ref", F.col("id").alias("dart"), "next")
+    most = usable.groupBy("ref").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    rounds = max(1, ceil(log2(most)))
+    steps = F.lit(1).cast("long").alias("steps")
+    follows = saved(usable.select("ref", F.col("id").alias("dart")).join(next_, ["ref", "dart"], "left"))
+    ahead = doubled(follows.select("ref", "dart", "next", F.col("dart").alias("least"), steps), ["ref"], rounds)
+    before = follows.filter("next is not null").select("ref", F.col("next").alias("dart"), F.col("dart").alias("next"))
+    before = follows.select("ref", "dart").join(before, ["ref", "dart"], "left")
+    behind = doubled(before.select("ref", "dart", "next", F.col("dart").alias("least"), steps), ["ref"], rounds).select("ref", "dart", F.col("least").alias("behind"))
+    chains = saved(ahead.join(behind, ["ref", "dart"]).select("ref", "dart", F.least("least", "behind").alias("chain"), F.col("next").isNotNull().alias("closed")))
+    opened = chains.join(follows, ["ref", "dart"]).select("ref", "dart", F.when(~(F.col("closed") & (F.col("next") == F.col("chain"))), F.col("next")).alias("next"), F.col("dart").alias("least"), steps)
+    placed = doubled(opened, ["ref"], rounds).select("ref", "dart", "steps").join(chains, ["ref", "dart"])
+    pieces = placed.withColumnRenamed("dart", "id").join(usable, ["ref", "id"]).groupBy("ref", "chain").agg(F.array_sort(F.collect_list(F.struct((-F.col("steps")).alias("at"), "nodes"))).alias("p"))
+    return pieces.select("ref", "chain", F.flatten(F.transform("p", lambda x, i: F.when(i == 0, x["nodes"]).otherwise(F.slice(x["nodes"], F.lit(2), F.size(x["nodes"]) - 1)))).alias("nodes"))
 
 
 def trimmed_run(roads: Sequence[int], inside: set[int]) -> list[int]:

@@ -17,7 +17,7 @@ from meridian.operators.saving import saved
 RADIUS = 6_378_137.0
 
 
-def _doubled(chain: DataFrame, keys: list[str], rounds: int) -> DataFrame:
+def doubled(chain: DataFrame, keys: list[str], rounds: int) -> DataFrame:
     """``chain`` (keys, dart, next, least, steps) after following ``next`` 2^rounds steps: the smallest ``least`` on the way, the steps
     taken, and where the walk stands (null where it ended)."""
     for _ in range(rounds):
@@ -62,14 +62,14 @@ def rings(ways: DataFrame, keys: list[str]) -> DataFrame:
     darts = parts.select(*keys, F.explode(F.array(F.col("way") * 2, F.col("way") * 2 + 1)).alias("dart"))
     follows = saved(darts.join(follows, [*keys, "dart"], "left"))
 
-    walked = _doubled(follows.select(*keys, "dart", "next", F.col("dart").alias("least"), F.lit(1).cast("long").alias("steps")), keys, rounds)
+    walked = doubled(follows.select(*keys, "dart", "next", F.col("dart").alias("least"), F.lit(1).cast("long").alias("steps")), keys, rounds)
     back = walked.select(*keys, F.col("dart").bitwiseXOR(F.lit(1)).alias("dart"), F.col("least").bitwiseXOR(F.lit(1)).alias("behind"))
     head = F.when(F.shiftright("behind", 1) < F.shiftright("least", 1), F.col("behind")).otherwise(F.col("least"))
     chosen = walked.join(back, [*keys, "dart"]).select(*keys, "dart", head.alias("head"), F.col("next").isNotNull().alias("closed")).filter(F.col("head").bitwiseAND(F.lit(1)) == 0)
     # of a ring the dart before the head has no follower any more
     opened = F.when(~(F.col("closed") & (F.col("next") == F.col("head"))), F.col("next")).alias("next")
     again = chosen.join(follows, [*keys, "dart"]).select(*keys, "dart", opened, F.col("dart").alias("least"), F.lit(1).cast("long").alias("steps"))
-    placed = _doubled(again, keys, rounds).select(*keys, "dart", "steps").join(chosen, [*keys, "dart"])
+    placed = doubled(again, keys, rounds).select(*keys, "dart", "steps").join(chosen, [*keys, "dart"])
     turned = F.when(F.col("dart").bitwiseAND(F.lit(1)) == 1, F.reverse("nodes")).otherwise(F.col("nodes"))
     pieces = placed.withColumn("way", F.shiftright("dart", 1)).join(parts, [*keys, "way"]).select(*keys, F.shiftright("head", 1).alias("chain"), "closed", F.struct((-F.col("steps")).alias("place"), turned.alias("nodes")).alias("piece"))
     grouped = pieces.groupBy(*keys, "chain", "closed").agg(F.array_sort(F.collect_list("piece")).alias("p"))

@@ -99,6 +99,48 @@ def drawn(participants: DataFrame, key: str, time: str, winners: DataFrame) -> D
     return rows.join(F.broadcast(h)).filter(F.col("place") == F.col("h") % F.col("of")).select("row.*")
 
 
+def run_pairs(results: DataFrame, key: str, run: str, group: str) -> DataFrame:
+    """(first_run, second_run, first_group, second_group, n, share): for each two runs, how many keys were in one group in the first and in another in the
+    second, and their share of the second group. A key that a run lacks, or whose group there is null, isn't counted for it; of several rows of a key in a run the largest group counts."""
+    one = results.filter(F.col(group).isNotNull()).groupBy(F.col(key).alias("k"), F.col(run).alias("run")).agg(F.max(group).alias("found"))
+    first, second = (one.select("k", F.col("run").alias(f"{s}_run"), F.col("found").alias(f"{s}_group")) for s in ("first", "second"))
+    pairs = first.join(second, "k").filter("first_run < second_run").groupBy("first_run", "second_run", "first_group", "second_group").agg(F.count("*").alias("n"))
+    total = F.sum("n").over(Window.partitionBy("first_run", "second_run", "second_group"))
+    return pairs.withColumn("share", F.col("n") / total)
+
+
+def followups(touches: DataFrame, least_percent: int = 1) -> DataFrame:
+    """(first_uri, next_uri, followers, delay): who touched one URI first and another later, and the median seconds between (truncated).
+
+    ``touches``: uri, account, address, t (seconds). Visitors are accounts where both URIs have any, else addresses; of a visitor only the first touch of a URI counts, and pairs are
+    kept with more than ``least_percent`` of the first URI's visitors. Null accounts, addresses, URIs and times are nobody's touch.
+    """
+    touches = touches.filter("uri is not null and t is not null")
+    first = lambda c: touches.filter(F.col(c).isNotNull()).groupBy("uri", F.col(c).cast("string").alias("who")).agg(F.min("t").alias("t"))
+    known = touches.groupBy("uri").agg(F.count_distinct("account").alias("accounts"), F.count_distinct("address").alias("addresses"))
+    uris = known.select("uri", (F.col("accounts") > 0).alias("named"), F.when(F.col("accounts") > 0, F.col("accounts")).otherwise(F.col("addresses")).alias("visitors"))
+
+    def pairs(c: str) -> DataFrame:
+        seen = first(c)
+        later = seen.select("who", F.col("uri").alias("next_uri"), F.col("t").alias("t2"))
+        return seen.withColumnRenamed("uri", "first_uri").join(later, "who").filter("first_uri <> next_uri and t < t2").select("first_uri", "next_uri", (F.col("t2") - F.col("t")).alias("delay"), F.lit(c == "account").alias("by_account"))
+
+    found = pairs("account").union(pairs("address")).groupBy("first_uri", "next_uri", "by_account").agg(F.count("*").alias("followers"), F.median("delay").cast("long").alias("delay"))
+    sides = found.join(uris.select(F.col("uri").alias("first_uri"), F.col("named").alias("a"), "visitors"), "first_uri").join(uris.select(F.col("uri").alias("next_uri"), F.col("named").alias("b")), "next_uri")
+    return sides.filter((F.col("by_account") == (F.col("a") & F.col("b"))) & (100 * F.col("followers") > least_percent * F.col("visitors"))).select("first_uri", "next_uri", "followers", "delay")
+
+
+def storage_usage(files: DataFrame, user: str, name: Sequence[str], order: str, size: str) -> DataFrame:
+    """(user, versions, files, newest_size, all_size): versions of files that aren't tombstones (a negative size), files whose newest version isn't one, and the sizes
+    of either. The newest version is the one with the largest ``order``; null sizes count as tombstones."""
+    real = F.coalesce(F.col(size) >= 0, F.lit(False))
+    each = files.groupBy(user, *name).agg(F.max_by(F.struct(F.col(size).alias("s"), real.alias("real")), order).alias("_newest"), F.count_if(real).alias("_versions"), F.sum(F.when(real, F.col(size)).otherwise(0)).alias("_all"))
+    newest = F.col("_newest.real")
+    return each.groupBy(user).agg(
+        F.sum("_versions").alias("versions"), F.count_if(newest).alias("files"), F.sum(F.when(newest, F.col("_newest.s")).otherwise(0)).alias("newest_size"), F.sum("_all").alias("all_size")
+    )
+
+
 def first_contained(text: Column, names: Mapping[str, str], default: str) -> Column:
     """The class of the first key, in the order given, that ``text`` contains."""
     out = F.when(F.lit(False), default)

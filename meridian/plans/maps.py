@@ -99,13 +99,21 @@ def border_nodes(spark, load):
     return maps.border_points(taken)
 
 
-@query()
+_ROADS = """r0 AS (SELECT l_suppkey || '-' || strftime(l_shipdate, '%Y%m%d') AS ref, l_orderkey * 8 + l_linenumber AS id, min([l_partkey % 5, l_orderkey % 5]) AS nodes FROM lineitem GROUP BY 1, 2)"""
+
+
+@query(f"""WITH RECURSIVE {_ROADS},
+s AS (SELECT ref, nodes[1] AS node, min(id) AS id FROM r0 GROUP BY 1, 2 HAVING count(*) = 1), e AS (SELECT ref, nodes[2] AS node, min(id) AS id FROM r0 GROUP BY 1, 2 HAVING count(*) = 1),
+f AS (SELECT e.ref, e.id, s.id AS next FROM e JOIN s USING (ref, node) WHERE e.id <> s.id),
+w AS (SELECT ref, id, id AS place FROM r0 UNION SELECT w.ref, w.id, f.next FROM w JOIN f ON f.ref = w.ref AND f.id = w.place),
+c AS (SELECT ref, id, min(other) AS chain FROM (SELECT ref, id, place AS other FROM w UNION ALL SELECT ref, place, id FROM w) GROUP BY 1, 2)
+SELECT ref, chain, CAST(count(*) + 1 AS BIGINT) AS n FROM c GROUP BY 1, 2""")
 def road_chains(spark, load):
-    """Roads of a ref (a supplier's day) joined at shared end points; tested against a plain program."""
+    """Roads of a ref (a supplier's day) joined at shared end points."""
     lines = load("lineitem")
     ref = F.concat_ws("-", F.col("l_suppkey").cast("string"), F.date_format("l_shipdate", "yyyyMMdd"))
     roads = lines.select((F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), ref.alias("ref"), F.array(F.col("l_partkey") % 5, F.col("l_orderkey") % 5).alias("nodes"))
-    return maps.merged_roads(roads).select("ref", "chain", F.size("nodes").alias("n"))
+    return maps.merged_roads(roads).select("ref", "chain", F.size("nodes").cast("long").alias("n"))
 
 
 @query("""WITH n AS (SELECT doc_id AS id, 't' || doc_id AS title, 't' || (doc_id // 10) AS parent, lang FROM documents)

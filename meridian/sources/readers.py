@@ -33,9 +33,8 @@ def sampled(df: DataFrame, n: int, seed: int = 42) -> DataFrame:
     return df.orderBy(F.rand(seed)).limit(n)
 
 
-def access_log(spark: SparkSession, path: str) -> DataFrame:
-    """Combined-format lines: ip, time, method, uri, status, aid; lines that don't parse are left out."""
-    raw = spark.read.text(path)
+def parsed_log(raw: DataFrame) -> DataFrame:
+    """ip, time, method, uri, status, aid of lines (value) in the combined format; lines that don't parse are left out."""
     part = lambda k: F.regexp_extract("value", LOG_LINE, k)
     aid = F.nullif(F.regexp_extract(part(4), "aid=([a-z,0-9]*)", 1), F.lit(""))
     return raw.filter(F.col("value").rlike(LOG_LINE)).select(
@@ -43,6 +42,11 @@ def access_log(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def access_log(spark: SparkSession, path: str) -> DataFrame:
+    """Combined-format lines: ip, time, method, uri, status, aid; lines that don't parse are left out."""
+    return parsed_log(spark.read.text(path))
+
+
 def osm_xml(spark: SparkSession, path: str, kind: str) -> DataFrame:
     """Rows of one element kind (node, way or relation) of an OSM XML file."""
     tag = "array<struct<_k:string,_v:string>>"
