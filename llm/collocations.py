@@ -1,10 +1,12 @@
 """Phrase collocation mining: candidates from a sketch, counted by automata.
 
-1. A pass over the texts counts words by language and fills a sketch: each occurrence of a phrase of two or three
-   words raises one of up to ``MOST_COUNTERS`` one-byte counters, which stop at 255. A counter is an upper bound of
-   the count of every phrase that it stands for. Tasks send their counters in compressed blocks; blocks are summed as
-   a stream. The sum has a fixed size, whatever the corpus, so it may be broadcast.
-2. A second pass collects the phrases whose counter reaches ``LEAST``. Their counts are bounded by the sketch and by
+1. A pass over the texts counts words by language. Another fills a sketch: each occurrence of a phrase of two or three words
+   raises one of its one-byte counters, which stop at 255; a counter is an upper bound of the count of every phrase that it
+   stands for. The sketch grows with the corpus (about eight counters an occurrence) and is never in one place: tasks
+   send what they count in stretches, as sorted and compressed differences, to the part of the sketch that owns it.
+   The counters that reach ``LEAST`` enter a Bloom filter at the levels that they reach (``LEAST`` times 1, 2, 4 ...), each part in its
+   own region. The filter has ``MOST_BITS`` bits at most, whatever the corpus, so it may be broadcast.
+2. A further pass collects the phrases that the filter knows. Their counts are bounded by the filter's levels and by
    the counts of their words, and so are their scores.
 3. Phrases are counted exactly in rounds, those of the highest bounds first, and with them the longer phrases that
    could drop them and the parts that their scores need. A round's phrases are dealt into automata of at most
@@ -12,8 +14,7 @@
    counts of shards are summed. When a language has its full list, candidates whose bounds are below the list's last
    entry can't enter it and need no count; the rounds end when no others are left.
 
-A sketch whose counters are all taken prunes less, and more phrases are carried through step 2; the result is exact
-all the same. Scores are compared in decimals of 38 digits.
+A filter that is full prunes less, and more phrases are carried through step 2; the result is exact all the same. Scores are compared in decimals of 38 digits.
 
 Defined cases: a null text is the empty text; a null language counts as ``und``; rows count one by one, copies too;
 ties are ordered by phrase; fewer than ``LIMIT`` phrases give them all; an empty table gives no rows; other columns
@@ -25,6 +26,7 @@ from __future__ import annotations
 import uuid
 import zlib
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +41,16 @@ HOLDS = 50
 LIMIT = 2000
 SIZES = (2, 3)
 SCALE = 1_000_000
-MOST_COUNTERS = 1 << 26
-#: Counters of a block.
-BLOCK = 1 << 18
+#: Bits of the filter, at most.
+MOST_BITS = 1 << 29
+#: Places of a key in the filter.
+PROBES = 4
+#: Counters of a part of the sketch, as a power of two.
+PART = 25
+#: Occurrences that a task counts before it sends them.
+STRETCH = 1 << 22
 #: Phrases of one automaton.
-PATTERNS = 100_000
+PATTERNS = 200_000
 #: Candidates of a language in the first round; each round takes four times as many.
 FIRST = 8_000
 #: Phrases that a task remembers having sent.
@@ -88,36 +95,89 @@ def _count_words(batch: pa.RecordBatch):
         yield {"lang": batch.column("lang").take(pa.array(first + rows[at])), "word": pa.array(words, pa.binary()).cast(pa.string()), "f": pa.array(count.astype(np.int64))}
 
 
-def _fill(counters: int):
-    """Sketch of a task's phrases, as compressed blocks of counters."""
+def _sent(keys: np.ndarray, parts: int) -> pa.RecordBatch:
+    """Counts of ``keys`` by part of the sketch, as differences of sorted counters and their counts, compressed."""
+    keys, count = np.unique(keys, return_counts=True)
+    cut = np.searchsorted(keys, np.arange(parts + 1, dtype=np.uint64) << np.uint64(PART))
+    own = np.flatnonzero(np.diff(cut))
+    blobs = []
+    for k in own.tolist():
+        inside = (keys[cut[k] : cut[k + 1]] & np.uint64((1 << PART) - 1)).astype(np.uint32)
+        planes = np.ascontiguousarray(np.diff(inside, prepend=np.uint32(0)).view(np.uint8).reshape(-1, 4).T)
+        blobs.append(zlib.compress(planes.tobytes() + np.minimum(count[cut[k] : cut[k + 1]], 255).astype(np.uint8).tobytes(), 1))
+    return pa.RecordBatch.from_arrays([pa.array(own, pa.int32()), pa.array(blobs, pa.binary())], ["part", "counts"])
+
+
+def _fill(bits: int):
+    """A task's share of a sketch of 2**bits counters."""
+    parts = max(1, 1 << (bits - PART)) if bits > PART else 1
 
     def fill(batches):
-        sketch = np.zeros(counters, np.uint8)
+        held, size = [], 0
         for batch in batches:
             seeds = _seeds(batch) if batch.num_rows else None
             for _, _, _, h, piece, rows, first in _slices(batch) if batch.num_rows else ():
-                for size in SIZES:
-                    index, count = np.unique(_phrases(h, piece, seeds[first + rows], size)[0] & np.uint64(counters - 1), return_counts=True)
-                    index = index.astype(np.int64)
-                    sketch[index] = np.minimum(sketch[index] + count, 255).astype(np.uint8)
-        for k in range(0, counters, BLOCK):
-            block = sketch[k : k + BLOCK]
-            if block.any():
-                yield pa.RecordBatch.from_arrays([pa.array([k // BLOCK], pa.int32()), pa.array([zlib.compress(block.tobytes(), 1)], pa.binary())], ["block", "counters"])
+                for words in SIZES:
+                    held.append(_phrases(h, piece, seeds[first + rows], words)[0] >> np.uint64(64 - bits))
+                    size += len(held[-1])
+                if size > STRETCH:
+                    yield _sent(np.concatenate(held), parts)
+                    held, size = [], 0
+        if size:
+            yield _sent(np.concatenate(held), parts)
 
     return fill
 
 
-def _sum_blocks(batches):
-    """Blocks of the same number added up, one batch at a time."""
-    total = {}
-    for batch in batches:
-        for k, raw in zip(batch.column("block").to_pylist(), batch.column("counters")):
-            own = np.frombuffer(zlib.decompress(raw.as_py()), np.uint8)
-            before = total.get(k)
-            total[k] = own if before is None else np.minimum(before.astype(np.uint16) + own, 255).astype(np.uint8)
-    for k, block in total.items():
-        yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([zlib.compress(block.tobytes(), 1)], pa.binary())], ["block", "counters"])
+def _sum_part(least: int):
+    """The counters of one part that reach ``least``, and what they say."""
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(1 << PART, np.uint8)
+        for raw in table.column("counts"):
+            data = np.frombuffer(zlib.decompress(raw.as_py()), np.uint8)
+            n = len(data) // 5
+            at = np.cumsum(np.ascontiguousarray(data[: 4 * n].reshape(4, n).T).view(np.uint32).ravel(), dtype=np.int64)
+            total[at] = np.minimum(total[at].astype(np.uint16) + data[4 * n :], 255).astype(np.uint8)
+        at = np.flatnonzero(total >= min(least, 255))
+        return pa.table([pa.array([table.column("part")[0].as_py()], pa.int32()), pa.array([len(at)], pa.int64()), pa.array([at.astype(np.uint32).tobytes()]), pa.array([total[at].tobytes()])], ["part", "n", "counters", "counts"])
+
+    return add
+
+
+def _levels(least: int) -> list[int]:
+    """Counts at which the filter is asked; a counter that reaches none but the first counts less than the second, and so on."""
+    out = [min(least, 255)]
+    while 2 * out[-1] < 255:
+        out.append(2 * out[-1])
+    return out
+
+
+def _places(keys: np.ndarray, level: int, region: int) -> Iterator[np.ndarray]:
+    """Bits of the filter that stand for each counter at a level."""
+    h = A.mix(keys + np.uint64(level) * _BY_LANGUAGE)
+    step = (h >> np.uint64(32)) | np.uint64(1)
+    base = (keys >> np.uint64(PART)) * np.uint64(region)
+    for k in range(PROBES):
+        yield base + ((h + np.uint64(k) * step) & np.uint64(region - 1))
+
+
+def _regions(least: int, region: int):
+    """Each part's region of the filter, compressed."""
+
+    def make(batch: pa.RecordBatch):
+        out = []
+        for part, at, count in zip(batch.column("part").to_pylist(), batch.column("counters"), batch.column("counts")):
+            keys = np.frombuffer(at.as_py(), np.uint32).astype(np.uint64) | (np.uint64(part) << np.uint64(PART))
+            count = np.frombuffer(count.as_py(), np.uint8)
+            bits = np.zeros(region, np.uint8)
+            for level in _levels(least):
+                for place in _places(keys[count >= level], level, region):
+                    bits[place & np.uint64(region - 1)] = 1
+            out.append(zlib.compress(np.packbits(bits, bitorder="little").tobytes(), 1))
+        yield {"part": batch.column("part"), "bits": pa.array(out, pa.binary())}
+
+    return make
 
 
 #: What a Python worker keeps between tasks: the sketch, or the automata of one shard.
@@ -131,37 +191,49 @@ def _keep(name, make):
     return _kept[name]
 
 
-def _promising(sketch, counters: int, least: int):
-    """Phrases whose counter reaches ``least``, each once or more."""
-    name = uuid.uuid4().hex
+def _promising(shared, bits: int, region: int, least: int):
+    """Phrases whose counter reaches ``least``, each once or more, with bounds of their counts (null: none)."""
+    name, levels = uuid.uuid4().hex, _levels(least)
 
     def load() -> np.ndarray:
-        out = np.zeros(counters, np.uint8)
-        for k, raw in sketch.value:
-            out[k * BLOCK : (k + 1) * BLOCK] = np.frombuffer(zlib.decompress(raw), np.uint8)
+        out = np.zeros(max(1, 1 << max(0, bits - PART)) * region // 8, np.uint8)
+        for k, raw in shared.value:
+            out[k * region // 8 : (k + 1) * region // 8] = np.frombuffer(zlib.decompress(raw), np.uint8)
         return out
 
+    def known(held: np.ndarray, keys: np.ndarray, level: int) -> np.ndarray:
+        """Numbers of the keys that the filter has at a level."""
+        some = np.arange(len(keys))
+        for k in range(PROBES):
+            place = next(islice(_places(keys[some], level, region), k, None))
+            some = some[(held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
+        return some
+
     def find(batches):
-        known, seen = _keep(name, load), set()
+        held, seen = _keep(name, load), set()
         for batch in batches:
             seeds = _seeds(batch) if batch.num_rows else None
             for data, starts, ends, h, piece, rows, first in _slices(batch) if batch.num_rows else ():
                 raw = data.tobytes()
                 for size in SIZES:
                     key, at = _phrases(h, piece, seeds[first + rows], size)
-                    bound = known[(key & np.uint64(counters - 1)).astype(np.int64)]
-                    some = np.flatnonzero(bound >= least)
+                    some = known(held, key >> np.uint64(64 - bits), levels[0])
                     keys, index = np.unique(key[some], return_index=True)
                     new = [k for k, x in enumerate(keys.tolist()) if x not in seen]
                     if len(seen) > SEEN:
                         seen.clear()
                     seen.update(keys[new].tolist())
                     some = some[index[new]]
-                    if len(some):
-                        at, bound = at[some], bound[some]
-                        texts = [b" ".join(raw[a:b].lower().split()) for a, b in zip(starts[at].tolist(), ends[at + size - 1].tolist())]
-                        columns = [batch.column("lang").take(pa.array(first + rows[at])), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(np.full(len(at), size, np.int32)), pa.array(bound.astype(np.int64))]
-                        yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "bound"])
+                    if not len(some):
+                        continue
+                    bound = np.full(len(some), 2 * levels[0] - 1)
+                    for level in levels[1:]:
+                        bound[known(held, key[some] >> np.uint64(64 - bits), level)] = 2 * level - 1
+                    at = at[some]
+                    texts = [b" ".join(raw[a:b].lower().split()) for a, b in zip(starts[at].tolist(), ends[at + size - 1].tolist())]
+                    bounds = pa.array(bound, pa.int64(), mask=bound >= 2 * levels[-1] - 1)
+                    columns = [batch.column("lang").take(pa.array(first + rows[at])), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(np.full(len(at), size, np.int32)), bounds]
+                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "bound"])
 
     return find
 
@@ -256,15 +328,13 @@ def _with_word(df: DataFrame, words: DataFrame, word: str, name: str) -> DataFra
 
 
 def _bounded(found: DataFrame, words: DataFrame, least: int) -> DataFrame:
-    """Candidates with upper bounds of their count (a_up) and score (s_up), from the sketch and the counts of words."""
+    """Candidates with upper bounds of their count (a_up) and score (s_up), from the filter and the counts of words."""
     rows = found.groupBy("lang", "phrase", "size").agg(F.min("bound").alias("bound")).select("*", *_parts())
     common = words.filter(F.col("f") >= least)
     for k in (1, 2, 3):
         rows = _with_word(rows, common, f"w{k}", f"f{k}")
     rows = rows.filter("f1 is not null and f2 is not null and (w3 is null or f3 is not null)")
-    # a counter of 255 may have been stopped
-    sketched = F.when(F.col("bound") < 255, F.col("bound"))
-    rows = rows.withColumn("a_up", F.least("f1", "f2", "f3", sketched)).filter(F.col("a_up") >= least)
+    rows = rows.withColumn("a_up", F.least("f1", "f2", "f3", "bound")).filter(F.col("a_up") >= least)
     # the part of two words of a phrase of three is as frequent as the phrase, at least
     rows = rows.withColumn("most", F.greatest("f1", F.coalesce("f3", "f2")))
     return rows.withColumn("s_up", F.when(F.col("size") == 2, _score("a_up", "f1", "f2")).otherwise(_score("a_up", "most", "a_up")))
@@ -292,20 +362,26 @@ def _top(rows: DataFrame, limit: int, *order: Column) -> DataFrame:
     return rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).filter(F.col("rank") <= limit)
 
 
-def collocations(documents: DataFrame, least: int = LEAST, holds: int = HOLDS, limit: int = LIMIT, first: int = FIRST, most_counters: int = MOST_COUNTERS) -> DataFrame:
+def collocations(documents: DataFrame, least: int = LEAST, holds: int = HOLDS, limit: int = LIMIT, first: int = FIRST, bits: int | None = None, most_bits: int = MOST_BITS) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the phrases of two and three words with the highest scores, by language."""
     spark = documents.sparkSession
     lang = F.coalesce(F.col("lang").cast("string"), F.lit("und"))
     texts = documents.select(lang.alias("lang"), F.col("text"), F.xxhash64(lang).alias("seed"))
     words = saved(per_batch(texts, "lang string, word string, f long", _count_words).groupBy("lang", "word").agg(F.sum("f").alias("f")))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
-    wanted = max(BLOCK, documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0] // 4)
-    counters = min(most_counters, 1 << (int(wanted) - 1).bit_length())
-    blocks = texts.mapInArrow(_fill(counters), "block int, counters binary").repartition("block").mapInArrow(_sum_blocks, "block int, counters binary")
-    sketch = spark.sparkContext.broadcast([(r.block, bytes(r.counters)) for r in blocks.collect()])  # most_counters bytes at most
-    found = texts.mapInArrow(_promising(sketch, counters, least), "lang string, phrase string, size int, bound long")
+    if bits is None:
+        characters = documents.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
+        bits = min(40, max(20, (2 * int(characters)).bit_length()))
+    counted_parts = texts.mapInArrow(_fill(bits), "part int, counts binary").groupBy("part").applyInArrow(_sum_part(least), "part int, n long, counters binary, counts binary")
+    counters = saved(counted_parts)
+    parts = max(1, 1 << max(0, bits - PART))
+    reached = counters.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    region = max(64, min(most_bits, 1 << (32 * int(reached)).bit_length()) // parts)
+    regions = per_batch(counters.select("part", "counters", "counts"), "part int, bits binary", _regions(least, region))
+    filter_ = spark.sparkContext.broadcast([(r.part, bytes(r.bits)) for r in regions.collect()])  # most_bits / 8 bytes at most
+    found = texts.mapInArrow(_promising(filter_, bits, region, least), "lang string, phrase string, size int, bound long")
     candidates = saved(_bounded(found, words, least))
-    sketch.unpersist()
+    filter_.unpersist()
 
     bounds = (F.col("s_up").desc(), F.col("a_up").desc(), F.col("phrase"))
     place = F.struct((-F.col("s_up")).alias("s"), (-F.col("a_up")).alias("a"), F.col("phrase").alias("p"))

@@ -51,27 +51,28 @@ def mined(rows, least, holds, limit):
     return sorted(out)
 
 
-@pytest.mark.parametrize("counters", [1 << 18, 1 << 26])
-def test_collocations(spark, counters, monkeypatch):
+@pytest.mark.parametrize("bits", [None, 27])
+def test_collocations(spark, bits, monkeypatch):
     rows = [(i, prose(80, i), ("en", "fr", None)[i % 3]) for i in range(90)] + [(100 + i, "zwei Wörter immer zusammen. x\ta  a a", "en") for i in range(40)]
     rows += [(200, None, "en"), (201, "", None), (202, " \t.;", "fr"), (203, "only once here", "xx"), (100, "zwei Wörter immer zusammen. x\ta  a a", "en"), (None, prose(500, 7), "und"), (204, "solo. " * 3000 + "y" * 50_000, "fr")]
     monkeypatch.setattr(collocations, "PATTERNS", 40)  # several automata
     monkeypatch.setattr(collocations, "TEXT", 4000)
+    monkeypatch.setattr(collocations, "STRETCH", 900)
     docs = wide(spark, rows, "doc_id long, text string, lang string")
     names = ("lang", "rank", "phrase", "a", "l", "r", "n", "score")
     for least, limit, first in ((10, 2000, 8000), (3, 25, 10)):  # the second ends by bounds, over several rounds
-        got = collocations.collocations(docs, least=least, limit=limit, first=first, most_counters=counters).select(*names).collect()
+        got = collocations.collocations(docs, least=least, limit=limit, first=first, bits=bits).select(*names).collect()
         assert sorted(map(tuple, got)) == mined(rows, least, 50, limit)
     none = spark.createDataFrame([], docs.schema)
     assert collocations.collocations(none).count() == 0
 
 
-def test_collocations_with_a_sketch_that_is_full(spark, monkeypatch):
-    """Four counters stand for all phrases, so that all are carried on; the result is the same."""
-    monkeypatch.setattr(collocations, "BLOCK", 4)
+def test_collocations_with_a_sketch_that_is_full(spark):
+    """Four counters, or a filter of 64 bits, stand for all phrases, so that most are carried on; the result is the same."""
     rows = [(i, prose(60, i, 12), "en") for i in range(30)]
-    got = collocations.collocations(spark.createDataFrame(rows, "doc_id long, text string, lang string"), limit=15, first=5, most_counters=4).collect()
-    assert sorted((r.lang, r.rank, r.phrase, r.a, r.l, r.r, r.n, r.score) for r in got) == mined(rows, 10, 50, 15)
+    for full in ({"bits": 2}, {"most_bits": 64}):
+        got = collocations.collocations(spark.createDataFrame(rows, "doc_id long, text string, lang string"), limit=15, first=5, **full).collect()
+        assert sorted((r.lang, r.rank, r.phrase, r.a, r.l, r.r, r.n, r.score) for r in got) == mined(rows, 10, 50, 15)
 
 
 def test_scores_beyond_64_bits(spark):
