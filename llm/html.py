@@ -2,22 +2,23 @@
 
 All visible text is emitted: blocks start on their own lines and paragraphs are set off by an empty
 line, list items carry bullets or numbers and their depth, cells of a table are aligned in columns (spans
-of columns and rows are laid out on its grid; see ``WIDEST``), ``br`` breaks a line and a further one leaves it empty,
+of columns and rows are laid out on its grid), ``br`` breaks a line and a further one leaves it empty,
 ``pre`` keeps its spacing. Comments, scripts, styles, heads, templates and hidden elements (attribute
 ``hidden``, ``display:none``, ``visibility:hidden``) are left out.
 
 Defined cases: null and empty pages render to the empty text; unclosed and misnested tags close as
 the tree builder implies; any end tag without its start is ignored; a tag that is never closed by ``>`` is
 text, and so is all after it; a quote that is never closed is an ordinary character; repeated rows render
-equally; depth is bounded by ``DEEPEST`` (deeper elements become siblings: no visible text is lost, and what a
-deeper hidden element holds stays hidden). Reading a page takes time in proportion to its length.
+equally; elements may nest as deep as the page has them (Python's limit of recursion follows the page). Reading a page takes
+time in proportion to its length; writing it, in proportion to the text with its indents and aligned columns.
 """
 
 from __future__ import annotations
 
 import html
 import re
-from bisect import bisect_left
+import sys
+from bisect import bisect_left, bisect_right
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -25,11 +26,8 @@ from pyspark.sql import functions as F
 
 from llm.tables import per_batch
 
-DEEPEST = 200
 OPEN = re.compile(r"<(?:(!--)|([!?])|(/?)([a-zA-Z][^\s/>]*))")
 ENDS = re.compile("[>\"']")
-#: A table whose alignment needs more than this many blanks for each character of text is set unaligned.
-WIDEST = 64
 #: Columns that a cell may span, and rows.
 MOST_COLUMNS, MOST_ROWS = 1000, 65534
 SPAN = {k: re.compile(rf"""(?i)(?:^|\s){k}\s*=\s*["']?\s*(\d{{1,6}})""") for k in ("colspan", "rowspan")}
@@ -94,30 +92,40 @@ def tokens(page: str):
     yield page[done:], None, "", "", len(page)
 
 
-def tree(page: str) -> Node:
+def tree(page: str) -> tuple[Node, int]:
+    """(root, depth of the deepest element)."""
     root = Node("html")
-    stack, tags, skip = [root], tokens(page), None
-    #: Name and depth of an element that is hidden and too deep to be kept.
-    hidden: tuple[str, int] | None = None
+    stack, tags, skip, deepest = [root], tokens(page), None, 1
+    #: Places in the stack of the open elements by tag, so that none is searched for that isn't open.
+    places: dict[str, list[int]] = {"html": [0]}
+
+    def cut(k: int) -> None:
+        """Closes the elements from place k on."""
+        for node in stack[k:]:
+            places[node.tag].pop()
+        del stack[k:]
+
+    def last(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=-1)
 
     def close(names, barriers) -> None:
-        k = len(stack) - 1
-        while k > 0 and stack[k].tag not in barriers:
-            if stack[k].tag in names:
-                del stack[k:]
-            k -= 1
+        """Closes the open elements of these names above the last barrier, and what is in them."""
+        barrier = max(0, last(barriers))
+        found = [places[n][bisect_right(places[n], barrier)] for n in names if places.get(n) and places[n][-1] > barrier]
+        if found:
+            cut(min(found))
 
     def text(piece: str) -> None:
-        if piece and not hidden:
+        if piece:
             if stack[-1].tag == "head" and piece.strip():
-                stack.pop()
+                cut(len(stack) - 1)
             stack[-1].children.append(html.unescape(piece))
 
     while True:
         try:
             before, kind, tag, rest, at = tags.send(skip)
         except StopIteration:
-            return root
+            return root, deepest
         skip = None
         text(before)
         if kind is None:
@@ -126,20 +134,12 @@ def tree(page: str) -> Node:
         if not kind and tag in RAW:
             end = re.compile(rf"</{tag}\s*>", re.I).search(page, at)
             raw, skip = page[at : end.start() if end else len(page)], end.end() if end else len(page)
-        if hidden:
-            if tag == hidden[0] and raw is None:
-                depth = hidden[1] + (-1 if kind else 1)
-                hidden = (tag, depth) if depth else None
-            continue
         if kind:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
-                if stack[k].tag in ("table", "td", "th") and tag not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html"):
-                    break
+            k = last((tag,))
+            if k > 0 and (tag in ("table", "tr", "tbody", "thead", "tfoot", "body", "html") or k >= last(("table", "td", "th"))):
+                cut(k)
             continue
-        if tag in ("html", "body") and any(n.tag == tag for n in stack):
+        if tag in ("html", "body") and places.get(tag):
             continue
         if tag in IMPLIED:
             close(*IMPLIED[tag])
@@ -149,14 +149,11 @@ def tree(page: str) -> Node:
         if raw is not None:
             node.children.append(html.unescape(raw) if tag in ("textarea", "title") else raw)
         elif tag not in VOID and not rest.endswith("/"):
-            if len(stack) < DEEPEST:
-                stack[-1].children.append(node)
-                stack.append(node)
-                continue
-            if node.unseen():
-                hidden = (tag, 1)
-                continue
-            node = Node("div" if tag in BLOCK else "span")
+            stack[-1].children.append(node)
+            places.setdefault(tag, []).append(len(stack))
+            stack.append(node)
+            deepest = max(deepest, len(stack))
+            continue
         stack[-1].children.append(node)
 
 
@@ -164,23 +161,34 @@ class Lines:
     """Lines under construction: text goes to the last one, ``gap`` asks for empty lines before the next."""
 
     def __init__(self):
-        self.done, self.now, self.gap = [], "", 0
+        self.done, self.parts, self.seen, self.gap = [], [], False, 0
+
+    def put(self, text: str) -> None:
+        """Text as it is; ``seen`` says whether the line has more than white space."""
+        if text:
+            self.parts.append(text)
+            self.seen = self.seen or bool(text.strip())
+
+    def end(self) -> None:
+        """Ends the line, empty or not."""
+        self.done.append("".join(self.parts).rstrip(" "))
+        self.parts, self.seen = [], False
 
     def inline(self, text: str) -> None:
         text = re.sub(r"[ \t\n\r\f]+", " ", text)
-        if not self.now or self.now.endswith(" "):
+        if not self.parts or self.parts[-1].endswith(" "):
             text = text.lstrip(" ")
         if text:
-            if not self.now and self.gap and self.done:
+            if not self.parts and self.gap and self.done:
                 self.done += [""] * (self.gap - 1)
                 self.gap = 0
-            self.now += text
+            self.put(text)
 
     def line(self, gap: int = 1) -> None:
-        if self.now.strip():
-            self.done.append(self.now.rstrip(" "))
+        if self.seen:
+            self.end()
             self.gap = 0
-        self.now = ""
+        self.parts, self.seen = [], False
         self.gap = max(self.gap, gap)
 
     def add(self, lines: list[str]) -> None:
@@ -201,16 +209,16 @@ def _render(node: Node, out: Lines, preformatted: bool = False) -> None:
         if isinstance(child, str):
             if preformatted:
                 first, *more = child.split("\n")
-                out.now += first
+                out.put(first)
                 for x in more:
-                    out.done.append(out.now.rstrip(" "))
-                    out.now = x
+                    out.end()
+                    out.put(x)
             else:
                 out.inline(child)
         elif child.unseen():
             continue
         elif child.tag == "br":
-            if out.now.strip():
+            if out.seen:
                 out.line()
             elif out.done:
                 out.gap += 1
@@ -333,23 +341,27 @@ def _aligned(rows: list[list[tuple[list[str], int, int]]]) -> list[str]:
     left = [0]
     for w in widths:
         left.append(left[-1] + w + 2)
-    padding = sum(left[index[row[-1][0]]] * max(map(len, (lines for _, _, lines in row))) for row in placed if row)
-    if padding > WIDEST * (1000 + sum(map(len, (x for row in placed for _, _, lines in row for x in lines)))):
-        left = [0] * len(left)
     out = []
     for row in placed:
         for k in range(max((len(lines) for _, _, lines in row), default=0)):
             line = ""
             for a, _, lines in row:
-                line = line.ljust(left[index[a]] or (len(line) + 2 if line else 0)) + (lines[k] if k < len(lines) else "")
+                if k < len(lines):
+                    line = line.ljust(left[index[a]]) + lines[k]
             out.append(line.rstrip())
     return out
 
 
 def render(page: str | None) -> str:
-    out = Lines()
-    _render(tree(page or ""), out)
-    return "\n".join(out.result())
+    root, depth = tree(page or "")
+    limit, needed = sys.getrecursionlimit(), 6 * depth + 200
+    sys.setrecursionlimit(max(limit, needed))
+    try:
+        out = Lines()
+        _render(root, out)
+        return "\n".join(out.result())
+    finally:
+        sys.setrecursionlimit(limit)
 
 
 def extracted(pages: DataFrame) -> DataFrame:

@@ -331,6 +331,62 @@ def test_licences_inside_text(spark):
     assert {r.file_id: (r.licence, r.origin) for r in licences.scan(spark.createDataFrame(rows, schema)).collect()} == {1: ("MIT", "own"), 2: ("MIT", ""), 3: ("MIT", ""), 4: ("MIT", "")}
 
 
+def test_licence_expressions_and_no_false_inheritance(spark):
+    known = {n.lower(): n for n in licences.TEMPLATES}
+    said = {
+        "GPL-2.0-or-later": "GPL-2.0-or-later", "gpl-2.0-ONLY */": "GPL-2.0-only", "Apache-2.0 or MIT": "Apache-2.0 OR MIT", "(MIT AND (ISC OR Zlib)) -->": "(MIT AND (ISC OR Zlib))",
+        "GPL-2.0+ WITH Classpath-exception-2.0": "GPL-2.0+ WITH Classpath-exception-2.0", "Foo-1.0": None, "MIT OR Foo-1.0": None, "MIT OR": None, "(MIT": None, "": None, ") MIT": None,
+    }
+    assert {x: licences.expression(x, known) for x in said} == said
+    rows = [(1, "a/x.c", "// SPDX-License-Identifier: GPL-2.0-or-later\n" + prose(50, 1)), (2, "a/y.c", prose(50, 2)), (3, "a/z.c", "Released under the MIT License."), (4, "a/b/LICENSE.txt", "Released under the MIT License."), (5, "a/b/c/d", "text"), (6, "a/b/LICENSE.md", prose(9, 1))]
+    got = {r.file_id: (r.licence, r.origin) for r in licences.scan(spark.createDataFrame(rows, "file_id long, path string, text string")).collect()}
+    assert got == {1: ("GPL-2.0-or-later", "own"), 2: (None, None), 3: ("MIT", "own"), 4: ("MIT", "own"), 5: ("MIT", "a/b"), 6: ("MIT", "a/b")}
+
+
+def test_licence_cosine_is_that_of_all_windows():
+    """The best window's cosine against all windows of all lengths, by plain sums over words."""
+    templates = {"One": "alpha beta gamma delta licence", "Two": "epsilon zeta licence eta", "Three": "licence alpha eta theta iota kappa"}
+    matcher = licences.Matcher(templates)
+
+    def cosine(a, b):
+        dot = sum(a[w] * b.get(w, 0.0) for w in a)
+        return dot / max(1e-12, np.sqrt(sum(x * x for x in a.values()) * sum(x * x for x in b.values())))
+
+    rng = np.random.default_rng(8)
+    for _ in range(30):
+        words = rng.choice("alpha beta gamma delta epsilon zeta eta theta iota kappa other words here".split(), 14).tolist()
+        at = int(rng.integers(0, 14))
+        words[at] = "licence"
+        best = 0.0
+        for k, bag in enumerate(matcher.bags):
+            n = matcher.lengths[k]
+            for s in range(15):
+                for e in range(s + 1, 15):
+                    if s <= at < e and -(-3 * n // 4) <= e - s <= 3 * n // 2:
+                        best = max(best, cosine(matcher.vector(licences.Counter(words[s:e])), matcher.vector(bag)))
+        assert abs(matcher.matches(words, (at, at + 1), [])[0] - best) < 1e-3
+
+
+def test_html_long_and_deep_pages():
+    began = time.time()
+    for n in (100_000, 1_000_000):
+        page = "<p>" + "<b>word</b> " * n
+        assert html.render(page) == " ".join(["word"] * n)
+    assert time.time() - began < 90
+    deep = "<div>" * 3000
+    table = "<table><tr><td>a<td>b<tr><td>c<td>d</table><ul><li>x<li>y</ul>"
+    assert html.render(deep + table) == html.render(table)
+    nested = "".join(f"<div>a{k}" for k in range(2000)) + "".join(f"</div>z{k}" for k in range(2000))
+    assert html.render(nested).split("\n") == [f"a{k}" for k in range(2000)] + [f"z{k}" for k in range(2000)]
+    assert html.render("<ul><li>x" * 1500).count("- ") == 1500
+    wide = "<table>" + "".join(f"<tr><td>{'w' * (2000 if k == 0 else 1)}<td>e" for k in range(300)) + "</table>"
+    lines = html.render(wide).split("\n")
+    assert len(lines) == 300 and all(x.index("e") == 2002 for x in lines)
+    for odd in ("<div>", "</b>", "<div></b>", "<p><span>", "<li><div>", "<b><button>"):
+        html.render(odd * 20_000)
+    assert time.time() - began < 180
+
+
 def test_html(spark):
     page = "<html><head><title>t</title></head><body><p>One <b>two</b><p>three<ul><li>x<li>y<ul><li>z</ul></ul><table><tr><td>a<td>bb<tr><td>ccc<td>d</table><div style='display: none'>no</div><span hidden>no</span><pre>k\n  l</pre>&amp; end<script>no</script>"
     assert html.render(page) == "One two\n\nthree\n\n- x\n- y\n  - z\n\na    bb\nccc  d\n\nk\n  l\n\n& end"
