@@ -35,7 +35,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Each document is a file ``source/lang/doc_id``."""
+    """Each document is a file ``source/lang/doc_id``; none is named like a licence file, so none speaks for others."""
     path = F.concat_ws("/", F.coalesce("source", F.lit("unknown")), F.coalesce("lang", F.lit("unknown")), F.col("doc_id").cast("string"))
     files = read(spark, sf_dir, "documents").select(F.col("doc_id").alias("file_id"), path.alias("path"), "text")
     return licences.scan(files).withColumnRenamed("file_id", "doc_id")
