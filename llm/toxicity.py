@@ -35,7 +35,9 @@ BUCKETS = 1 << 18
 SAMPLE = 20_000
 FACTORS = 6
 MIN_DOCUMENTS = 8
-STRONG, STRONG_PAIR, COMMON, PAIR_SHARE, PAIR_TERMS = 4.0, 5.0, 0.3, 0.02, 2000
+STRONG, STRONG_PAIR, COMMON, PAIR_SHARE = 4.0, 5.0, 0.3, 0.02
+#: Pairs of a text that are made at once.
+PAIRS = 1 << 21
 PREFIXES = (4, 5, 6, 7)
 #: Passes over the sample; small samples get more, so that there are STEPS steps at least.
 EPOCHS = 14
@@ -179,17 +181,17 @@ def _pair_counter(weak: np.ndarray, known: np.ndarray | None):
         for raw in batch.column("terms").to_pylist():
             t = np.frombuffer(raw, np.int32).astype(np.int64)
             t = t[is_weak[t]]
-            if len(t) > PAIR_TERMS:
-                continue
-            i, j = np.triu_indices(len(t), 1)
-            pair = (t[i] << 18) | t[j]
-            if known is not None and len(known):
-                pair = pair[known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair]
-            found.append(pair)
-            gathered += len(pair)
-            if gathered > 1 << 22:
-                yield summed()
-                found, gathered = [], 0
+            step = max(1, PAIRS // max(1, len(t)))
+            for first in range(0, len(t), step):
+                own = np.arange(first, min(first + step, len(t)))
+                pair = ((t[own] << 18)[:, None] | t)[np.arange(len(t)) > own[:, None]]
+                if known is not None and len(known):
+                    pair = pair[known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair]
+                found.append(pair)
+                gathered += len(pair)
+                if gathered > 1 << 22:
+                    yield summed()
+                    found, gathered = [], 0
         if gathered:
             yield summed()
 

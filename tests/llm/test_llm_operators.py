@@ -6,6 +6,7 @@ import time
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -277,6 +278,56 @@ def test_toxicity(spark, docs, none):
     assert all(0 <= r.score < 0.7 for r in toxicity.score(docs, nothing).collect())
 
 
+def test_toxicity_counts_all_pairs_of_long_texts(monkeypatch):
+    sets = [np.unique(np.random.default_rng(k).integers(0, 500, n) * 2).astype(np.int32) for k, n in enumerate((0, 1, 2, 90, 2000))]
+    weak = np.arange(0, 1000, 4)
+    want = {}
+    for t in sets:
+        t = [int(x) for x in t if x % 4 == 0]
+        for k, a in enumerate(t):
+            for b in t[k + 1 :]:
+                want[a << 18 | b] = want.get(a << 18 | b, 0) + 1
+    monkeypatch.setattr(toxicity, "PAIRS", 300)
+    batch = pa.RecordBatch.from_arrays([pa.array([t.tobytes() for t in sets], pa.binary())], ["terms"])
+    for known in (None, np.array(sorted(want)[::7])):
+        got = {}
+        for out in toxicity._pair_counter(weak, known)(batch):
+            for p, n in zip(out["pair"].tolist(), out["n"].tolist()):
+                got[p] = got.get(p, 0) + n
+        assert got == {p: n for p, n in want.items() if known is None or p in set(known.tolist())}
+
+
+def plain_score(model, text):
+    """The machine's score by its definition: the constant, weights of the terms, and products of the factors of each two of them."""
+    held = {}
+    for word in re.findall(r"[^\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\x7f]+", re.sub("[A-Z]", lambda m: m[0].lower(), text)):
+        for n in (0, *toxicity.PREFIXES):
+            if n == 0 or len(word.encode()) > n:
+                raw = np.frombuffer(word.encode()[: n or None], np.uint8)
+                h = arrays.mix(arrays.hashes(raw, np.array([0]), np.array([len(raw)])) ^ np.uint64(n)) & np.uint64(toxicity.BUCKETS - 1)
+                bucket = int(h[0]) | 1 if n else int(h[0]) & ~1
+                held[bucket] = held.get(bucket, 0) + 1
+    for bucket, count in list(held.items()):
+        for times in (2, 4):
+            if count >= times:
+                held[int(toxicity._again(np.array([bucket], np.uint64), times)[0])] = 1
+    place = {int(b): k for k, b in enumerate(model.buckets)}
+    known = [place[b] for b in held if b in place]
+    z = model.w0 + sum(model.w[k] for k in known) + sum(float(model.v[a] @ model.v[b]) for i, a in enumerate(known) for b in known[:i])
+    return 1 / (1 + np.exp(-max(-30, min(30, z))))
+
+
+def test_toxicity_score_is_that_of_a_plain_machine(spark):
+    """A score by sums over all pairs of a text's terms, as the machine is defined."""
+    rows = [(i, prose(20, i) + (" you moron" if i % 3 == 0 else "")) for i in range(200)]
+    d = spark.createDataFrame(rows, SCHEMA)
+    model = toxicity.fit(d, spark.createDataFrame([(i, int(i % 3 == 0)) for i, _ in rows], "doc_id long, toxic int"))
+    some = rows[:12] + [(900, ""), (901, "moron")]
+    got = {r.doc_id: r.score for r in toxicity.score(spark.createDataFrame(some, SCHEMA), model).collect()}
+    for i, text in some:
+        assert abs(got[i] - plain_score(model, text)) < 1e-4
+
+
 def test_language(spark, docs, none):
     french = "le la de et les des un une est que pour dans qui sur pas au avec il elle nous vous être avoir faire plus tout comme mais ou où".split()
     rng = np.random.default_rng(0)
