@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from meridian.operators.saving import saved
+
 #: Vectors of one block, about.
 BLOCK = 4096
 
@@ -72,34 +74,33 @@ def best_duplicates(pairs: DataFrame, scores: DataFrame) -> DataFrame:
 def rank_percentiles(df: DataFrame, group: str, value: str, percents: Sequence[int]) -> DataFrame:
     """group, p and the value at rank p (n + 1) / 100 of each group, linear between neighbours, clamped to the ends; null without values.
 
-    Equal values are counted first. Running counts come in two steps: sums per value range, then within the
-    ranges that hold a wanted rank. About 256 different values of each group, chosen by hash, part the ranges;
-    they weigh on balance only.
+    Equal values are counted first. The counts are range-partitioned by group and value and saved with their range; running counts
+    come in two steps, over the sums of the ranges, then within the ranges that hold a wanted rank. So a group is no one task's work.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(F.col(group).alias("h"), F.col(value).alias("x")).agg(F.count("*").alias("n"))
-    every = counts.groupBy(F.col("h").alias("k")).agg(F.ceil(F.count("*") / 256).alias("every"))
-    sample = counts.join(F.broadcast(every), F.col("h").eqNullSafe(F.col("k"))).filter(F.pmod(F.xxhash64("x"), F.col("every")) == 0).groupBy("k").agg(F.sort_array(F.collect_list("x")).alias("edges"))
+    ranged = df.filter(F.col(value).isNotNull()).groupBy(F.col(group).alias("h"), F.col(value).alias("x")).agg(F.count("*").alias("n"))
+    ranged = saved(ranged.repartitionByRange("h", "x").select("h", "x", "n", F.spark_partition_id().alias("part")))
+    sums = ranged.groupBy("h", "part").agg(F.sum("n").alias("m"))  # one row a range, and one more for each group
+    before = F.sum("m").over(Window.partitionBy("h").orderBy("part")) - F.col("m")
+    sums = sums.select("h", "part", "m", before.alias("before"))
     sizes = df.groupBy(F.col(group).alias("g")).agg(F.count(value).alias("size"))
-    none = F.array().cast(sample.schema["edges"].dataType)
-    edges = sizes.join(sample, F.col("g").eqNullSafe(F.col("k")), "left").select("g", "size", F.coalesce("edges", none).alias("edges"))
-    ranged = counts.join(F.broadcast(edges.select("g", "edges")), F.col("h").eqNullSafe(F.col("g"))).select("g", F.size(F.filter("edges", lambda e: e <= F.col("x"))).alias("part"), "x", "n")
-    sums = ranged.groupBy("g", "part").agg(F.sum("n").alias("m"))
-    before = F.sum("m").over(Window.partitionBy("g").orderBy("part")) - F.col("m")
-    sums = sums.select(F.col("g").alias("h"), F.col("part").alias("q"), "m", before.alias("before"))
-    wanted = edges.select("g", "size", F.explode(F.array(*(F.lit(p) for p in percents))).alias("p")).withColumn("pos", F.col("p") * (F.col("size") + 1) / 100.0)
+    wanted = sizes.select("g", "size", F.explode(F.array(*(F.lit(p) for p in percents))).alias("p")).withColumn("pos", F.col("p") * (F.col("size") + 1) / 100.0)
     low = F.greatest(F.lit(1), F.least(F.col("size"), F.floor("pos"))).cast("long")
-    wanted = wanted.withColumn("low", low).withColumn("high", F.when((F.col("pos") < 1) | (F.col("pos") >= F.col("size")), F.col("low")).otherwise(F.col("low") + 1))
-    ranks = wanted.select("g", F.explode(F.array("low", "high")).alias("rank")).distinct()
-    held = ranks.join(sums, F.col("g").eqNullSafe(F.col("h")) & (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("m"))).select("h", "q", "before", "rank")
-    parts = held.select("h", "q", "before").distinct()
-    inside = ranged.join(F.broadcast(parts), F.col("g").eqNullSafe(F.col("h")) & (F.col("part") == F.col("q")))
-    upto = F.col("before") + F.sum("n").over(Window.partitionBy("g", "part").orderBy("x"))
-    runs = inside.select("g", "x", "n", upto.alias("upto"))
-    at = ranks.withColumnRenamed("g", "h").join(runs, F.col("h").eqNullSafe(F.col("g")) & (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n"))).select("h", "rank", "x")
-    a, b = (at.select(F.col("h").alias(f"h{k}"), F.col("rank").alias(f"r{k}"), F.col("x").alias(f"x{k}")) for k in "ab")
-    out = wanted.join(a, F.col("g").eqNullSafe(F.col("ha")) & (F.col("low") == F.col("ra")), "left").join(b, F.col("g").eqNullSafe(F.col("hb")) & (F.col("high") == F.col("rb")), "left")
-    between = F.col("xa") + (F.col("pos") - F.floor("pos")) * (F.col("xb") - F.col("xa"))
-    return out.select(F.col("g").alias(group), "p", F.when(F.col("low") == F.col("high"), F.col("xa")).otherwise(between).alias(value))
+    high = F.when((F.col("pos") < 1) | (F.col("pos") >= F.col("size")), F.col("low")).otherwise(F.col("low") + 1)
+    wanted = wanted.withColumn("low", low).withColumn("high", high)
+    same = F.col("g").eqNullSafe(F.col("h"))
+    ends = wanted.select("g", "p", "size", "pos", "low", "high", F.posexplode(F.array("low", "high")).alias("end", "rank"))
+    held = ends.join(F.broadcast(sums), same & (F.col("rank") > F.col("before")) & (F.col("rank") <= F.col("before") + F.col("m")), "left").select("g", "p", "size", "pos", "low", "high", "end", "rank", "part", "before")
+    held = saved(held)  # two rows for each percentile of a group
+    parts = held.filter("part is not null").select(F.col("g").alias("k"), F.col("part").alias("q"), "before").distinct()
+    inside = ranged.join(F.broadcast(parts), F.col("h").eqNullSafe(F.col("k")) & (F.col("part") == F.col("q")))
+    upto = F.col("before") + F.sum("n").over(Window.partitionBy("h", "part").orderBy("x"))
+    runs = inside.select("h", F.col("part").alias("q"), "x", "n", upto.alias("upto"))
+    at = runs.join(F.broadcast(held.drop("before")), same & (F.col("q") == F.col("part")) & (F.col("rank") <= F.col("upto")) & (F.col("rank") > F.col("upto") - F.col("n")))
+    found = at.unionByName(held.filter("part is null").drop("before"), allowMissingColumns=True)
+    end = lambda k: F.max(F.when(F.col("end") == k, F.col("x")))
+    out = found.groupBy("g", "p", "size", "pos", "low", "high").agg(end(0).alias("a"), end(1).alias("b"))
+    between = F.col("a") + (F.col("pos") - F.floor("pos")) * (F.col("b") - F.col("a"))
+    return out.select(F.col("g").alias(group), "p", F.when(F.col("low") == F.col("high"), F.col("a")).otherwise(between).alias(value))
 
 
 def _nearest(q: np.ndarray, q_ids: np.ndarray, x: np.ndarray, x_ids: np.ndarray, k: int) -> list[pa.RecordBatch]:
