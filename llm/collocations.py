@@ -6,7 +6,8 @@
    send what they count in stretches, as sorted and compressed differences, to the part of the sketch that owns it.
    The counters that reach ``LEAST`` enter a Bloom filter at the levels that they reach (``LEAST`` times 1, 2, 4 ...), each part in its
    own region. The filter has ``MOST_BITS`` bits at most, whatever the corpus, so it may be broadcast.
-2. A further pass collects the phrases that the filter knows. Their counts are bounded by the filter's levels and by
+2. A further pass collects the phrases that the filter knows. Tasks send them in compressed lists to the part of the sketch that
+   owns their counter, where repeated ones fall together. Their counts are bounded by the filter's levels and by
    the counts of their words, and so are their scores.
 3. Phrases are counted exactly in rounds, those of the highest bounds first, and with them the longer phrases that
    could drop them and the parts that their scores need. A round's phrases are dealt into automata of at most
@@ -23,6 +24,7 @@ are not read, whatever their names.
 
 from __future__ import annotations
 
+import json
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -155,7 +157,7 @@ def _levels(least: int) -> list[int]:
 
 def _places(keys: np.ndarray, level: int, region: int) -> Iterator[np.ndarray]:
     """Bits of the filter that stand for each counter at a level."""
-    h = A.mix(keys + np.uint64(level) * _BY_LANGUAGE)
+    h = A.mix(keys + np.full(1, level, np.uint64) * _BY_LANGUAGE)
     step = (h >> np.uint64(32)) | np.uint64(1)
     base = (keys >> np.uint64(PART)) * np.uint64(region)
     for k in range(PROBES):
@@ -192,7 +194,7 @@ def _keep(name, make):
 
 
 def _promising(shared, bits: int, region: int, least: int):
-    """Phrases whose counter reaches ``least``, each once or more, with bounds of their counts (null: none)."""
+    """Phrases whose counter reaches ``least``, in lists by part of the sketch: language, bound of the count, phrase."""
     name, levels = uuid.uuid4().hex, _levels(least)
 
     def load() -> np.ndarray:
@@ -209,14 +211,18 @@ def _promising(shared, bits: int, region: int, least: int):
             some = some[(held[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1 > 0]
         return some
 
+    def sent(lists: dict[int, list[bytes]]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(lists), pa.int32()), pa.array([zlib.compress(b"\n".join(x), 1) for x in lists.values()], pa.binary())], ["part", "phrases"])
+
     def find(batches):
-        held, seen = _keep(name, load), set()
+        held, seen, lists, size = _keep(name, load), set(), {}, 0
         for batch in batches:
             seeds = _seeds(batch) if batch.num_rows else None
+            langs = [json.dumps(x).encode() for x in batch.column("lang").to_pylist()]
             for data, starts, ends, h, piece, rows, first in _slices(batch) if batch.num_rows else ():
                 raw = data.tobytes()
-                for size in SIZES:
-                    key, at = _phrases(h, piece, seeds[first + rows], size)
+                for words in SIZES:
+                    key, at = _phrases(h, piece, seeds[first + rows], words)
                     some = known(held, key >> np.uint64(64 - bits), levels[0])
                     keys, index = np.unique(key[some], return_index=True)
                     new = [k for k, x in enumerate(keys.tolist()) if x not in seen]
@@ -226,18 +232,39 @@ def _promising(shared, bits: int, region: int, least: int):
                     some = some[index[new]]
                     if not len(some):
                         continue
-                    bound = np.full(len(some), 2 * levels[0] - 1)
+                    counter, at = key[some] >> np.uint64(64 - bits), at[some]
+                    bound = np.full(len(some), levels[0])
                     for level in levels[1:]:
-                        bound[known(held, key[some] >> np.uint64(64 - bits), level)] = 2 * level - 1
-                    at = at[some]
-                    texts = [b" ".join(raw[a:b].lower().split()) for a, b in zip(starts[at].tolist(), ends[at + size - 1].tolist())]
-                    bounds = pa.array(bound, pa.int64(), mask=bound >= 2 * levels[-1] - 1)
-                    columns = [batch.column("lang").take(pa.array(first + rows[at])), pa.array(texts, pa.binary()).cast(pa.string()), pa.array(np.full(len(at), size, np.int32)), bounds]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "size", "bound"])
+                        bound[known(held, counter, level)] = level
+                    part = (counter >> np.uint64(PART)).tolist()
+                    for p, level, row, a, b in zip(part, bound.tolist(), rows[at].tolist(), starts[at].tolist(), ends[at + words - 1].tolist()):
+                        lists.setdefault(p, []).append(b"%s\t%d\t%s" % (langs[first + row], level, b" ".join(raw[a:b].lower().split())))
+                    size += len(some)
+            if size > SEEN:
+                yield sent(lists)
+                lists, size = {}, 0
+        if lists:
+            yield sent(lists)
 
     return find
 
 
+def _different(least: int):
+    """(lang, phrase, size, bound) of the different phrases of a part; a bound is null where the filter has none."""
+    last = _levels(least)[-1]
+
+    def make(table: pa.Table) -> pa.Table:
+        lines = set()
+        for raw in table.column("phrases"):
+            lines.update(zlib.decompress(raw.as_py()).split(b"\n"))
+        langs, levels, phrases = zip(*(line.split(b"\t") for line in lines))
+        bounds = [None if int(x) == last else 2 * int(x) - 1 for x in levels]
+        sizes = [x.count(b" ") + 1 for x in phrases]
+        return pa.table([pa.array([json.loads(x) for x in langs], pa.string()), pa.array(phrases, pa.binary()).cast(pa.string()), pa.array(sizes, pa.int32()), pa.array(bounds, pa.int64())], ["lang", "phrase", "size", "bound"])
+
+    return make
+
+
 def _spaced(texts: list[str]) -> Iterator[str]:
     """Lower-cased words with single spaces between and around them, a stop as a word between pieces; in stretches that end with a piece."""
     data = ".".join(texts).encode().lower().translate(_AS_STOP)
@@ -329,7 +356,7 @@ def _with_word(df: DataFrame, words: DataFrame, word: str, name: str) -> DataFra
 
 def _bounded(found: DataFrame, words: DataFrame, least: int) -> DataFrame:
     """Candidates with upper bounds of their count (a_up) and score (s_up), from the filter and the counts of words."""
-    rows = found.groupBy("lang", "phrase", "size").agg(F.min("bound").alias("bound")).select("*", *_parts())
+    rows = found.select("*", *_parts())
     common = words.filter(F.col("f") >= least)
     for k in (1, 2, 3):
         rows = _with_word(rows, common, f"w{k}", f"f{k}")
@@ -379,7 +406,8 @@ def collocations(documents: DataFrame, least: int = LEAST, holds: int = HOLDS, l
     region = max(64, min(most_bits, 1 << (32 * int(reached)).bit_length()) // parts)
     regions = per_batch(counters.select("part", "counters", "counts"), "part int, bits binary", _regions(least, region))
     filter_ = spark.sparkContext.broadcast([(r.part, bytes(r.bits)) for r in regions.collect()])  # most_bits / 8 bytes at most
-    found = texts.mapInArrow(_promising(filter_, bits, region, least), "lang string, phrase string, size int, bound long")
+    lists = texts.mapInArrow(_promising(filter_, bits, region, least), "part int, phrases binary")
+    found = lists.groupBy("part").applyInArrow(_different(least), "lang string, phrase string, size int, bound long")
     candidates = saved(_bounded(found, words, least))
     filter_.unpersist()
 
