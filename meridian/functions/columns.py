@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import gzip
+import zlib
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -114,3 +117,57 @@ def track_problem(points: Column, distance: Column, largest_gap: Column, top_spe
     return (
         F.when(points < 10, "sparse").when(distance < 200, "short").when((largest_gap > 1000) & (top_speed > 1200), "teleport")
     )
+
+
+def box_relation(a: Sequence[Column], b: Sequence[Column]) -> Column:
+    """How box ``a`` lies to ``b``: equal, contains, inside, touches (edges or corners only), overlaps or disjoint; null where a side is."""
+    known = (a[0] + a[1] + a[2] + a[3] + b[0] + b[1] + b[2] + b[3]).isNotNull()
+    within = lambda p, q: (p[0] >= q[0]) & (p[1] >= q[1]) & (p[2] <= q[2]) & (p[3] <= q[3])
+    edge = (a[2] == b[0]) | (b[2] == a[0]) | (a[3] == b[1]) | (b[3] == a[1])
+    out = F.when(~boxes_overlap(a, b), "disjoint").when(within(a, b) & within(b, a), "equal").when(within(b, a), "contains").when(within(a, b), "inside")
+    return F.when(known, out.when(edge, "touches").otherwise("overlaps"))
+
+
+#: Tags that count for an island's rank, besides those with "name" in their key.
+RANKED_TAGS = ("wikimedia_commons", "wikipedia", "website", "population", "contact:website", "ssr:stedsnr")
+
+
+def important_tags(tags: Column) -> Column:
+    """The number of tags that count for an island's rank."""
+    key = lambda k: F.lower(k)
+    return F.size(F.filter(F.map_keys(tags), lambda k: key(k).contains("name") | key(k).isin(*RANKED_TAGS)))
+
+
+def island_rank(square_km: Column, tags: Column) -> Column:
+    """0.3 times an area score (10 log10 of the area, 100 at most, 0 without area) and 0.7 times a tag score (9 a tag, 100 at most), to one decimal, ties to even."""
+    area = F.when(square_km > 0, F.least(F.lit(100.0), 10 * F.log10(square_km))).otherwise(0.0)
+    return F.bround(0.3 * area + 0.7 * F.least(F.lit(100.0), tags * 9.0), 1)
+
+
+def has_extension(name: Column, extensions: Sequence[str]) -> Column:
+    """Whether a file name ends with a dot and one of ``extensions`` (lower case), whatever its own case."""
+    out = F.lit(False)
+    for extension in extensions:
+        out = out | F.lower(name).endswith(f".{extension}")
+    return out
+
+
+def iso_timestamp(text: Column) -> Column:
+    """Time of a text such as 2024-01-31T10:20:30 or with a blank, a fraction or a zone; null where it is none."""
+    return F.try_to_timestamp(F.replace(text, F.lit("T"), F.lit(" ")))
+
+
+def gunzipped(hexadecimal: Column) -> Column:
+    """Text of hexadecimal digits of a gzip stream; null where it is none. Python, by batches."""
+
+    @F.pandas_udf("string")
+    def unpack(values: pd.Series) -> pd.Series:
+        def one(raw: str | None) -> str | None:
+            try:
+                return gzip.decompress(bytes.fromhex(raw)).decode() if raw is not None else None
+            except (ValueError, OSError, EOFError, zlib.error):
+                return None
+
+        return values.map(one, na_action=None)
+
+    return unpack(hexadecimal)

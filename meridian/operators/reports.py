@@ -141,6 +141,42 @@ def storage_usage(files: DataFrame, user: str, name: Sequence[str], order: str,
     )
 
 
+def page_of(df: DataFrame, order: Sequence[Column], size: int, number: int) -> DataFrame:
+    """Page ``number`` (from 0) of ``size`` rows, each with the number of all rows as ``total``; a page past the end is empty."""
+    total = df.agg(F.count("*").alias("total"))  # one row
+    return df.orderBy(*order).offset(size * number).limit(size).join(F.broadcast(total))
+
+
+def symmetric(pairs: DataFrame) -> DataFrame:
+    """(id, other, similarity) both ways; of several similarities of a pair the largest counts. Pairs of a row with itself, and with null ids, go."""
+    there = pairs.select("id", "other", "similarity")
+    back = pairs.select(F.col("other").alias("id"), F.col("id").alias("other"), "similarity")
+    return there.union(back).filter("id <> other").groupBy("id", "other").agg(F.max("similarity").alias("similarity"))
+
+
+def rolling_statistics(metrics: DataFrame, time: str, value: str, at: DataFrame, hours: Sequence[int], percent: int) -> DataFrame:
+    """(at, hours, n, mean, value): of the values in the last ``hours`` before each time of ``at`` (t, included), their number, mean, and value at rank percent (n + 1) / 100,
+    linear between neighbours, clamped to the ends. Times without values in a span are left out; null values and times don't count.
+
+    Each value is sent to the times whose spans hold it, by hours; equal values are counted before they are ranked.
+    """
+    hour = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / 3_600_000_000)
+    spans = at.select("t", F.explode(F.array(*map(F.lit, hours))).alias("hours")).distinct()
+    slots = spans.withColumn("slot", F.explode(F.sequence(hour("t") - F.col("hours"), hour("t"))))
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    rows = metrics.select(F.col(time).alias("m_t"), F.col(value).alias("x")).filter("m_t is not null and x is not null").withColumn("slot", hour("m_t"))
+    age = micros("t") - micros("m_t")
+    counts = rows.join(slots, "slot").filter((age >= 0) & (age < F.col("hours") * 3_600_000_000)).groupBy("t", "hours", "x").agg(F.count("*").alias("n"))
+    w = Window.partitionBy("t", "hours")
+    runs = counts.withColumn("upto", F.sum("n").over(w.orderBy("x"))).withColumn("size", F.sum("n").over(w)).withColumn("pos", percent * (F.col("size") + 1) / 100.0)
+    low = F.greatest(F.lit(1), F.least(F.col("size"), F.floor("pos")))
+    high = F.when((F.col("pos") < 1) | (F.col("pos") >= F.col("size")), low).otherwise(low + 1)
+    holds = lambda rank: F.max(F.when((rank <= F.col("upto")) & (rank > F.col("upto") - F.col("n")), F.col("x")))
+    out = runs.groupBy("t", "hours", "size", "pos").agg((F.sum(F.col("x") * F.col("n")) / F.col("size")).alias("mean"), holds(low).alias("a"), holds(high).alias("b"))
+    share = F.when(low == high, 0.0).otherwise(F.col("pos") - F.floor("pos"))
+    return out.select(F.col("t").alias("at"), "hours", F.col("size").alias("n"), "mean", (F.col("a") + share * (F.col("b") - F.col("a"))).alias("value"))
+
+
 def first_contained(text: Column, names: Mapping[str, str], default: str) -> Column:
     """The class of the first key, in the order given, that ``text`` contains."""
     out = F.when(F.lit(False), default)
