@@ -16,11 +16,11 @@ def _tiles(load, n):
 
 
 @query(f"""WITH {_PIXELS}
-SELECT a.x, a.y, round(coalesce(any_value(a.h) - avg(b.h), 0), 3) + 0.0 AS height FROM g a LEFT JOIN g b ON abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND (a.x <> b.x OR a.y <> b.y) GROUP BY 1, 2""")
+SELECT a.x, a.y, round(coalesce(any_value(a.h) - avg(b.h), 0), 8) + 0.0 AS height FROM g a LEFT JOIN g b ON abs(a.x - b.x) <= 1 AND abs(a.y - b.y) <= 1 AND (a.x <> b.x OR a.y <> b.y) GROUP BY 1, 2""")
 def raster_position_index(spark, load):
     """Height above the neighbours' mean, over tiles of 8 x 8 with halos."""
     out = raster.pixels_of(raster.focal(_tiles(load, 8), 8, 1, raster.position_index), 8)
-    return out.select("x", "y", (r("height", 3) + 0.0).alias("height"))
+    return out.select("x", "y", (r("height", 8) + 0.0).alias("height"))
 
 
 @query(f"""WITH {_PIXELS}, top AS (SELECT max(y) AS most FROM g),
