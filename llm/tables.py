@@ -23,8 +23,10 @@ def held_out(doc_id: Column) -> Column:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset, as in tests, one in the warehouse."""
+    """The folder of ``spark.checkpoint.dir``. Where it is unset, one in the warehouse in local mode, as in tests; on a cluster that is an error."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     return folder or spark.conf.get("spark.sql.warehouse.dir") + "/_checkpoints"
 
 
