@@ -36,6 +36,16 @@ def hierarchy_paths(nodes: DataFrame, id_col: str, parent_col: str, deepest: int
     return out
 
 
+def preferred_parents(nodes: DataFrame, fallback: str = "en") -> DataFrame:
+    """(id, parent) of nodes (id, title, lang, part_of): the row that ``part_of`` names in the node's own language, else in ``fallback``, else in the first language by
+    name; ties go by id. A node without ``part_of`` is a root (null parent); one whose ``part_of`` is no title is left out, as it reaches no root. Null languages equal nothing."""
+    up = nodes.select(F.col("title").alias("part_of"), F.col("lang").alias("up_lang"), F.col("id").alias("up"))
+    other = lambda c: ~F.coalesce(c, F.lit(False))
+    order = F.struct(other(F.col("up_lang") == F.col("lang")).alias("a"), other(F.col("up_lang") == fallback).alias("b"), F.coalesce("up_lang", F.lit("")).alias("c"), F.col("up").alias("d"))
+    found = nodes.select("id", "lang", "part_of").join(up, "part_of").groupBy("id").agg(F.min(order).alias("m")).select("id", F.col("m.d").alias("parent"))
+    return found.union(nodes.filter("part_of is null").select("id", F.lit(None).cast(nodes.schema["id"].dataType)))
+
+
 def owned_keys(counts: DataFrame, share: float = 0.7) -> DataFrame:
     """(region, key, share) where a region has more than ``share`` of all of a key; counts: region, key, n."""
     total = counts.groupBy("key").agg(F.sum("n").alias("total"))

@@ -1,4 +1,8 @@
-"""Joins that Spark has no single operator for."""
+"""Joins that Spark has no single operator for.
+
+Unless said otherwise: null keys and null coordinates meet nothing, repeated rows count as rows of their own, ties go as stated, and empty
+tables give empty results (an outer join keeps the other side). Helper columns begin with an underscore; inputs must not use such names.
+"""
 
 from __future__ import annotations
 

@@ -34,7 +34,7 @@ def crowded_join(left: DataFrame, right: DataFrame, keys: Sequence[str], share:
     first = crowded_keys(left, keys, share).withColumn("_side", F.lit(0))
     second = crowded_keys(right, keys, share).withColumn("_side", F.lit(1))
     # fewer than 2 / share rows: small whatever the input
-    hot = F.broadcast(saved(first.union(second).groupBy(*keys).agg(F.min("_side").alias("_side"))))
+    hot = F.broadcast(first.union(second).groupBy(*keys).agg(F.min("_side").alias("_side")))
     every = F.sequence(F.lit(0), F.lit(dealt - 1))
     one = F.array(F.lit(0))
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from meridian.functions import columns as C
-from meridian.operators import joins, ranking, reports
+from meridian.operators import etl, joins, ranking, reports
 from meridian.plans.queries import _BOX, ORACLES, _boxes, query, r
 
 
@@ -68,3 +68,22 @@ def knn_symmetric(spark, load):
     """Nearest vectors of one label, both ways."""
     near = ranking.nearest_vectors(load("embeddings"), "vec_id", "label", "embedding", 2)
     return reports.symmetric(near)
+
+
+@query("""WITH RECURSIVE n AS (SELECT min(doc_id) AS id, doc_id // 3 AS title, lang FROM documents GROUP BY 2, 3),
+b AS (SELECT c.id, arg_min(p.id, struct_pack(a := p.lang <> c.lang, b := p.lang <> 'en', c := p.lang, d := p.id)) AS up FROM n c JOIN n p ON p.title = c.title // 5 AND c.title > 0 GROUP BY 1),
+w AS (SELECT id, 0 AS depth, CAST(id AS VARCHAR) AS path FROM n WHERE title = 0 UNION ALL SELECT b.id, depth + 1, path || '/' || b.id FROM w JOIN b ON b.up = w.id WHERE depth < 30)
+SELECT CAST(id AS VARCHAR) AS id, CAST(depth AS INTEGER) AS depth, path FROM w""")
+def language_paths(spark, load):
+    """Paths through parents in the own language, else in English, else in any."""
+    title = F.floor(F.col("doc_id") / 3)
+    nodes = load("documents").groupBy(title.alias("title"), "lang").agg(F.min("doc_id").alias("id"))
+    nodes = nodes.withColumn("part_of", F.when(F.col("title") > 0, F.floor(F.col("title") / 5)))
+    paths = etl.hierarchy_paths(etl.preferred_parents(nodes), "id", "parent")
+    return paths.select(F.col("id").cast("string").alias("id"), F.col("depth").cast("int").alias("depth"), "path")
+
+
+@query("""SELECT c_custkey FROM customer c WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = c.c_custkey AND o.o_totalprice > 250000 AND o.o_orderstatus <> 'P')""")
+def not_exists_filter(spark, load):
+    large = load("orders").filter("o_totalprice > 250000 and o_orderstatus <> 'P'").select(F.col("o_custkey").alias("c_custkey"))
+    return load("customer").join(large, "c_custkey", "left_anti").select("c_custkey")

@@ -7,7 +7,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from meridian.functions import columns as C
-from meridian.operators import reports
+from meridian.operators import etl, reports
 
 
 def test_box_relations(spark):
@@ -70,3 +70,12 @@ def test_pages_and_symmetric_pairs(spark):
     assert sorted(page(2)) == [(k, 25) for k in range(5)] and page(3) == [] and reports.page_of(df.limit(0), [F.col("id")], 5, 0).count() == 0
     pairs = spark.createDataFrame([(1, 2, 0.5), (2, 1, 0.7), (1, 3, 0.1), (4, 4, 1.0), (None, 1, 0.2)], "id long, other long, similarity double")
     assert sorted(map(tuple, reports.symmetric(pairs).collect())) == [(1, 2, 0.7), (1, 3, 0.1), (2, 1, 0.7), (3, 1, 0.1)]
+
+
+def test_preferred_parents(spark):
+    rows = [(1, "root", "en", None), (2, "root", "de", None), (3, "a", "de", "root"), (4, "a", "fr", "root"), (5, "b", "de", "a"), (6, "b", "it", "a"), (7, "c", "de", "nowhere"), (8, "d", "de", "c"), (9, "e", None, "a"), (10, "x", "en", "y"), (11, "y", "en", "x")]
+    nodes = spark.createDataFrame(rows, "id long, title string, lang string, part_of string")
+    got = {r.id: r.parent for r in etl.preferred_parents(nodes).collect()}
+    assert got == {1: None, 2: None, 3: 2, 4: 1, 5: 3, 6: 3, 8: 7, 9: 3, 10: 11, 11: 10}
+    paths = {r.id: r.path for r in etl.hierarchy_paths(etl.preferred_parents(nodes), "id", "parent").collect()}
+    assert paths == {1: "1", 2: "2", 3: "2/3", 4: "1/4", 5: "2/3/5", 6: "2/3/6", 9: "2/3/9"}
