@@ -15,7 +15,7 @@ import numpy as np
 from llm import arrays as A
 
 #: Chunks that a task remembers.
-KEPT = 600_000
+KEPT = 400_000
 
 
 class ChunkTable:

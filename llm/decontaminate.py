@@ -30,6 +30,8 @@ from llm.tables import saved
 WINDOW = 10
 SHINGLE = 5
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+#: The same words before A-Z are lower-cased; enough to count them.
+ANY_CASE = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 #: Rows of items' windows or shingles that are broadcast at most; a row has about a hundred bytes.
 BROADCAST_ROWS = 200_000
 _UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -129,7 +131,7 @@ def contamination(documents: DataFrame, items: DataFrame, window: int = WINDOW,
     by_text = found.groupBy(*_KEY).agg(F.collect_set(F.struct("start", "m")).alias("places"), F.collect_set("wid").alias("wids"))
     hit = by_text.select(*_KEY, _union_length(F.col("places")).alias("n_hit"), F.explode("wids").alias("wid")).join(owners, "wid")
     hit = hit.groupBy(*_KEY).agg(F.max("n_hit").alias("n_hit"), F.array_sort(F.collect_set(F.col("item_id").cast("string"))).alias("item_ids"))
-    rows = documents.select("doc_id", *_key(F.col("text"), F.col("doc_id")), F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
+    rows = documents.select("doc_id", *_key(F.col("text"), F.col("doc_id")), F.coalesce(F.regexp_count("text", F.lit(ANY_CASE)), F.lit(0)).cast("long").alias("n_words"))
     return rows.join(hit, list(_KEY), "left").select("doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"), F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"))
 
 

@@ -37,7 +37,7 @@ FACTORS = 6
 MIN_DOCUMENTS = 8
 STRONG, STRONG_PAIR, COMMON, PAIR_SHARE = 4.0, 5.0, 0.3, 0.02
 #: Pairs of a text that are made at once.
-PAIRS = 1 << 21
+PAIRS = 1 << 19
 PREFIXES = (4, 5, 6, 7)
 #: Passes over the sample; small samples get more, so that there are STEPS steps at least.
 EPOCHS = 14
@@ -189,7 +189,7 @@ def _pair_counter(weak: np.ndarray, known: np.ndarray | None):
                     pair = pair[known[np.minimum(np.searchsorted(known, pair), len(known) - 1)] == pair]
                 found.append(pair)
                 gathered += len(pair)
-                if gathered > 1 << 22:
+                if gathered > 2 * PAIRS:
                     yield summed()
                     found, gathered = [], 0
         if gathered:
