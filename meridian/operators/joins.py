@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.operators.nearness import crowded_join
+from meridian.operators.nearness import bundled, crowded_join, unbundled
 
 
 def nearest_in_time(left: DataFrame, right: DataFrame, key: str, left_time: str, right_time: str, values: Sequence[str], tie: str) -> DataFrame:
@@ -84,19 +84,25 @@ def snapshot_delta(start: DataFrame, end: DataFrame, key: Sequence[str], attribu
     return out.select(*key, *(F.col(f"_now.{c}").alias(c) for c in attributes), "change")
 
 
-def grid_join(left: DataFrame, right: DataFrame, cell: float, predicate: Column, a: Sequence[str], b: Sequence[str]) -> DataFrame:
-    """Rectangles that meet, by grid cells: each pair is made only in the cell that owns it.
-
-    ``a`` and ``b`` name (min x, min y, max x, max y) of either side. The owner cell is that of the lower
-    left corner of the common part.
-    """
+def _meeting(left: DataFrame, right: DataFrame, cell: float, predicate: Column, a: Sequence[str], b: Sequence[str], weights: Sequence[Column | None]) -> DataFrame:
+    """Rows whose rectangles meet, by grid cells: each pair is made only in the cell that owns it, that of the lower left corner of the common part."""
 
     def cells(df: DataFrame, box: Sequence[str]) -> DataFrame:
         span = lambda lo, hi: F.sequence(F.floor(F.col(lo) / cell), F.floor(F.col(hi) / cell))
         return df.withColumn("_cx", F.explode(span(box[0], box[2]))).withColumn("_cy", F.explode(span(box[1], box[3])))
 
     owner = (F.col("_cx") == F.floor(F.greatest(a[0], b[0]) / cell)) & (F.col("_cy") == F.floor(F.greatest(a[1], b[1]) / cell))
-    return crowded_join(cells(left, a), cells(right, b), ["_cx", "_cy"]).filter(owner & predicate).drop("_cx", "_cy")
+    return crowded_join(cells(left, a), cells(right, b), ["_cx", "_cy"], weights=weights).filter(owner & predicate).drop("_cx", "_cy")
+
+
+def grid_join(left: DataFrame, right: DataFrame, cell: float, predicate: Column, a: Sequence[str], b: Sequence[str]) -> DataFrame:
+    """Rectangles that meet, by grid cells.
+
+    ``a`` and ``b`` name (min x, min y, max x, max y) of either side; ``predicate`` looks at these columns only. Rows of one rectangle are
+    compared as one, and paired row by row at the end.
+    """
+    one, other = bundled(left, list(dict.fromkeys(a)), "_l"), bundled(right, list(dict.fromkeys(b)), "_r")
+    return unbundled(_meeting(one, other, cell, predicate, a, b, [F.size("_l"), F.size("_r")]), "_l", "_r")
 
 
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
@@ -114,17 +120,18 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> D
     """Pairs of a point and a polygon around it; points: x, y and others; polygons: ring (array of x, y doubles) and others.
 
     Both sides meet in grid cells of the polygons' boxes. ``cell`` should be near the size of a common
-    polygon: a ring is sent once for each cell that its box touches. Points with a null coordinate and
+    polygon: a ring is sent once for each cell that its box touches. Points of one place are compared as one. Points with a null coordinate and
     polygons without a ring meet nothing.
     """
     edge = lambda f, c: f(F.transform("ring", lambda v: v[c]))
     boxed = polygons.filter(F.size("ring") > 0).withColumns({
         "_x0": edge(F.array_min, "x"), "_y0": edge(F.array_min, "y"), "_x1": edge(F.array_max, "x"), "_y1": edge(F.array_max, "y"),
     })
-    located = points.filter("x is not null and y is not null").withColumns({"_px": F.col("x"), "_py": F.col("y")})
+    located = bundled(points, ["x", "y"], "_points")
     inside = in_ring(F.col("x"), F.col("y"), F.col("ring"))
     names = ["_x0", "_y0", "_x1", "_y1"]
-    return grid_join(located, boxed, cell, inside, ["_px", "_py", "_px", "_py"], names).drop("_px", "_py", *names)
+    around = _meeting(located, boxed, cell, inside, ["x", "y", "x", "y"], names, [F.size("_points"), None])
+    return unbundled(around.drop(*names), "_points")
 
 
 def nearest_within(left: DataFrame, right: DataFrame, cell: float, radius: float, a: Sequence[str], b: Sequence[str], left_id: str, right_id: str) -> DataFrame:

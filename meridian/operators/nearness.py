@@ -14,38 +14,72 @@ from pyspark.sql.types import MapType
 
 from meridian.operators.saving import saved
 
-#: A key with more than this share of a side's rows is crowded; there are fewer such keys than the share's inverse.
+#: A key is dealt over a part for each such share of a side's rows; there are fewer keys with more than one part than the share's inverse.
 CROWDED = 0.002
-#: Parts that a crowded key's rows are dealt to.
+#: Rows of a key that are never dealt.
+FEW = 5_000
+#: Parts that a crowded key's rows are dealt to, at most.
 DEALT = 32
+#: Rows of one shape that travel in one list, about.
+LISTED = 4_096
 
 
-def crowded_keys(df: DataFrame, keys: Sequence[str], share: float = CROWDED) -> DataFrame:
-    """The keys with more than ``share`` of the rows; fewer than 1 / share."""
-    counts = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+def crowded_keys(df: DataFrame, keys: Sequence[str], share: float = CROWDED, dealt: int = DEALT, few: int = FEW, weight: Column | None = None) -> DataFrame:
+    """(keys, _parts): the keys with more than ``share`` of the rows and more than ``few``, and the parts to deal them to; fewer than 1 / share.
+    A row counts ``weight`` times."""
+    counts = df.groupBy(*keys).agg(F.sum(F.lit(1) if weight is None else weight).alias("_n"))
     total = counts.agg(F.sum("_n").alias("_total"))  # one row
-    return counts.join(F.broadcast(total)).filter(F.col("_n") > share * F.col("_total")).select(*keys)
+    parts = F.least(F.lit(dealt), F.ceil(F.col("_n") / F.greatest(F.lit(few), share * F.col("_total")))).cast("int")
+    return counts.join(F.broadcast(total)).select(*keys, parts.alias("_parts")).filter("_parts > 1")
 
 
-def crowded_join(left: DataFrame, right: DataFrame, keys: Sequence[str], share: float = CROWDED, dealt: int = DEALT) -> DataFrame:
-    """Inner join on ``keys``: rows of a key that is crowded on the left are dealt over ``dealt`` parts, and the right's rows of such keys are sent to
-    each part. Keys that only the right crowds are dealt the other way round. No pair is lost or made twice."""
+def _content(df: DataFrame) -> Column:
+    """A hash by content, so that a task that runs again deals its rows alike."""
+    return F.xxhash64(*(f.name for f in df.schema if not isinstance(f.dataType, MapType)))
+
+
+def crowded_join(
+    left: DataFrame, right: DataFrame, keys: Sequence[str], share: float = CROWDED, dealt: int = DEALT, few: int = FEW, weights: Sequence[Column | None] = (None, None)
+) -> DataFrame:
+    """Inner join on ``keys``: rows of a key that is crowded on one side are dealt over parts, as many as it has rows for, and the other side's rows of
+    such keys are sent to each part. Of two crowded sides the one with more parts is dealt. No pair is lost or made twice.
+
+    Sides are merged, never broadcast: Spark judges a side by its files, but rows that are sent to several cells or parts are many times as large.
+    """
     keys = list(keys)
-    first = crowded_keys(left, keys, share).withColumn("_side", F.lit(0))
-    second = crowded_keys(right, keys, share).withColumn("_side", F.lit(1))
+    sides = [crowded_keys(df, keys, share, dealt, few, w).withColumn("_side", F.lit(k)) for k, (df, w) in enumerate(zip((left, right), weights))]
     # fewer than 2 / share rows: small whatever the input
-    hot = F.broadcast(first.union(second).groupBy(*keys).agg(F.min("_side").alias("_side")))
-    every = F.sequence(F.lit(0), F.lit(dealt - 1))
-    one = F.array(F.lit(0))
+    hot = F.broadcast(sides[0].union(sides[1]).groupBy(*keys).agg(F.max(F.struct("_parts", "_side")).alias("_hot")))
+    every = F.sequence(F.lit(0), F.col("_hot._parts") - 1)
 
     def side(df: DataFrame, k: int) -> DataFrame:
-        # by content, so that a task that runs again deals its rows alike
-        content = F.xxhash64(*(f.name for f in df.schema if not isinstance(f.dataType, MapType)))
-        own = F.array(F.pmod(content, F.lit(dealt)).cast("int"))
-        part = F.when(F.col("_side").isNull(), one).when(F.col("_side") == k, own).otherwise(every)
-        return df.join(hot, keys, "left").withColumn("_part", F.explode(part)).drop("_side")
+        own = F.array(F.pmod(_content(df), F.col("_hot._parts")).cast("int"))
+        part = F.when(F.col("_hot").isNull(), F.array(F.lit(0))).when(F.col("_hot._side") == k, own).otherwise(every)
+        return df.join(hot, keys, "left").withColumn("_part", F.explode(part)).drop("_hot")
 
-    return side(left, 0).join(side(right, 1), [*keys, "_part"]).drop("_part")
+    return side(left, 0).join(side(right, 1).hint("merge"), [*keys, "_part"]).drop("_part")
+
+
+def bundled(df: DataFrame, shape: Sequence[str], name: str) -> DataFrame:
+    """(shape, name): rows that are alike in the ``shape`` columns as arrays of whole rows, about ``LISTED`` in each; rows with a null there are left out.
+
+    What depends on the shape alone is then found once for a list; ``explode`` gives the rows back. Rows that are alike in all columns share a list.
+    """
+    df = df.dropna(subset=list(shape))
+    many = df.groupBy(*shape).agg(F.count("*").alias("_n")).filter(F.col("_n") > LISTED)  # fewer than rows / LISTED
+    lists = F.coalesce(F.pmod(_content(df), F.ceil(F.col("_n") / LISTED)), F.lit(0))
+    dealt = df.join(F.broadcast(many), list(shape), "left").withColumn("_list", lists)
+    return dealt.groupBy(*shape, "_list").agg(F.collect_list(F.struct(*df.columns)).alias(name)).drop("_list")
+
+
+def unbundled(df: DataFrame, *names: str) -> DataFrame:
+    """The rows of the arrays ``names``, each with each, followed by the other columns that no row has."""
+    rows = [f.name for n in names for f in df.schema[n].dataType.elementType.fields]
+    rest = [c for c in df.columns if c not in names and c not in rows]
+    df = df.select(*names, *rest)
+    for n in names:
+        df = df.withColumn(n, F.explode(n))
+    return df.select(*(f"{n}.*" for n in names), *rest)
 
 
 def _cell(c: Column, size: float) -> Column:

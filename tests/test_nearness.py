@@ -22,6 +22,36 @@ def test_crowded_join_loses_and_doubles_nothing(spark):
     assert nearness.crowded_join(a.limit(0), b, ["k"]).count() == nearness.crowded_join(a, b.limit(0), ["k"]).count() == 0
 
 
+def test_crowded_keys_are_dealt_by_their_rows(spark):
+    left, right = [(i, 0 if i < 200 else i) for i in range(300)], [(i, i % 7 * 50) for i in range(90)]
+    a, b = spark.createDataFrame(left, "l long, k long"), spark.createDataFrame(right, "r long, k long")
+    assert [(r.k, r["_parts"]) for r in nearness.crowded_keys(a, ["k"], 0.1, 32, 1).collect()] == [(0, 7)]
+    assert nearness.crowded_keys(a, ["k"], 0.1).count() == 0
+    want = sorted((x, k, y) for x, k in left for y, q in right if k == q)
+    joined = nearness.crowded_join(a, b, ["k"], 0.01, 8, 1)
+    assert sorted((r.l, r.k, r.r) for r in joined.collect()) == want
+    # sides that are sent to many parts are never broadcast, whatever their files' sizes say
+    assert "strategy=merge" in joined._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rows_of_one_shape_meet_once(spark, monkeypatch):
+    monkeypatch.setattr(nearness, "LISTED", 3)
+    rng = np.random.default_rng(1)
+    boxes = [(x, y, x + 3, y + 2) for x, y in rng.integers(0, 12, (5, 2)).tolist()]
+    left, right = ([(i, *boxes[k]) for i, k in enumerate(rng.integers(0, 5, 60).tolist())] for _ in range(2))
+    left += left[:2] + [(None, *boxes[0]), (99, None, 1, 2, 3)]
+    a, b = (spark.createDataFrame(rows, ", ".join(f"{p}{c} long" for c in ("id", "x0", "y0", "x1", "y1"))) for p, rows in (("a_", left), ("b_", right)))
+    names = lambda p: [f"{p}{c}" for c in ("x0", "y0", "x1", "y1")]
+    meet = (F.col("a_x0") <= F.col("b_x1")) & (F.col("b_x0") <= F.col("a_x1")) & (F.col("a_y0") < F.col("b_y1")) & (F.col("b_y0") < F.col("a_y1"))
+    got = joins.grid_join(a, b, 2.0, meet, names("a_"), names("b_"))
+    key = lambda t: (t[0] is None, t)
+    want = [(p[0], q[0]) for p in left for q in right if None not in p[1:] and p[1] <= q[3] and q[1] <= p[3] and p[2] < q[4] and q[2] < p[4]]
+    assert sorted(((r.a_id, r.b_id) for r in got.collect()), key=key) == sorted(want, key=key)
+    assert got.columns == [*a.columns, *b.columns]
+    one = nearness.bundled(a, names("a_"), "rows").select(F.size("rows").alias("n")).collect()
+    assert sum(r.n for r in one) == 63 and len(one) < 63
+
+
 def test_nearest_segments(spark):
     rng = np.random.default_rng(1)
     points = [(i, *map(float, rng.integers(-50, 50, 2))) for i in range(150)] + [(500 + i, 1.0, 1.0) for i in range(80)] + [(999, None, 1.0), (998, 1e6, 0.0)]
