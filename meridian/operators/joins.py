@@ -135,14 +135,24 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> D
 
 
 def nearest_within(left: DataFrame, right: DataFrame, cell: float, radius: float, a: Sequence[str], b: Sequence[str], left_id: str, right_id: str) -> DataFrame:
-    """Nearest other right point within ``radius`` (excluded) on the plane; ties go to the smaller id. ``cell`` >= radius."""
+    """Nearest other right point within ``radius`` (excluded) on the plane; ties go to the smaller id. ``cell`` >= radius.
+
+    Points of one place are one point until the end. As a point passes over its own id only, the two smallest ids of a place, and the two nearest
+    ids of a point, are enough.
+    """
     steps = F.explode(F.array(*(F.lit(k) for k in (-1, 0, 1))))
-    wide = left.withColumn("_dx", steps).withColumn("_dy", steps)
-    wide = wide.withColumn("_cx", F.floor(F.col(a[0]) / cell) + F.col("_dx")).withColumn("_cy", F.floor(F.col(a[1]) / cell) + F.col("_dy"))
-    own = right.withColumn("_cx", F.floor(F.col(b[0]) / cell)).withColumn("_cy", F.floor(F.col(b[1]) / cell))
+    wide = left.select(*a).dropna().distinct().withColumn("_dx", steps).withColumn("_dy", steps)
+    wide = wide.withColumn("_cx", F.floor(F.col(a[0]) / cell) + F.col("_dx")).withColumn("_cy", F.floor(F.col(a[1]) / cell) + F.col("_dy")).drop("_dx", "_dy")
+    two = lambda df, by, *order: df.withColumn("_k", F.row_number().over(Window.partitionBy(*by).orderBy(*order))).filter("_k <= 2").drop("_k")
+    own = two(right.select(*b, right_id).dropna().distinct(), b, right_id)
+    own = own.withColumn("_cx", F.floor(F.col(b[0]) / cell)).withColumn("_cy", F.floor(F.col(b[1]) / cell))
     d2 = F.pow(F.col(a[0]) - F.col(b[0]), 2) + F.pow(F.col(a[1]) - F.col(b[1]), 2)
-    near = crowded_join(wide, own, ["_cx", "_cy"]).withColumn("d2", d2).filter((F.col("d2") < radius * radius) & (F.col(left_id) != F.col(right_id)))
-    return near.groupBy(left_id).agg(F.min(F.struct("d2", right_id)).alias("m")).select(left_id, F.col(f"m.{right_id}").alias(right_id), F.sqrt("m.d2").alias("distance"))
+    near = crowded_join(wide, own, ["_cx", "_cy"]).withColumn("d2", d2).filter(F.col("d2") < radius * radius)
+    best = two(near.groupBy(*a, right_id).agg(F.min("d2").alias("d2")), a, "d2", right_id)
+    best = best.groupBy(*a).agg(F.array_sort(F.collect_list(F.struct("d2", F.col(right_id).alias("id")))).alias("_best"))
+    other = F.get(F.filter("_best", lambda m: m["id"] != F.col(left_id)), F.lit(0))
+    found = crowded_join(left.select(left_id, *a), best, a).groupBy(left_id).agg(F.min(other).alias("m")).filter("m is not null")
+    return found.select(left_id, F.col("m.id").alias(right_id), F.sqrt("m.d2").alias("distance"))
 
 
 def unmatched(left: DataFrame, right: DataFrame, key: str) -> DataFrame:

@@ -11,7 +11,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from meridian.operators.nearness import crowded_join
+from meridian.operators.nearness import bundled, crowded_join, unbundled
 from meridian.operators.polygons import doubled
 from meridian.operators.saving import saved
 
@@ -38,16 +38,19 @@ def within_type_radius(points: DataFrame, places: DataFrame, radii: Mapping[str,
     """(point_id, place_id, kind, distance) of places within the radius of their kind, on the plane.
 
     Points: point_id, x, y; places: place_id, kind, px, py. The cells are as large as the largest radius; a place is sent to its own
-    and the eight around it. Null coordinates and kinds without a radius meet nothing.
+    and the eight around it. Points of one place, and places of one kind there, are compared as one. Null coordinates and kinds without a radius meet nothing.
     """
     cell = max(radii.values())
     radius = F.create_map(*(F.lit(x) for pair in radii.items() for x in pair))[F.col("kind")]
     steps = F.explode(F.array(*map(F.lit, (-1, 0, 1))))
-    sent = places.withColumn("_cx", steps).withColumn("_cy", steps)
+    sent = bundled(places.select("place_id", "kind", "px", "py"), ["px", "py", "kind"], "_places").withColumn("_cx", steps).withColumn("_cy", steps)
     sent = sent.withColumn("_cx", F.floor(F.col("px") / cell) + F.col("_cx")).withColumn("_cy", F.floor(F.col("py") / cell) + F.col("_cy")).withColumn("_r", radius)
-    own = points.withColumn("_cx", F.floor(F.col("x") / cell)).withColumn("_cy", F.floor(F.col("y") / cell))
+    own = bundled(points.select("point_id", "x", "y"), ["x", "y"], "_points")
+    own = own.withColumn("_cx", F.floor(F.col("x") / cell)).withColumn("_cy", F.floor(F.col("y") / cell))
     distance = F.sqrt(F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2))
-    return crowded_join(own, sent, ["_cx", "_cy"]).withColumn("distance", distance).filter(F.col("distance") < F.col("_r")).select("point_id", "place_id", "kind", "distance")
+    met = crowded_join(own, sent, ["_cx", "_cy"], weights=[F.size("_points"), F.size("_places")])
+    met = met.withColumn("distance", distance).filter(F.col("distance") < F.col("_r")).select("_points", "_places", "distance")
+    return unbundled(met, "_points", "_places").select("point_id", "place_id", "kind", "distance")
 
 
 def transformed_tags(tags: Column, rules: Sequence[tuple[Mapping[str, str], Mapping[str, str], Sequence[str]]]) -> Column:

@@ -52,6 +52,21 @@ def test_rows_of_one_shape_meet_once(spark, monkeypatch):
     assert sum(r.n for r in one) == 63 and len(one) < 63
 
 
+def test_copies_of_points(spark):
+    rng = np.random.default_rng(2)
+    at = rng.integers(0, 9, (70, 2)).tolist()
+    points = spark.createDataFrame([(i, float(x), float(y)) for i, (x, y) in enumerate(at)] + [(200, None, 1.0)], "id long, x double, y double")
+    side = lambda p: points.select(*(F.col(c).alias(f"{p}{c}") for c in points.columns))
+    got = joins.nearest_within(side("a_"), side("b_"), 2.0, 2.0, ["a_x", "a_y"], ["b_x", "b_y"], "a_id", "b_id").collect()
+    d = lambda i, j: math.dist(at[i], at[j])
+    want = {i: min(((d(i, j), j) for j in range(70) if j != i and d(i, j) < 2), default=None) for i in range(70)}
+    assert {r.a_id: (round(r.distance, 9), r.b_id) for r in got} == {i: (round(m[0], 9), m[1]) for i, m in want.items() if m}
+    places = spark.createDataFrame([(j, "cityvillage"[j % 2 * 4 :][: 4 + j % 2 * 3] if j % 5 else "moor", float(x), float(y)) for j, (x, y) in enumerate(at)], "place_id long, kind string, px double, py double")
+    near = maps.within_type_radius(points.withColumnRenamed("id", "point_id"), places, {"city": 3.0, "village": 1.5}).collect()
+    kind = {r.place_id: r.kind for r in places.collect()}
+    assert sorted((r.point_id, r.place_id) for r in near) == [(i, j) for i in range(70) for j in range(70) if d(i, j) < {"city": 3, "village": 1.5}.get(kind[j], 0)]
+
+
 def test_nearest_segments(spark):
     rng = np.random.default_rng(1)
     points = [(i, *map(float, rng.integers(-50, 50, 2))) for i in range(150)] + [(500 + i, 1.0, 1.0) for i in range(80)] + [(999, None, 1.0), (998, 1e6, 0.0)]
