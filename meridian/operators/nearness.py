@@ -99,23 +99,26 @@ def nearest_segments(points: DataFrame, segments: DataFrame, cell: float, radius
     """(point_id, segment_id, x, y, t, distance): of each point (point_id, px, py) the nearest segment (segment_id, ax, ay, bx, by) within ``radius``
     (included); ties go to the smaller segment id. Points without one are left out.
 
-    A segment is sent to the cells that come within the radius of it, not to all cells of its box; a point has one cell. Before the exact
-    distance a bound by the segment's box is taken. Cells with many points or segments are dealt over tasks.
+    Points of one place are one point until the end, and of equal segments the one with the smallest id counts. A segment is sent to the cells that
+    come within the radius of it, not to all cells of its box; a point has one cell. Before the exact distance a bound by the segment's box is taken.
+    Cells with many points or segments are dealt over tasks.
     """
     number = lambda df, names: [F.col(n).cast("double").alias(n) for n in names]
     points = points.select("point_id", *number(points, ("px", "py"))).filter("px is not null and py is not null")
     ends = ("ax", "ay", "bx", "by")
     segments = segments.select("segment_id", *number(segments, ends)).filter(" and ".join(f"{n} is not null" for n in ends))
+    segments = segments.groupBy(*ends).agg(F.min("segment_id").alias("segment_id"))
     low = lambda a, b: _cell(F.least(a, b) - radius, cell)
     high = lambda a, b: _cell(F.greatest(a, b) + radius, cell)
     sent = segments.withColumn("cx", F.explode(F.sequence(low("ax", "bx"), high("ax", "bx")))).withColumn("cy", F.explode(F.sequence(low("ay", "by"), high("ay", "by"))))
     middle = projected((F.col("cx") + 0.5) * cell, (F.col("cy") + 0.5) * cell, *(F.col(n) for n in ends))
     sent = sent.filter(middle["distance"] <= radius + cell * 0.7072)
-    own = points.withColumn("cx", _cell(F.col("px"), cell)).withColumn("cy", _cell(F.col("py"), cell))
+    own = points.select("px", "py").distinct().withColumn("cx", _cell(F.col("px"), cell)).withColumn("cy", _cell(F.col("py"), cell))
     outside = lambda p, a, b: F.greatest(F.least(a, b) - F.col(p), F.col(p) - F.greatest(a, b))
     near = crowded_join(own, sent, ["cx", "cy"]).filter((outside("px", "ax", "bx") <= radius) & (outside("py", "ay", "by") <= radius))
     near = near.withColumn("at", projected(F.col("px"), F.col("py"), *(F.col(n) for n in ends))).filter(F.col("at.distance") <= radius)
-    best = near.groupBy("point_id").agg(F.min(F.struct("at.distance", "segment_id", "at")).alias("m"))
+    least = near.groupBy("px", "py").agg(F.min(F.struct("at.distance", "segment_id", "at")).alias("m"))
+    best = crowded_join(points, least, ["px", "py"]).groupBy("point_id").agg(F.min("m").alias("m"))
     return best.select("point_id", "m.segment_id", "m.at.x", "m.at.y", "m.at.t", "m.distance")
 
 
