@@ -126,14 +126,17 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, cell: float) -> DataFra
     """(left_id, rank, right_id, distance): the ``k`` rows of ``right`` (right_id, rx, ry) that are nearest to each row of ``left`` (left_id, lx, ly), all
     if there are fewer; ties go to the smaller id. There is no radius.
 
-    In each round a point meets the rows in the nine cells around it. If its k-th distance is not larger than a cell, nothing outside can be nearer, and
+    Points of one place are one point until the end, and of the rows of one place only the ``k`` with the smallest ids can count. In each round a point
+    meets the rows in the nine cells around it. If its k-th distance is not larger than a cell, nothing outside can be nearer, and
     the point is finished; the others go on with cells of twice the size, until nine cells hold everything. Only points in sparse places meet large
     cells; crowded cells are dealt over tasks.
     """
     left = left.select("left_id", F.col("lx").cast("double").alias("lx"), F.col("ly").cast("double").alias("ly")).filter("lx is not null and ly is not null")
-    right = saved(right.select("right_id", F.col("rx").cast("double").alias("rx"), F.col("ry").cast("double").alias("ry")).filter("rx is not null and ry is not null"))
+    right = right.select("right_id", F.col("rx").cast("double").alias("rx"), F.col("ry").cast("double").alias("ry")).filter("rx is not null and ry is not null")
+    place = Window.partitionBy("rx", "ry").orderBy("right_id")
+    right = saved(right.withColumn("rank", F.row_number().over(place)).filter(F.col("rank") <= k).drop("rank"))
     edges = lambda df, x, y: df.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
-    left = saved(left.withColumn("row", F.monotonically_increasing_id()))
+    rows, left = left, saved(left.select("lx", "ly").distinct())
     a, b = edges(left, "lx", "ly"), edges(right, "rx", "ry")
     steps = F.explode(F.array(*map(F.lit, (-1, 0, 1))))
     out, size = None, float(cell)
@@ -147,19 +150,19 @@ def nearest_k(left: DataFrame, right: DataFrame, k: int, cell: float) -> DataFra
         wide = wide.withColumn("cx", _cell(F.col("lx"), size) + F.col("dx")).withColumn("cy", _cell(F.col("ly"), size) + F.col("dy")).drop("dx", "dy")
         own = right.withColumn("cx", _cell(F.col("rx"), size)).withColumn("cy", _cell(F.col("ry"), size))
         distance = F.sqrt((F.col("lx") - F.col("rx")) * (F.col("lx") - F.col("rx")) + (F.col("ly") - F.col("ry")) * (F.col("ly") - F.col("ry")))
-        met = crowded_join(wide, own, ["cx", "cy"]).select("row", "left_id", "right_id", distance.alias("distance"))
-        ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("row").orderBy("distance", "right_id"))).filter(F.col("rank") <= k)
+        met = crowded_join(wide, own, ["cx", "cy"]).select("lx", "ly", "right_id", distance.alias("distance"))
+        ranked = met.withColumn("rank", F.row_number().over(Window.partitionBy("lx", "ly").orderBy("distance", "right_id"))).filter(F.col("rank") <= k)
         ranked = saved(ranked)
         done = ranked
         if not last:
-            full = ranked.filter((F.col("rank") == k) & (F.col("distance") <= size)).select("row")
-            done = ranked.join(full, "row", "left_semi")
-            left = saved(left.join(full, "row", "left_anti"))
-        part = done.select("left_id", F.col("rank").cast("int").alias("rank"), "right_id", "distance")
+            full = ranked.filter((F.col("rank") == k) & (F.col("distance") <= size)).select("lx", "ly")
+            done = ranked.join(full, ["lx", "ly"], "left_semi")
+            left = saved(left.join(full, ["lx", "ly"], "left_anti"))
+        part = done.select("lx", "ly", F.col("rank").cast("int").alias("rank"), "right_id", "distance")
         out = part if out is None else out.union(part)
         if last or left.isEmpty():
             break
         size *= 2
     if out is None:
-        return left.limit(0).join(right.limit(0)).select("left_id", F.lit(0).alias("rank"), "right_id", F.lit(0.0).alias("distance"))
-    return out
+        return rows.limit(0).join(right.limit(0)).select("left_id", F.lit(0).alias("rank"), "right_id", F.lit(0.0).alias("distance"))
+    return crowded_join(rows, out, ["lx", "ly"]).select("left_id", "rank", "right_id", "distance")
