@@ -186,8 +186,21 @@ def first_contained(text: Column, names: Mapping[str, str], default: str) -> Col
 
 
 def readable_size(size: Column) -> Column:
-    """KB below 1 MiB, else MB, with one decimal."""
-    return F.when(size < 1 << 20, F.format_string("%.1f KB", size / 1024.0)).otherwise(F.format_string("%.1f MB", size / 1048576.0))
+    """KB below 1 MiB, else MB, of a whole number of bytes, with one decimal; a half goes to the even digit, as printf has it.
+
+    Tenths are found in whole numbers, since format_string rounds halves up.
+    """
+    size = size.cast("long")
+    sign = F.when(size < 0, "-").otherwise("")
+
+    def text(unit: int, name: str) -> Column:
+        whole, rest = F.shiftright(F.abs(size), unit), F.abs(size).bitwiseAND((1 << unit) - 1) * 10
+        down, left = whole * 10 + F.shiftright(rest, unit), rest.bitwiseAND((1 << unit) - 1)
+        half = 1 << (unit - 1)
+        tenths = down + F.when((left > half) | ((left == half) & (down % 2 == 1)), 1).otherwise(0)
+        return F.concat(sign, ((tenths - tenths % 10) / 10).cast("long").cast("string"), F.lit("."), (tenths % 10).cast("string"), F.lit(name))
+
+    return F.when(size < 1 << 20, text(10, " KB")).otherwise(text(20, " MB"))
 
 
 def before_gap(df: DataFrame, key: str, order: Sequence[str], time: str, step: int, fine: int, coarse: int) -> DataFrame:

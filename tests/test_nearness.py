@@ -67,6 +67,12 @@ def test_copies_of_points(spark):
     assert sorted((r.point_id, r.place_id) for r in near) == [(i, j) for i in range(70) for j in range(70) if d(i, j) < {"city": 3, "village": 1.5}.get(kind[j], 0)]
 
 
+def test_sizes_round_halves_to_even(spark):
+    sizes = [0, 51, 52, 256, 768, 1280, 1023, 1 << 20, (1 << 20) - 1, (1 << 20) + (1 << 18), 3 * (1 << 18) + (1 << 20), 1001 * 20011 + 1, -256, -1280, 5 << 40]
+    got = [r.s for r in spark.createDataFrame([(k, v) for k, v in enumerate(sizes)], "k long, v long").select("k", reports.readable_size(F.col("v")).alias("s")).orderBy("k").collect()]
+    assert got == ["%.1f KB" % (v / 1024) if v < 1 << 20 else "%.1f MB" % (v / (1 << 20)) for v in sizes]
+
+
 def test_nearest_segments(spark):
     rng = np.random.default_rng(1)
     points = [(i, *map(float, rng.integers(-50, 50, 2))) for i in range(150)] + [(500 + i, 1.0, 1.0) for i in range(80)] + [(999, None, 1.0), (998, 1e6, 0.0)]
