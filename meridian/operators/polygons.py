@@ -5,7 +5,6 @@ Unless said otherwise: null keys meet nothing, repeated rows count once, and emp
 
 from __future__ import annotations
 
-from functools import reduce
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, Window
@@ -15,6 +14,8 @@ from meridian.operators.saving import saved
 
 #: Radius of the sphere on which areas are taken, in metres.
 RADIUS = 6_378_137.0
+#: Nodes of a group's ways, with repeats, up to which the group is joined in one place.
+WALKED = 10_000
 
 
 def doubled(chain: DataFrame, keys: list[str], rounds: int) -> DataFrame:
@@ -27,6 +28,45 @@ def doubled(chain: DataFrame, keys: list[str], rounds: int) -> DataFrame:
     return chain
 
 
+def walked(ways: list[tuple[int, list[int]]]) -> list[tuple[int, bool, int, list[int]]]:
+    """(chain, closed, ways, nodes) of one small group's (way, nodes), as ``rings`` says."""
+    least: dict[int, list[int]] = {}
+    for way, nodes in ways:
+        least[way] = min(nodes, least.get(way, nodes))
+    out = [(way, True, 1, nodes) for way, nodes in least.items() if nodes[0] == nodes[-1]]
+    parts = {way: nodes for way, nodes in sorted(least.items()) if nodes[0] != nodes[-1]}
+    # ends (way, 0 for its first node or 1 for its last) that are joined
+    waiting, partner = {}, {}
+    for way, nodes in parts.items():
+        for end, node in ((0, nodes[0]), (1, nodes[-1])):
+            if other := waiting.pop(node, None):
+                partner[other], partner[way, end] = (way, end), other
+            else:
+                waiting[node] = way, end
+    seen = set()
+    for way in parts:
+        if way in seen:
+            continue
+        seen.add(way)
+        ahead, behind, closed, at = [(way, False)], [], False, (way, 1)
+        while not closed and (found := partner.get(at)):
+            closed = found[0] == way
+            if not closed:
+                ahead.append((found[0], found[1] == 1))
+                at = found[0], 1 - found[1]
+        at = way, 0
+        while not closed and (found := partner.get(at)):
+            behind.append((found[0], found[1] == 0))
+            at = found[0], 1 - found[1]
+        nodes: list[int] = []
+        for k, turned in [*reversed(behind), *ahead]:
+            seen.add(k)
+            own = parts[k][::-1] if turned else parts[k]
+            nodes += own[1:] if nodes else own
+        out.append((way, closed, len(ahead) + len(behind), nodes))
+    return out
+
+
 def rings(ways: DataFrame, keys: list[str]) -> DataFrame:
     """(keys, chain, closed, ways, nodes): the ways of each group joined at shared end points into rings, or open chains where ends are left.
 
@@ -35,12 +75,26 @@ def rings(ways: DataFrame, keys: list[str]) -> DataFrame:
     passed forward; a ring begins with it, and ends with the node that it began with. Ways without nodes, with null nodes or with one node
     are left out; of rows of one way in one group the one with the smallest list counts.
 
+    Groups of up to ``WALKED`` nodes are brought together once and walked way by way; larger ones are joined by ``large_rings``.
+    """
+    usable = ways.filter((F.size("nodes") > 1) & ~F.exists("nodes", lambda n: n.isNull())).dropna(subset=[*keys, "way"]).select(*keys, "way", "nodes")
+    large = saved(usable.groupBy(*keys).agg(F.sum(F.size("nodes")).alias("n")).filter(F.col("n") > WALKED).select(*keys))
+    some = not large.isEmpty()
+    few = usable.join(large, keys, "left_anti") if some else usable
+    kind = usable.schema
+    walk = F.udf(walked, f"array<struct<chain:{kind['way'].dataType.simpleString()},closed:boolean,ways:bigint,nodes:{kind['nodes'].dataType.simpleString()}>>", useArrow=False)
+    found = few.groupBy(*keys).agg(F.collect_list(F.struct("way", "nodes")).alias("all")).select(*keys, F.explode(walk("all")).alias("ring")).select(*keys, "ring.*")
+    return found.union(large_rings(usable.join(large, keys, "left_semi"), keys)) if some else found
+
+
+def large_rings(usable: DataFrame, keys: list[str]) -> DataFrame:
+    """``rings`` of groups of any size, of ways that are usable.
+
     No chain is walked node by node: each way has two darts, one for each direction, and a dart knows the dart that follows it.
     Following the followers of followers gives, in as many rounds as the number of ways of the largest group has binary digits, the
     smallest dart of a chain, and then each dart's distance from its end.
     """
-    usable = ways.filter((F.size("nodes") > 1) & ~F.exists("nodes", lambda n: n.isNull())).groupBy(*keys, "way").agg(F.min("nodes").alias("nodes"))
-    usable = saved(usable.filter(reduce(lambda a, b: a & b, (F.col(k).isNotNull() for k in [*keys, "way"]))))
+    usable = saved(usable.groupBy(*keys, "way").agg(F.min("nodes").alias("nodes")))
     first, last = F.get("nodes", F.lit(0)), F.element_at("nodes", -1)
     alone = usable.filter(first == last).select(*keys, F.col("way").alias("chain"), F.lit(True).alias("closed"), F.lit(1).cast("long").alias("ways"), "nodes")
     parts = usable.filter(first != last)

@@ -89,6 +89,19 @@ def test_rings_of_shuffled_ways(spark):
     assert sum(r.ways for r in got) == len(rows)
 
 
+def test_small_groups_are_walked_as_large_ones_are_joined(spark, monkeypatch):
+    rng = np.random.default_rng(9)
+    rows = [(g, None if g == 4 else "outer", int(w), [int(x) for x in rng.integers(0, 9, int(rng.integers(1, 4)))]) for g in range(5) for w in rng.permutation(30)[:12]]
+    rows += [(7, "outer", w, [w, (w + 1) % 40]) for w in range(40)] + rows[:3] + [(1, "outer", rows[12][2], [0, 1])]
+    ways = spark.createDataFrame(rows, WAYS)
+    found = []
+    for most in (10_000, 60, 0):
+        monkeypatch.setattr(P, "WALKED", most)
+        found.append(sorted((r.relation, r.role, r.chain, r.closed, r.ways, r.nodes) for r in P.rings(ways, KEYS).collect()))
+    assert found[0] == found[1] == found[2] and len(found[0]) > 10
+    assert P.walked([(3, [1, 2]), (5, [1, 3])]) == [(3, False, 2, [3, 1, 2])]
+
+
 def test_long_chain_and_odd_ways(spark):
     n = 70
     order = np.random.default_rng(3).permutation(n).tolist()
