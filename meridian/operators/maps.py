@@ -97,16 +97,18 @@ def merged_roads(roads: DataFrame) -> DataFrame:
 
     ``roads``: id (long), ref, nodes (array). A chain has the smallest id of its roads; a chain that closes begins with that road, and a road that ends
     where it starts isn't joined to itself. Roads without a ref, or with fewer than two nodes, are left out; of rows of one id in a ref the one with the smallest
-    list counts. Followers are found by joins, and a chain's order by following the followers of followers, so no ref is one task's work.
+    list counts. Followers are found by joins, and a chain's order by following the followers of followers, so no ref is one task's work. Roads that join
+    no other, most of them as a rule, take no part in that.
     """
     usable = roads.filter("ref is not null and id is not null and size(nodes) > 1").groupBy("ref", "id").agg(F.min("nodes").alias("nodes"))
-    usable = saved(usable)
     at = lambda node, name: usable.groupBy("ref", node.alias("node")).agg(F.count("*").alias("n"), F.min("id").alias(name)).filter("n = 1").drop("n")
     next_ = at(F.element_at("nodes", -1), "id").join(at(F.get("nodes", F.lit(0)), "next"), ["ref", "node"]).filter("id <> next").select("ref", F.col("id").alias("dart"), "next")
-    most = usable.groupBy("ref").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
+    next_ = saved(next_)
+    joined = saved(next_.select("ref", "dart").union(next_.select("ref", "next")).distinct())
+    most = joined.groupBy("ref").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     rounds = max(1, ceil(log2(most)))
     steps = F.lit(1).cast("long").alias("steps")
-    follows = saved(usable.select("ref", F.col("id").alias("dart")).join(next_, ["ref", "dart"], "left"))
+    follows = saved(joined.join(next_, ["ref", "dart"], "left"))
     ahead = doubled(follows.select("ref", "dart", "next", F.col("dart").alias("least"), steps), ["ref"], rounds)
     before = follows.filter("next is not null").select("ref", F.col("next").alias("dart"), F.col("dart").alias("next"))
     before = follows.select("ref", "dart").join(before, ["ref", "dart"], "left")
@@ -114,8 +116,12 @@ def merged_roads(roads: DataFrame) -> DataFrame:
     chains = saved(ahead.join(behind, ["ref", "dart"]).select("ref", "dart", F.least("least", "behind").alias("chain"), F.col("next").isNotNull().alias("closed")))
     opened = chains.join(follows, ["ref", "dart"]).select("ref", "dart", F.when(~(F.col("closed") & (F.col("next") == F.col("chain"))), F.col("next")).alias("next"), F.col("dart").alias("least"), steps)
     placed = doubled(opened, ["ref"], rounds).select("ref", "dart", "steps").join(chains, ["ref", "dart"])
-    pieces = placed.withColumnRenamed("dart", "id").join(usable, ["ref", "id"]).groupBy("ref", "chain").agg(F.array_sort(F.collect_list(F.struct((-F.col("steps")).alias("at"), "nodes"))).alias("p"))
-    return pieces.select("ref", "chain", F.flatten(F.transform("p", lambda x, i: F.when(i == 0, x["nodes"]).otherwise(F.slice(x["nodes"], F.lit(2), F.size(x["nodes"]) - 1)))).alias("nodes"))
+    # places are known by one join, whether there are any or not
+    each = usable.join(placed.select("ref", F.col("dart").alias("id"), "chain", "steps"), ["ref", "id"], "left")
+    alone = each.filter("chain is null").select("ref", F.col("id").alias("chain"), "nodes")
+    pieces = each.filter("chain is not null").groupBy("ref", "chain").agg(F.array_sort(F.collect_list(F.struct((-F.col("steps")).alias("at"), "nodes"))).alias("p"))
+    whole = F.flatten(F.transform("p", lambda x, i: F.when(i == 0, x["nodes"]).otherwise(F.slice(x["nodes"], F.lit(2), F.size(x["nodes"]) - 1))))
+    return alone.union(pieces.select("ref", "chain", whole.alias("nodes")))
 
 
 def trimmed_run(roads: Sequence[int], inside: set[int]) -> list[int]:
