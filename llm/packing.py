@@ -144,7 +144,7 @@ def pieces(documents: DataFrame, path: str | None = None, capacity: int = CAPACI
             yield dict(zip(("doc_id", "piece", "start", "length", "ids_crc32"), (pa.array(x, t) for x, t in zip(zip(*out), (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64())))))
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return per_batch(rows, "doc_id long, piece int, start long, length long, ids_crc32 long", split)
+    return per_batch(rows, "doc_id long, piece int, start long, length long, ids_crc32 long", split, "byte bpe")
 
 
 def best_fit(lengths: np.ndarray, capacity: int) -> list[list[int]]:

@@ -99,5 +99,5 @@ def encoded(documents: DataFrame, path: str | None = None, digests: bool = True)
             yield {"doc_id": ids.slice(i, j - i), "n_tokens": pa.array(n, pa.int64()), "ids": pa.array(said, pa.string()), "decoded": pa.array(decoded, pa.string())}
 
     rows = documents.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-    out = per_batch(rows, "doc_id long, n_tokens long, ids string, decoded string", encode)
+    out = per_batch(rows, "doc_id long, n_tokens long, ids string, decoded string", encode, "sentencepiece")
     return out.withColumnsRenamed({"ids": "ids_sha256", "decoded": "decoded_sha256"}) if digests else out
