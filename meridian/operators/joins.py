@@ -95,14 +95,17 @@ def _meeting(left: DataFrame, right: DataFrame, cell: float, predicate: Column,
     return crowded_join(cells(left, a), cells(right, b), ["_cx", "_cy"], weights=weights).filter(owner & predicate).drop("_cx", "_cy")
 
 
-def grid_join(left: DataFrame, right: DataFrame, cell: float, predicate: Column, a: Sequence[str], b: Sequence[str]) -> DataFrame:
+def grid_join(
+    left: DataFrame, right: DataFrame, cell: float, predicate: Column, a: Sequence[str], b: Sequence[str], derived: dict[str, Column] | None = None
+) -> DataFrame:
     """Rectangles that meet, by grid cells.
 
-    ``a`` and ``b`` name (min x, min y, max x, max y) of either side; ``predicate`` looks at these columns only. Rows of one rectangle are
-    compared as one, and paired row by row at the end.
+    ``a`` and ``b`` name (min x, min y, max x, max y) of either side; ``predicate`` and the ``derived`` columns look at these columns only. Rows of one
+    rectangle are compared as one, and paired row by row at the end.
     """
     one, other = bundled(left, list(dict.fromkeys(a)), "_l"), bundled(right, list(dict.fromkeys(b)), "_r")
-    return unbundled(_meeting(one, other, cell, predicate, a, b, [F.size("_l"), F.size("_r")]), "_l", "_r")
+    met = _meeting(one, other, cell, predicate, a, b, [F.size("_l"), F.size("_r")]).withColumns(derived or {})
+    return unbundled(met, {"_l": left.columns, "_r": right.columns})
 
 
 def in_ring(x: Column, y: Column, ring: Column) -> Column:
@@ -131,7 +134,7 @@ def points_in_polygons(points: DataFrame, polygons: DataFrame, cell: float) -> D
     inside = in_ring(F.col("x"), F.col("y"), F.col("ring"))
     names = ["_x0", "_y0", "_x1", "_y1"]
     around = _meeting(located, boxed, cell, inside, ["x", "y", "x", "y"], names, [F.size("_points"), None])
-    return unbundled(around.drop(*names), "_points")
+    return unbundled(around.drop(*names), {"_points": points.columns})
 
 
 def nearest_within(left: DataFrame, right: DataFrame, cell: float, radius: float, a: Sequence[str], b: Sequence[str], left_id: str, right_id: str) -> DataFrame:

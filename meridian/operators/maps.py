@@ -49,8 +49,8 @@ def within_type_radius(points: DataFrame, places: DataFrame, radii: Mapping[str,
     own = own.withColumn("_cx", F.floor(F.col("x") / cell)).withColumn("_cy", F.floor(F.col("y") / cell))
     distance = F.sqrt(F.pow(F.col("x") - F.col("px"), 2) + F.pow(F.col("y") - F.col("py"), 2))
     met = crowded_join(own, sent, ["_cx", "_cy"], weights=[F.size("_points"), F.size("_places")])
-    met = met.withColumn("distance", distance).filter(F.col("distance") < F.col("_r")).select("_points", "_places", "distance")
-    return unbundled(met, "_points", "_places").select("point_id", "place_id", "kind", "distance")
+    met = met.withColumn("distance", distance).filter(F.col("distance") < F.col("_r")).select("_points", "_places", "kind", "distance")
+    return unbundled(met, {"_points": ["point_id"], "_places": ["place_id"]}).select("point_id", "place_id", "kind", "distance")
 
 
 def transformed_tags(tags: Column, rules: Sequence[tuple[Mapping[str, str], Mapping[str, str], Sequence[str]]]) -> Column:

@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import MapType
+from pyspark.sql.types import DoubleType, FloatType, MapType
 
 from meridian.operators.saving import saved
 
@@ -20,6 +20,8 @@ CROWDED = 0.002
 FEW = 5_000
 #: Parts that a crowded key's rows are dealt to, at most.
 DEALT = 32
+#: Tasks of a join for each core, at least, so that cores end at about the same time.
+SHARES = 8
 #: Rows of one shape that travel in one list, about.
 LISTED = 4_096
 
@@ -44,7 +46,8 @@ def crowded_join(
     """Inner join on ``keys``: rows of a key that is crowded on one side are dealt over parts, as many as it has rows for, and the other side's rows of
     such keys are sent to each part. Of two crowded sides the one with more parts is dealt. No pair is lost or made twice.
 
-    Sides are merged, never broadcast: Spark judges a side by its files, but rows that are sent to several cells or parts are many times as large.
+    Sides are merged, never broadcast: Spark judges a side by its files, but rows that are sent to several cells or parts are many times as large. For
+    the same reason they are shuffled to a number of tasks that Spark doesn't reduce: it goes by the bytes that come in, not by the pairs that are made of them.
     """
     keys = list(keys)
     sides = [crowded_keys(df, keys, share, dealt, few, w).withColumn("_side", F.lit(k)) for k, (df, w) in enumerate(zip((left, right), weights))]
@@ -57,29 +60,34 @@ def crowded_join(
         part = F.when(F.col("_hot").isNull(), F.array(F.lit(0))).when(F.col("_hot._side") == k, own).otherwise(every)
         return df.join(hot, keys, "left").withColumn("_part", F.explode(part)).drop("_hot")
 
-    return side(left, 0).join(side(right, 1).hint("merge"), [*keys, "_part"]).drop("_part")
+    spark = left.sparkSession
+    tasks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), SHARES * spark.sparkContext.defaultParallelism)
+    both = [side(df, k).repartition(tasks, *keys, "_part") for k, df in enumerate((left, right))]
+    return both[0].join(both[1].hint("merge"), [*keys, "_part"]).drop("_part")
 
 
 def bundled(df: DataFrame, shape: Sequence[str], name: str) -> DataFrame:
-    """(shape, name): rows that are alike in the ``shape`` columns as arrays of whole rows, about ``LISTED`` in each; rows with a null there are left out.
+    """(shape, name): rows that are alike in the ``shape`` columns as arrays, about ``LISTED`` in each; rows with a null there are left out. An array holds
+    what its rows have beside the shape; floating numbers stay with the row, as 0.0 and -0.0 are alike.
 
-    What depends on the shape alone is then found once for a list; ``explode`` gives the rows back. Rows that are alike in all columns share a list.
+    What depends on the shape alone is then found once for a list; ``unbundled`` gives the rows back. Rows that are alike in all columns share a list.
     """
     df = df.dropna(subset=list(shape))
     many = df.groupBy(*shape).agg(F.count("*").alias("_n")).filter(F.col("_n") > LISTED)  # fewer than rows / LISTED
     lists = F.coalesce(F.pmod(_content(df), F.ceil(F.col("_n") / LISTED)), F.lit(0))
     dealt = df.join(F.broadcast(many), list(shape), "left").withColumn("_list", lists)
-    return dealt.groupBy(*shape, "_list").agg(F.collect_list(F.struct(*df.columns)).alias(name)).drop("_list")
+    own = [f.name for f in df.schema if f.name not in shape or isinstance(f.dataType, DoubleType | FloatType)]
+    return dealt.groupBy(*shape, "_list").agg(F.collect_list(F.struct(*(own or df.columns))).alias(name)).drop("_list")
 
 
-def unbundled(df: DataFrame, *names: str) -> DataFrame:
-    """The rows of the arrays ``names``, each with each, followed by the other columns that no row has."""
-    rows = [f.name for n in names for f in df.schema[n].dataType.elementType.fields]
-    rest = [c for c in df.columns if c not in names and c not in rows]
-    df = df.select(*names, *rest)
-    for n in names:
+def unbundled(df: DataFrame, lists: dict[str, Sequence[str]]) -> DataFrame:
+    """The rows of the arrays in ``lists`` (with their rows' columns), each with each, followed by the other columns that no row has."""
+    own = {n: df.schema[n].dataType.elementType.names for n in lists}
+    rows = [F.col(f"{n}.{c}" if c in own[n] else c) for n, columns in lists.items() for c in columns]
+    rest = [c for c in df.columns if c not in lists and not any(c in columns for columns in lists.values())]
+    for n in lists:
         df = df.withColumn(n, F.explode(n))
-    return df.select(*(f"{n}.*" for n in names), *rest)
+    return df.select(*rows, *rest)
 
 
 def _cell(c: Column, size: float) -> Column:

@@ -52,6 +52,24 @@ def test_rows_of_one_shape_meet_once(spark, monkeypatch):
     assert sum(r.n for r in one) == 63 and len(one) < 63
 
 
+def test_lists_hold_ids_and_are_dealt_over_all_tasks(spark):
+    rows = [(i, i % 7, i % 5, i % 7 + 2, i % 5 + 1) for i in range(300)] + [(None, 0, 0, 2, 1)]
+    a, b = (spark.createDataFrame(rows, ", ".join(f"{p}{c} long" for c in ("id", "x0", "y0", "x1", "y1"))) for p in ("a_", "b_"))
+    names = lambda p: [f"{p}{c}" for c in ("x0", "y0", "x1", "y1")]
+    # what is alike in all rows of a list doesn't travel with each of them
+    assert nearness.bundled(a, names("a_"), "rows").schema["rows"].dataType.elementType.names == ["a_id"]
+    meet = (F.col("a_x0") <= F.col("b_x1")) & (F.col("b_x0") <= F.col("a_x1")) & (F.col("a_y0") <= F.col("b_y1")) & (F.col("b_y0") <= F.col("a_y1"))
+    got = joins.grid_join(a, b, 2.0, meet, names("a_"), names("b_"), {"wider": F.col("a_x1") - F.col("b_x0")})
+    want = [(*p, *q, p[3] - q[1]) for p in rows for q in rows if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4]]
+    assert sorted(map(tuple, got.collect()), key=str) == sorted(want, key=str)
+    # few bytes come in and many pairs are made: tasks aren't reduced by bytes
+    assert got.rdd.getNumPartitions() == nearness.SHARES * spark.sparkContext.defaultParallelism
+    # 0.0 and -0.0 are one shape, but stay what they are in their rows
+    zero = spark.createDataFrame([(1, 0.0), (2, -0.0)], "id long, v double")
+    back = nearness.unbundled(nearness.bundled(zero, ["v"], "rows"), {"rows": zero.columns})
+    assert back.columns == zero.columns and {r.id: math.copysign(1, r.v) for r in back.collect()} == {1: 1.0, 2: -1.0}
+
+
 def test_copies_of_points(spark):
     rng = np.random.default_rng(2)
     at = rng.integers(0, 9, (70, 2)).tolist()
