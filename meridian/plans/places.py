@@ -18,7 +18,7 @@ def box_relations(spark, load):
     left, right = _boxes(load("part"), "p_partkey", "a_"), _boxes(load("customer"), "c_custkey", "b_")
     names = lambda p: [f"{p}{x}" for x in ("x0", "y0", "x1", "y1")]
     a, b = ([F.col(n) for n in names(p)] for p in ("a_", "b_"))
-    return joins.grid_join(left, right, 25.0, C.boxes_overlap(a, b), names("a_"), names("b_")).select("a_id", "b_id", C.box_relation(a, b).alias("relation"))
+    return joins.grid_join(left, right, 25.0, C.boxes_overlap(a, b), names("a_"), names("b_"), {"relation": C.box_relation(a, b)}).select("a_id", "b_id", "relation")
 
 
 @query("""SELECT c_custkey, round_even(0.3 * CASE WHEN c_acctbal > 0 THEN least(100.0::DOUBLE, 10 * log10(c_acctbal)) ELSE 0 END + 0.7 * least(100.0::DOUBLE, (1 + CASE WHEN c_custkey % 2 = 0 THEN 1 ELSE 0 END) * 9.0::DOUBLE), 1) AS rank FROM customer""")
