@@ -16,6 +16,8 @@ from meridian.operators.saving import saved
 RADIUS = 6_378_137.0
 #: Nodes of a group's ways, with repeats, up to which the group is joined in one place.
 WALKED = 10_000
+#: Rows that a task of ``closure`` sorts or tells apart, about.
+ROWS = 1_000_000
 
 
 def doubled(chain: DataFrame, keys: list[str], rounds: int) -> DataFrame:
@@ -202,29 +204,45 @@ def staged(entities: DataFrame, key: str, order: str) -> DataFrame:
     return entities.filter(F.col(key).isNotNull()).groupBy(key).agg(F.max(F.struct(order, F.struct(*entities.columns).alias("row"))).alias("m")).select("m.row.*")
 
 
+def _dealt(df: DataFrame, rows: int, *keys: str) -> DataFrame:
+    """``df`` shuffled by ``keys`` to as many tasks as ``rows`` ask for. Spark's own number goes by compressed bytes, of which rows of ids have few."""
+    return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, ceil(rows / ROWS)), *keys)
+
+
 def closure(members: DataFrame, present: dict[str, DataFrame], way_nodes: DataFrame) -> DataFrame:
     """(root, kind, id, missing): all that a relation is made of, in phases: relations through relations, then ways, then nodes of either.
 
     ``members``: id, type (relation, way or node), ref, of staged relations; ``present``: by type, the staged ids (id); ``way_nodes``: id, node.
     A relation is part of itself. Each pair of a root and a relation is met once, so that cycles end, and the pairs of a step are saved before the next one; members
-    that aren't staged are listed as missing and lead nowhere. Members with a null type or reference are left out.
+    that aren't staged are listed as missing and lead nowhere. Members with a null type or reference are left out. What is missing is marked on members, before they are
+    multiplied by roots, and a task gets about ``ROWS`` rows however large the input is.
     """
-    links = members.filter("type = 'relation' and ref is not null").select("id", "ref").distinct()
-    front = saved(present["relation"].select(F.col("id").alias("root"), "id").distinct())
+    there = {kind: df.select(F.lit(kind).alias("type"), F.col("id").alias("ref"), F.lit(True).alias("there")).distinct() for kind, df in present.items()}
+    named = members.filter("type in ('relation', 'way', 'node') and ref is not null").select("id", "type", "ref").distinct()
+    staged_ = there["relation"].union(there["way"]).union(there["node"])
+    marked = saved(named.join(staged_, ["type", "ref"], "left").select("id", "type", "ref", F.col("there").isNull().alias("missing")))
+    n_members = marked.count()
+    links = marked.filter("type = 'relation'").select("id", "ref", "missing")
+    front = saved(present["relation"].select(F.col("id").alias("root"), "id", F.lit(False).alias("missing")).distinct())
+    n = reached = front.count()
     known = front
-    while True:
-        step = front.join(links, "id").select("root", F.col("ref").alias("id")).distinct()
-        front = saved(step.join(known, ["root", "id"], "left_anti"))
-        if front.isEmpty():
-            break
-        known = saved(known.union(front))
-    direct = known.join(members.filter("type in ('way', 'node') and ref is not null").select("id", "type", "ref").distinct(), "id").select("root", F.col("type").alias("kind"), F.col("ref").alias("id"))
-    ways = saved(direct.filter("kind = 'way'").distinct())
-    through = ways.select("root", "id").join(way_nodes.filter("node is not null").select("id", "node").distinct(), "id").select("root", F.lit("node").alias("kind"), F.col("node").alias("id"))
-    nodes = direct.filter("kind = 'node'").union(through).distinct()
-    out = None
-    for kind, rows in (("relation", known.select("root", F.lit("relation").alias("kind"), "id")), ("way", ways), ("node", nodes)):
-        there = present[kind].select("id").distinct().withColumn("there", F.lit(True))
-        part = rows.join(there, "id", "left").select("root", "kind", "id", F.col("there").isNull().alias("missing"))
-        out = part if out is None else out.union(part)
-    return out
+    while reached:
+        step = _dealt(front, max(reached, n_members), "id").drop("missing").join(_dealt(links, max(reached, n_members), "id"), "id")
+        step = step.select("root", F.col("ref").alias("id"), "missing")
+        front = saved(_dealt(step, n, "root", "id").distinct().join(_dealt(known, n, "root", "id"), ["root", "id"], "left_anti"))
+        reached = front.count()
+        if reached:
+            known, n = known.union(front.coalesce(ceil(reached / ROWS))), n + reached  # kept already; small steps are one task later on
+    others = marked.filter("type <> 'relation'")
+    direct = _dealt(known.drop("missing"), max(n, n_members), "id").join(_dealt(others, max(n, n_members), "id"), "id")
+    direct = saved(direct.select("root", F.col("type").alias("kind"), F.col("ref").alias("id"), "missing"))
+    n_direct = direct.count()
+    ways = saved(_dealt(direct.filter("kind = 'way'"), n_direct, "root", "id").distinct())
+    of_ways = saved(way_nodes.filter("id is not null and node is not null").select("id", "node").distinct().join(
+        there["node"].select(F.col("ref").alias("node"), "there"), "node", "left").select("id", "node", F.col("there").isNull().alias("missing")))
+    each = ways.groupBy("id").agg(F.count("*").alias("a")).join(of_ways.groupBy("id").agg(F.count("*").alias("b")), "id")
+    pairs = each.agg(F.coalesce(F.sum(F.col("a") * F.col("b")), F.lit(0))).first()[0]
+    through = _dealt(ways.select("root", "id"), max(n_direct, pairs), "id").join(_dealt(of_ways, max(n_direct, pairs), "id"), "id")
+    through = through.select("root", F.lit("node").alias("kind"), F.col("node").alias("id"), "missing")
+    nodes = _dealt(direct.filter("kind = 'node'").union(through), n_direct + pairs, "root", "id").distinct()
+    return known.select("root", F.lit("relation").alias("kind"), "id", "missing").union(ways).union(nodes)

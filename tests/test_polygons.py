@@ -152,6 +152,19 @@ def test_nodes_that_are_missing(spark):
     assert got == {1: (1, [(0, 0), (1, 0), (0, 0)]), 4: (2, [])}
 
 
+def test_tasks_of_a_closure_follow_its_rows(spark, monkeypatch):
+    monkeypatch.setattr(P, "ROWS", 100)
+    ids = lambda n: spark.range(n)
+    members = spark.range(60).selectExpr("id % 30 as id", "if(id < 30, 'relation', 'way') as type", "(id + 1) % 30 as ref")
+    way_nodes = spark.range(90).selectExpr("id % 30 as id", "id as node")
+    got = P.closure(members, {"relation": ids(30), "way": ids(20), "node": ids(80)}, way_nodes)
+    # a ring of 30 relations: each of them leads to all relations, ways and nodes
+    want = [(r, kind, k, k >= there) for kind, n, there in (("relation", 30, 30), ("way", 30, 20), ("node", 90, 80)) for r in range(30) for k in range(n)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    # 900 ways and 2,700 nodes to tell apart, at about 100 rows in a task
+    assert got.rdd.getNumPartitions() >= 36
+
+
 def test_closure_of_cycles_and_missing_members(spark):
     members = spark.createDataFrame([(1, "relation", 2), (2, "relation", 3), (3, "relation", 1), (1, "relation", 99), (2, "way", 7), (2, "way", 8), (3, "node", 5), (1, None, 4), (1, "way", None), (4, "relation", 4), (1, "relation", 2)], "id long, type string, ref long")
     ids = lambda *v: spark.createDataFrame([(x,) for x in v], "id long")
