@@ -417,10 +417,10 @@ def without_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFram
 
     Of rows that share an id one stays; rows with a null id, and rows without words, all stay.
     """
-    groups = near_duplicates(documents, percent)
-    drop = groups.filter("n_shingles > 0 and doc_id <> component_id").select("doc_id").distinct()
+    groups = saved(near_duplicates(documents, percent).filter("n_shingles > 0 and doc_id is not null").select("doc_id", "component_id"))
+    drop = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     kept = documents.join(drop, documents["doc_id"] == drop["doc_id"], "left_anti")
-    twice = groups.filter("n_shingles > 0 and doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
+    twice = groups.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
     if twice.isEmpty():
         return kept
     again = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi").dropDuplicates(["doc_id"])

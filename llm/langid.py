@@ -18,6 +18,8 @@ every text is ``und``. Other columns of the input are not read.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -25,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from llm import arrays as A
-from llm.tables import fold_of, per_batch
+from llm.tables import fold_of, per_batch, saved
 
 SIZE = 1 << 13
 SAMPLE = 800
@@ -110,18 +112,19 @@ def _radii(cosines: np.ndarray, buckets: np.ndarray) -> np.ndarray:
     return out
 
 
-def train(sparse: list[bytes], langs: list[str], cut: list[bool] | None = None) -> Centroids:
-    """``sparse``: buckets, then counts, of each sampled text, or of a stretch of one where ``cut`` says so.
+def _holding(table: pa.Table) -> pa.Table:
+    """A language's whole texts, and how many of them hold each bucket."""
+    holding, n = np.zeros(SIZE, np.int64), 0
+    for raw, cut in zip(table.column("counts"), table.column("cut")):
+        if not cut.as_py():
+            both = np.frombuffer(raw.as_buffer(), np.uint16)
+            holding[both[: len(both) // 2]] += 1
+            n += 1
+    return pa.table([pa.array([n]), pa.array([holding.tobytes()], pa.binary())], ["n", "holding"])
 
-    Only one language's texts are dense at a time, and its stretches in small blocks.
-    """
-    cut = cut or [False] * len(sparse)
-    whole = [raw for raw, c in zip(sparse, cut) if not c]
-    holding = np.zeros(SIZE, np.int64)
-    for raw in whole:
-        both = np.frombuffer(raw, np.uint16)
-        holding[both[: len(both) // 2]] += 1
-    idf = (np.log((1 + len(whole)) / (1 + holding)) + 1).astype(np.float32)
+
+def _trained(idf: np.ndarray) -> Callable[[pa.Table], pa.Table]:
+    """Centroids and radii of one language; only its whole texts are dense at a time, and its stretches in small blocks."""
 
     def unit(rows: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         x = _dense(rows)
@@ -131,22 +134,22 @@ def train(sparse: list[bytes], langs: list[str], cut: list[bool] | None = None)
         x /= np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
         return x, bucket
 
-    names, parts, radius = [], [], []
-    for name in sorted({lang for lang, c in zip(langs, cut) if not c}):
-        own, bucket = unit([raw for raw, lang, c in zip(sparse, langs, cut) if lang == name and not c])
-        c = _k_means(own, CENTROIDS)
+    def train(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("cut", "ascending"), ("counts", "ascending")])
+        whole = table.filter(pc.invert(table.column("cut")))
+        own, bucket = unit(whole.column("counts").to_pylist())
+        c = _k_means(own, CENTROIDS).astype(np.float32)
         cosines, buckets = [(own @ c.T).max(1)], [bucket]
         del own
-        stretches = [raw for raw, lang, x in zip(sparse, langs, cut) if lang == name and x]
+        stretches = table.slice(len(whole)).column("counts").to_pylist()
         for i in range(0, len(stretches), 256):
             x, bucket = unit(stretches[i : i + 256])
             cosines.append((x @ c.T).max(1))
             buckets.append(bucket)
-        names += [name] * len(c)
-        radius += [_radii(np.concatenate(cosines), np.concatenate(buckets))] * len(c)
-        parts.append(c)
-    centroids = np.concatenate(parts) if parts else np.zeros((0, SIZE), np.float32)
-    return Centroids(idf, names, centroids.astype(np.float32), np.array(radius).reshape(-1, LENGTHS))
+        radius = _radii(np.concatenate(cosines), np.concatenate(buckets))
+        return pa.table([whole.column("lang").slice(0, 1), *(pa.array([x.tobytes()], pa.binary()) for x in (c, radius))], ["lang", "centroids", "radius"])
+
+    return train
 
 
 def _slices(data: np.ndarray, offsets: np.ndarray):
@@ -182,14 +185,22 @@ def _pairs(batch: pa.RecordBatch):
 
 
 def fit(documents: DataFrame, sample: int = SAMPLE) -> Centroids:
-    """Learns from about ``sample`` documents of each language that are not held out."""
+    """Learns from about ``sample`` documents of each language that are not held out, each language in a task; only
+    centroids, radii and counts by bucket come to the driver."""
     known = documents.select("doc_id", "text", "lang").filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & F.coalesce(fold_of(F.col("doc_id")) != 1, F.lit(False)))
     per_language = known.groupBy("lang").agg(F.count("*").alias("n"))
     place = F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) / 1_000_000
     share = F.broadcast(per_language.select("lang", (F.lit(float(sample)) / F.col("n")).alias("share")))
     chosen = known.join(share, "lang").filter(place < F.col("share")).select(F.col("lang").cast("string"), "text", F.when(F.col("share") < 1, F.pmod(F.xxhash64("doc_id", F.lit(1)), F.lit(CUT_EVERY))).otherwise(0).alias("key"))
-    rows = per_batch(chosen, "lang string, counts binary, cut boolean", _pairs).toArrow().sort_by([("lang", "ascending"), ("cut", "ascending"), ("counts", "ascending")])
-    return train(rows.column("counts").to_pylist(), rows.column("lang").to_pylist(), rows.column("cut").to_pylist())
+    by_lang = saved(per_batch(chosen, "lang string, counts binary, cut boolean", _pairs)).groupBy("lang")
+    seen = by_lang.applyInArrow(_holding, "n long, holding binary").toArrow().to_pylist()
+    holding = sum((np.frombuffer(x["holding"], np.int64) for x in seen), np.zeros(SIZE, np.int64))
+    idf = (np.log((1 + sum(x["n"] for x in seen)) / (1 + holding)) + 1).astype(np.float32)
+    learnt = sorted(by_lang.applyInArrow(_trained(idf), "lang string, centroids binary, radius binary").toArrow().to_pylist(), key=lambda x: x["lang"])
+    parts = [np.frombuffer(x["centroids"], np.float32).reshape(-1, SIZE) for x in learnt]
+    names = [x["lang"] for x, c in zip(learnt, parts) for _ in c]
+    radius = np.array([np.frombuffer(x["radius"]) for x, c in zip(learnt, parts) for _ in c]).reshape(-1, LENGTHS)
+    return Centroids(idf, names, np.concatenate(parts) if parts else np.zeros((0, SIZE), np.float32), radius)
 
 
 def has_letter(text: Column) -> Column:

@@ -57,13 +57,13 @@ def mod_97(account: Column) -> Column:
 def valid(kind: str, value: Column) -> Column:
     digits = F.regexp_replace(value, "[^0-9]", "")
     return {
-        "email": F.lit(True),
-        "ip": value.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"),
-        "card": F.when(F.length(digits).between(14, 19), luhn(digits)).otherwise(False),
-        "phone": F.length(digits).between(10, 15),
-        "iban": mod_97(value),
-        "ssn": ~value.rlike("^(?:000|666|9)|-00-|-0000$"),
-    }[kind]
+        "email": lambda: F.lit(True),
+        "ip": lambda: value.rlike(rf"^{_BYTE}(?:\.{_BYTE}){{3}}$"),
+        "card": lambda: F.when(F.length(digits).between(14, 19), luhn(digits)).otherwise(False),
+        "phone": lambda: F.length(digits).between(10, 15),
+        "iban": lambda: mod_97(value),
+        "ssn": lambda: ~value.rlike("^(?:000|666|9)|-00-|-0000$"),
+    }[kind]()
 
 
 def _may_hold(kind: str, needs: str, text: Column) -> Column:
@@ -107,32 +107,54 @@ def _in_blocks(text: Column) -> Column:
 _SPAN = "array<struct<start:int,no:int,kind:string,end:int,score:double>>"
 
 
-def _spans_of(no: int, text: Column, blocks: Column) -> Column:
-    kind, pattern, needs, start_score, words = KINDS[no]
+def _found(no: int, text: Column) -> Column:
+    """The matches of a kind and the parts of the text between them, with what the kind's facts are; null without a match."""
+    kind, pattern, needs, start_score, _ = KINDS[no]
+    parts, values = F.split(text, pattern, -1).alias("parts"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values")
+    facts = F.lit(no).alias("no"), F.lit(kind).alias("kind"), F.lit(start_score).alias("start_score")
+    return F.when(_may_hold(kind, needs, text) & text.rlike(pattern), F.struct(*facts, parts, values))
+
+
+def _by_kind(no: Column, f: Callable[[int], Column]) -> Column:
+    """``f`` of the kind's number."""
+    out = F.when(no == 0, f(0))
+    for k in range(1, len(KINDS)):
+        out = out.when(no == k, f(k))
+    return out
+
+
+def _placed(both: Column, blocks: Column) -> Column:
+    """The spans of one kind's matches."""
+    no = both["no"]
 
     def described(v: Column, end: Column) -> Column:
         start = end - F.length(v)
-        before = F.lower(_stretch(blocks, F.greatest(start - CONTEXT, F.lit(0)), F.least(start, F.lit(CONTEXT))))
-        near = F.concat(before, F.lit(" # "), F.lower(_stretch(blocks, end, F.lit(CONTEXT))))
-        step = F.when(near.rlike(rf"\b(?:{words})"), STEP).otherwise(0.0) - F.when(near.rlike(rf"\b(?:{COUNTER})\b"), STEP).otherwise(0.0)
-        score = F.round(F.least(F.greatest(start_score + step, F.lit(0.0)), F.lit(1.0)), 2)
-        return F.struct(start.alias("start"), F.lit(no).alias("no"), F.lit(kind).alias("kind"), end.alias("end"), score.alias("score"), valid(kind, v).alias("ok"))
+        before = _stretch(blocks, F.greatest(start - CONTEXT, F.lit(0)), F.least(start, F.lit(CONTEXT)))
+        near = F.lower(F.concat(before, F.lit(" # "), _stretch(blocks, end, F.lit(CONTEXT))))
+
+        def score(near: Column) -> Column:
+            own = _by_kind(no, lambda k: near.rlike(rf"\b(?:{KINDS[k][4]})"))
+            step = F.when(own, STEP).otherwise(0.0) - F.when(near.rlike(rf"\b(?:{COUNTER})\b"), STEP).otherwise(0.0)
+            return F.round(F.least(F.greatest(both["start_score"] + step, F.lit(0.0)), F.lit(1.0)), 2)
 
-    def placed(both: Column) -> Column:
-        steps = F.zip_with(both["parts"], both["values"], lambda p, v: F.length(p) + F.coalesce(F.length(v), F.lit(0)))
-        ends = _running(steps, lambda a, x: a + x)
-        found = F.zip_with(both["values"], F.slice(ends, 1, F.size(both["values"])), described)
-        sure = F.filter(found, lambda x: x["ok"] & (F.lit(kind in BASE) | (x["score"] >= LEAST)))
-        return F.transform(sure, lambda x: F.struct(*(x[c].alias(c) for c in ("start", "no", "kind", "end", "score"))))
+        ok = _by_kind(no, lambda k: valid(KINDS[k][0], v)).alias("ok")
+        return F.struct(start.alias("start"), no.alias("no"), both["kind"].alias("kind"), end.alias("end"), _let(near, score).alias("score"), ok)
 
-    both = F.struct(F.split(text, pattern, -1).alias("parts"), F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("values"))
-    return F.when(_may_hold(kind, needs, text) & text.rlike(pattern), _let(both, placed)).otherwise(F.array().cast(_SPAN))
+    steps = F.zip_with(both["parts"], both["values"], lambda p, v: F.length(p) + F.coalesce(F.length(v), F.lit(0)))
+    ends = _running(steps, lambda a, x: a + x)
+    found = F.zip_with(both["values"], F.slice(ends, 1, F.size(both["values"])), described)
+    sure = F.filter(found, lambda x: x["ok"] & ((no < len(BASE)) | (x["score"] >= LEAST)))
+    return F.transform(sure, lambda x: F.struct(*(x[c].alias(c) for c in ("start", "no", "kind", "end", "score"))))
 
 
 def spans(text: Column) -> Column:
-    """Confirmed spans of a text, by start and kind: array of (start, no, kind, end, score)."""
+    """Confirmed spans of a text, by start and kind: array of (start, no, kind, end, score).
+
+    The kinds share one expression for what follows their matches: the driver analyses and rewrites a tree of it, not six.
+    """
     text = F.coalesce(text, F.lit(""))
-    found = _let(_in_blocks(text), lambda blocks: F.array_sort(F.flatten(F.array(*(_spans_of(no, text, blocks) for no in range(len(KINDS)))))))
+    kinds = F.filter(F.array(*(_found(no, text) for no in range(len(KINDS)))), lambda both: both.isNotNull())
+    found = _let(_in_blocks(text), lambda blocks: F.array_sort(F.flatten(F.transform(kinds, lambda both: _placed(both, blocks)))))
     return F.when(text.rlike("[0-9@]"), found).otherwise(F.array().cast(_SPAN))
 
 
