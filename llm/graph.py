@@ -17,7 +17,7 @@ def components(edges: DataFrame) -> DataFrame:
     """
     both = edges.select("a", "b").union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels, left = None, saved(both.filter("a <> b").distinct())
-    while not left.isEmpty():
+    while left.take(1):
         parent = left.groupBy("a").agg(F.least(F.min("b"), F.first("a")).alias("p"))
         jump = parent.select(F.col("a").alias("p"), F.col("p").alias("q"))
         parent = saved(parent.join(jump, "p", "left").select(F.col("a").alias("v"), F.coalesce("q", "p").alias("label")))

@@ -16,8 +16,9 @@
 5. Candidates are verified once by a true intersection. A group of a prefix shingle is not expanded
    into all its pairs: in each round a few pivots of the group meet the others; whoever links joins
    the pivot's component, a group whose members are in one component is finished, and pivots that met
-   the whole group leave it. Four times as many pivots are taken in each round, so the rounds are few;
-   every pair of a group is either compared, ruled out by a filter, or already connected.
+   the whole group leave it. Four times as many pivots are taken in the second round and sixteen times as many
+   in each further one, so the rounds are few; every pair of a group is either compared, ruled out by a filter,
+   or already connected.
 
 Counting: a task gathers sets into chunks, and sends each different shingle of a chunk once, with its count
 there, to the part of the hash space that owns it; what a shingle that very many documents hold costs a part
@@ -57,6 +58,8 @@ SEGMENTS = 256
 PART = 1 << 21
 #: A chunk has fewer rows than this; it also stands for "no row".
 NO_ROW = 65535
+#: Rows of a table without texts that a task reads, about: the driver keeps and logs something for each task.
+READ = 1 << 17
 #: Classes with more than this share of all rows are joined by broadcast; there are fewer than its inverse.
 HOT = 0.001
 
@@ -337,13 +340,13 @@ def _place(first: bool, prefix: str = "") -> Column:
     return F.struct(*(F.col(prefix + c).cast("long").alias(c) for c in by), F.xxhash64(prefix + "v").alias("h"), F.col(prefix + "v").alias("v"))
 
 
-def _links(survivors: DataFrame, percent: int) -> DataFrame | None:
-    """(a, b) links that connect every linked pair of survivors (v, n, own, prefix, s0.., tokens)."""
+def _labels(survivors: DataFrame, percent: int) -> DataFrame | None:
+    """(v, label) of survivors (v, n, own, prefix, s0.., tokens) that link with another: the smallest v of their component."""
     facts = ("v", "n", "own", "s0", "s1", "s2", "s3")
     posts = survivors.select(*facts, F.posexplode("prefix").alias("at", "token")).withColumn("at", F.col("at") + F.col("own"))
     posts = saved(_open(posts.withColumn("label", F.col("v")), facts, percent))
-    sets, all_links, pivots = survivors.select("v", "tokens"), None, 1
-    while not posts.isEmpty():
+    sets, all_links, labels, pivots = survivors.select("v", "tokens"), None, None, 1
+    while posts.take(1):
         # the pivots of a group are found by a limit that each task applies before the shuffle
         place = _place(pivots == 1)
         order = Window.partitionBy("token").orderBy(place)
@@ -358,23 +361,25 @@ def _links(survivors: DataFrame, percent: int) -> DataFrame | None:
         )
         pairs = posts.join(chosen, "token").filter(candidate).select(F.col("p_v").alias("a"), F.col("v").alias("b"), m.alias("n_a"), n.alias("n_b")).distinct()
         full = pairs.join(sets.select(F.col("v").alias("a"), F.col("tokens").alias("tokens_a")), "a").join(sets.select(F.col("v").alias("b"), F.col("tokens").alias("tokens_b")), "b")
-        links = saved(per_batch(full, "a long, b long, linked boolean", _verified(percent)).filter("linked").select("a", "b"))
+        # few rows of many tasks; b, as many share one pivot
+        links = saved(per_batch(full, "a long, b long, linked boolean", _verified(percent)).filter("linked").select("a", "b").repartition("b"))
         last = chosen.groupBy("token").agg(F.max(_place(pivots == 1, "p_")).alias("last"))
         rest = posts.join(last, "token").filter(place > F.col("last")).drop("last")
-        if not links.isEmpty():
+        if links.take(1):
             all_links = links if all_links is None else all_links.union(links)
             labels = components(all_links)
             rest = rest.drop("label").join(labels, "v", "left").withColumn("label", F.coalesce("label", "v"))
         posts = saved(_open(rest, facts, percent))
-        pivots *= 4
-    return all_links
+        pivots *= 4 if pivots == 1 else 16
+    return labels
 
 
 def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     """(doc_id, n_shingles, component_id) of every row; components by links of ``percent`` or more."""
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     docs = saved(per_batch(texts.withColumn("h", F.xxhash64("text")), "doc_id long, h long, n long, d1 long, d2 long", _stats))
-    n_rows, total = docs.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    n_rows, n_named, total = docs.agg(F.count("*"), F.count("doc_id"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    docs = docs.coalesce(max(docs.sparkSession.sparkContext.defaultParallelism, -(-n_rows // READ)))
     # a class is known by its smallest id; one without ids by a number that no usual id has
     unnamed = F.lit(1 << 62) + F.min("d1").bitwiseAND(F.lit((1 << 61) - 1))
     named_first = F.min(F.when(F.col("doc_id").isNotNull(), F.struct("doc_id", "h"))).alias("named")
@@ -393,15 +398,15 @@ def near_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFrame:
     facts = ("u", "d1", "d2")
     hashed = texts.withColumn("h", F.xxhash64("text"))
     fetched = possible.filter("doc_id is not null").select("doc_id", "h", *facts).join(hashed.filter("doc_id is not null"), ["doc_id", "h"]).select(*facts, "text")
-    unnamed_texts = hashed.filter("doc_id is null").select("text", "h").distinct()
-    fetched = fetched.union(possible.filter("doc_id is null").select("h", *facts).join(unnamed_texts, "h").select(*facts, "text")).sortWithinPartitions("d1", "d2")
-    chosen = counted(fetched, total / 2, False).applyInArrow(_survivors(percent), "u long, n int, own int, prefix array<long>, s0 long, s1 long, s2 long, s3 long, tokens binary")
-    links = _links(saved(chosen).withColumnRenamed("u", "v"), percent)
+    if n_named < n_rows:
+        unnamed_texts = hashed.filter("doc_id is null").select("text", "h").distinct()
+        fetched = fetched.union(possible.filter("doc_id is null").select("h", *facts).join(unnamed_texts, "h").select(*facts, "text"))
+    chosen = counted(fetched.sortWithinPartitions("d1", "d2"), total / 2, False).applyInArrow(_survivors(percent), "u long, n int, own int, prefix array<long>, s0 long, s1 long, s2 long, s3 long, tokens binary")
+    labels = _labels(saved(chosen).withColumnRenamed("u", "v"), percent)
 
     named = classes.filter("copies > 1")
-    if links is not None:
-        labels = components(links).withColumnRenamed("v", "u")
-        named = classes.join(labels, "u", "left").filter((F.col("copies") > 1) | F.col("label").isNotNull()).withColumn("u", F.coalesce("label", "u"))
+    if labels is not None:
+        named = classes.join(labels.withColumnRenamed("v", "u"), "u", "left").filter((F.col("copies") > 1) | F.col("label").isNotNull()).withColumn("u", F.coalesce("label", "u"))
     component = F.when(F.col("doc_id").isNotNull() | (F.col("u") < 1 << 62), F.col("u")).alias("component")
     named = saved(named.select("d1", "d2", component, "copies"))
     out = docs.select("doc_id", F.col("n").alias("n_shingles"), "d1", "d2")
@@ -421,7 +426,7 @@ def without_duplicates(documents: DataFrame, percent: int = PERCENT) -> DataFram
     drop = groups.filter("doc_id <> component_id").select("doc_id").distinct()
     kept = documents.join(drop, documents["doc_id"] == drop["doc_id"], "left_anti")
     twice = groups.groupBy("doc_id").agg(F.count("*").alias("n")).filter("n > 1").select("doc_id")
-    if twice.isEmpty():
+    if not twice.take(1):
         return kept
     again = kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_semi").dropDuplicates(["doc_id"])
     return kept.join(twice, kept["doc_id"] == twice["doc_id"], "left_anti").unionByName(again)

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from llm import arrays, html, jaccard, langid, licences, packing, pieces, pii, quality, topk, toxicity
+from llm.tables import saved
 
 BASE = "the of and to in is that it was for on are with as his they be at one have this from or had by hot word but what some we can out other were all there when up use your how said an each she which do their time if will way about many then them write would like so these her long make thing see him two has look more day could go come did number sound no most people my over know water than call first who may down side been now find".split()
 
@@ -163,6 +164,24 @@ def test_jaccard_chain_of_near_copies(spark):
     assert got == label
 
 
+def test_jaccard_tasks_and_jobs(spark):
+    """The driver keeps something for each task: passes over texts have the input's partitions, little else does."""
+    context, partitions = spark.sparkContext, 64
+    texts = [(k, " ".join(prose(60, k // 2).split()[:-1] + [f"end{k % 2}"])) for k in range(512)]
+    docs = saved(spark.createDataFrame(texts, SCHEMA).repartition(partitions, "doc_id"))
+    context.setJobGroup("jaccard tasks", "test")
+    try:
+        got = jaccard.near_duplicates(docs).collect()
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+    assert all(r.component_id == r.doc_id // 2 * 2 for r in got) and len(got) == 512
+    seen = context.statusTracker()
+    jobs = seen.getJobIdsForGroup("jaccard tasks")
+    stages = {k for j in jobs for k in seen.getJobInfo(j).stageIds}
+    tasks = sum(x.numCompletedTasks for x in map(seen.getStageInfo, stages) if x)
+    assert tasks < 6 * partitions and len(jobs) < 70
+
+
 def test_pieces(docs, none):
     model = pieces.load(pieces.model_path())
     got = pieces.encoded(docs).collect()
