@@ -1,10 +1,12 @@
 """Rows that operators write to shuffles, and odd rows that must come out as before."""
 
+from pyspark.sql import functions as F
+
 from meridian.operators import polygons as P
 
 
 def shuffled(spark, run):
-    """(what ``run`` returns, rows that it writes to shuffles)."""
+    """(what ``run`` returns, rows that it writes to shuffles, rows that it reads from them)."""
     context = spark.sparkContext
     jsc, jvm = context._jsc.sc(), context._jvm
 
@@ -12,11 +14,12 @@ def shuffled(spark, run):
         jsc.listenerBus().waitUntilEmpty()
         none = jvm.java.util.ArrayList()
         found = jsc.statusStore().stageList(none, False, False, context._gateway.new_array(jvm.double, 0), none)
-        return {(s := found.apply(k)).stageId(): s.shuffleWriteRecords() for k in range(found.size())}
+        return {(s := found.apply(k)).stageId(): (s.shuffleWriteRecords(), s.shuffleReadRecords()) for k in range(found.size())}
 
     old = max(stages(), default=-1)
     out = run()
-    return out, sum(n for k, n in stages().items() if k > old)
+    new = [n for k, n in stages().items() if k > old]
+    return out, *map(sum, zip(*new, strict=True))
 
 
 def test_small_steps_of_a_closure_leave_links_and_known_pairs_where_they_are(spark, monkeypatch):
@@ -26,7 +29,7 @@ def test_small_steps_of_a_closure_leave_links_and_known_pairs_where_they_are(spa
     none = spark.range(0)
     way_nodes = spark.range(0).selectExpr("id", "id as node")
     run = lambda: sorted(map(tuple, P.closure(members, {"relation": ids, "way": none, "node": none}, way_nodes).collect()))
-    got, rows = shuffled(spark, run)
+    got, rows, _ = shuffled(spark, run)
     want = [(k, "relation", k, False) for k in (*range(2000), *range(10000, 12000))] + [(k, "relation", k + 10000, False) for k in range(2000)]
     assert got == sorted(want + [(20000 + a, "relation", 20000 + b, b == 8) for a in range(8) for b in range(a, 9)])
     # 8 steps that shuffle all links and known pairs write over 60,000 rows
@@ -49,3 +52,27 @@ def test_odd_rows_of_a_closure(spark, monkeypatch):
         monkeypatch.setattr(P, "SENT", most)
         got = P.closure(members, {"relation": ids(1, 2, 2, 3, None), "way": ids(5), "node": ids(7, 7)}, nodes).collect()
         assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_ways_and_chains_are_made_once(spark):
+    # 500 squares of four ways; what makes the ways shuffles 4,000 rows
+    rows = spark.range(4000).selectExpr("id % 2000 as k", "id as v")
+    ways = rows.repartition(3).groupBy("k").agg(F.max("v").alias("v")).selectExpr("k div 4 as relation", "'outer' as role", "k as way", "array(k, if(k % 4 = 3, k - 3, k + 1)) as nodes")
+    nodes = spark.range(2000).selectExpr("id", "id % 4 as x", "id % 2 as y")
+    keys = ["relation", "role"]
+    got, written, read = shuffled(spark, lambda: P.located(P.rings(ways, keys), nodes, keys).collect())
+    assert len(got) == 500 and all(r.closed and r.missing == 0 and len(r.ring) == 5 and tuple(r.ring[0]) == (0, 0) == tuple(r.ring[4]) for r in got)
+    # made twice, they would be 8,000 rows more
+    assert written < 14_000 and read < 14_000
+
+
+def test_odd_rows_of_located(spark):
+    rows = [(1, "a", 1, True, 2, [1, 2, 1]), (1, "a", 3, False, 1, [4, 5]), (1, None, 4, False, 1, [1, 2]), (None, "a", 5, False, 1, [1, 2]), (2, "a", 6, False, 1, []), (2, "a", 7, False, 1, None), (2, "a", 8, None, 1, [3, None, 9])]
+    chains = spark.createDataFrame(rows, "relation long, role string, chain long, closed boolean, ways long, nodes array<long>")
+    nodes = spark.createDataFrame([(1, 1.0, 2.0), (2, 5.0, None), (2, 3.0, 4.0), (3, None, None), (4, float("nan"), 1.0), (None, 8.0, 8.0)], "id long, x double, y double")
+    found = P.located(chains, nodes, ["relation", "role"])
+    assert found.columns == ["relation", "role", "chain", "closed", "ways", "nodes", "missing", "ring"]
+    assert found.schema["ring"].dataType.simpleString() == "array<struct<x:double,y:double>>"
+    got = {r.chain: (r.closed, r.ways, r.nodes, r.missing, str([tuple(p) for p in r.ring])) for r in found.collect()}
+    want = {1: (True, 2, [1, 2, 1], 0, "[(1.0, 2.0), (3.0, 4.0), (5.0, None), (1.0, 2.0)]"), 3: (False, 1, [4, 5], 1, "[(nan, 1.0)]"), 8: (None, 1, [3, None, 9], 2, "[(None, None)]")}
+    assert got == want
