@@ -101,9 +101,12 @@ def merged_roads(roads: DataFrame) -> DataFrame:
     no other, most of them as a rule, take no part in that.
     """
     usable = roads.filter("ref is not null and id is not null and size(nodes) > 1").groupBy("ref", "id").agg(F.min("nodes").alias("nodes"))
-    at = lambda node, name: usable.groupBy("ref", node.alias("node")).agg(F.count("*").alias("n"), F.min("id").alias(name)).filter("n = 1").drop("n")
-    next_ = at(F.element_at("nodes", -1), "id").join(at(F.get("nodes", F.lit(0)), "next"), ["ref", "node"]).filter("id <> next").select("ref", F.col("id").alias("dart"), "next")
-    next_ = saved(next_)
+    end = lambda node, dart, next: F.struct(node.alias("node"), dart.alias("dart"), next.alias("next"))
+    none = F.lit(None).cast(usable.schema["id"].dataType)
+    ends = usable.select("ref", F.explode(F.array(end(F.element_at("nodes", -1), F.col("id"), none), end(F.get("nodes", F.lit(0)), none, F.col("id")))).alias("e"))
+    # one group for each node: the roads that end there, and those that start there
+    at = ends.select("ref", "e.*").filter("node is not null").groupBy("ref", "node").agg(*(f(c).alias(a) for c in ("dart", "next") for f, a in ((F.count, f"{c}s"), (F.min, c))))
+    next_ = saved(at.filter("darts = 1 and nexts = 1 and dart <> next").select("ref", "dart", "next"))
     joined = saved(next_.select("ref", "dart").union(next_.select("ref", "next")).distinct())
     most = joined.groupBy("ref").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0] or 1
     rounds = max(1, ceil(log2(most)))
@@ -117,7 +120,7 @@ def merged_roads(roads: DataFrame) -> DataFrame:
     opened = chains.join(follows, ["ref", "dart"]).select("ref", "dart", F.when(~(F.col("closed") & (F.col("next") == F.col("chain"))), F.col("next")).alias("next"), F.col("dart").alias("least"), steps)
     placed = doubled(opened, ["ref"], rounds).select("ref", "dart", "steps").join(chains, ["ref", "dart"])
     # places are known by one join, whether there are any or not
-    each = usable.join(placed.select("ref", F.col("dart").alias("id"), "chain", "steps"), ["ref", "id"], "left")
+    each = saved(usable.join(placed.select("ref", F.col("dart").alias("id"), "chain", "steps"), ["ref", "id"], "left"))
     alone = each.filter("chain is null").select("ref", F.col("id").alias("chain"), "nodes")
     pieces = each.filter("chain is not null").groupBy("ref", "chain").agg(F.array_sort(F.collect_list(F.struct((-F.col("steps")).alias("at"), "nodes"))).alias("p"))
     whole = F.flatten(F.transform("p", lambda x, i: F.when(i == 0, x["nodes"]).otherwise(F.slice(x["nodes"], F.lit(2), F.size(x["nodes"]) - 1))))

@@ -27,8 +27,11 @@ def doubled(chain: DataFrame, keys: list[str], rounds: int) -> DataFrame:
     taken, and where the walk stands (null where it ended)."""
     for _ in range(rounds):
         ahead = chain.select(*keys, F.col("dart").alias("next"), F.col("next").alias("next2"), F.col("least").alias("least2"), F.col("steps").alias("steps2"))
-        both = chain.join(ahead, [*keys, "next"], "left")
-        chain = saved(both.select(*keys, "dart", F.col("next2").alias("next"), F.least("least", "least2").alias("least"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps")))
+        # a walk that ended is met by others, but goes no further; its rows don't add tasks with each round
+        ended = chain.filter("next is null").select(*keys, "dart", "next", "least", "steps").coalesce(int(chain.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+        both = chain.filter("next is not null").join(ahead, [*keys, "next"], "left")
+        moved = both.select(*keys, "dart", F.col("next2").alias("next"), F.least("least", "least2").alias("least"), (F.col("steps") + F.coalesce("steps2", F.lit(0))).alias("steps"))
+        chain = saved(moved.union(ended))
     return chain
 
 

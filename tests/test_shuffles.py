@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from meridian.operators import maps
 from meridian.operators import polygons as P
 
 
@@ -76,3 +77,38 @@ def test_odd_rows_of_located(spark):
     got = {r.chain: (r.closed, r.ways, r.nodes, r.missing, str([tuple(p) for p in r.ring])) for r in found.collect()}
     want = {1: (True, 2, [1, 2, 1], 0, "[(1.0, 2.0), (3.0, 4.0), (5.0, None), (1.0, 2.0)]"), 3: (False, 1, [4, 5], 1, "[(nan, 1.0)]"), 8: (None, 1, [3, None, 9], 2, "[(None, None)]")}
     assert got == want
+
+
+ROADS = "id long, ref string, nodes array<long>"
+
+
+def test_roads_are_read_once_for_ends_and_once_for_chains(spark):
+    # 3,000 roads of their own ref, and ten chains of five roads
+    roads = spark.range(3050).selectExpr("id", "if(id < 3000, concat('r', id), concat('c', id % 10)) as ref", "array(id div 10, id div 10 + 1, id div 10 + 1) as nodes")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as large tables are joined
+    try:
+        got, _, read = shuffled(spark, lambda: sorted((r.ref, r.chain, r.nodes) for r in maps.merged_roads(roads).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    want = [(f"r{k}", k, [k // 10, k // 10 + 1, k // 10 + 1]) for k in range(3000)]
+    want += [(f"c{k}", 3000 + k, [300, *(300 + x for x in range(1, 6) for _ in range(2))]) for k in range(10)]
+    assert got == sorted(want)
+    # read twice each, roads would be 6,100 rows more
+    assert read < 12_500
+
+
+def test_odd_rows_of_roads(spark):
+    rows = [(1, "a", [1, 2]), (1, "a", [1, 9]), (1, "a", [1, 2]), (2, "a", [2, 3]), (3, "a", [3, None]), (4, "a", [None, 1]), (5, "a", [7, 7]), (6, "b", [1, 2]), (7, "b", [2, 1]), (8, "c", [1, 2]), (9, "c", [2, 3]), (10, "c", [2, 4]), (None, "a", [3, 4]), (11, None, [1, 2]), (12, "d", []), (13, "d", None), (14, "d", [1])]
+    got = {(r.ref, r.chain): r.nodes for r in maps.merged_roads(spark.createDataFrame(rows, ROADS)).collect()}
+    assert got == {("a", 1): [None, 1, 2, 3, None], ("a", 5): [7, 7], ("b", 6): [1, 2, 1], ("c", 8): [1, 2], ("c", 9): [2, 3], ("c", 10): [2, 4]}
+
+
+def test_walks_of_all_lengths(spark):
+    # chains of 1 to 20 darts and a ring of 6
+    rows = [(n, k, k + 1 if k + 1 < n else None) for n in range(1, 21) for k in range(n)] + [(99, k, (k + 1) % 6) for k in range(6)]
+    chain = spark.createDataFrame(rows, "g long, dart long, next long").withColumn("least", F.col("dart")).withColumn("steps", F.lit(1).cast("long"))
+    out, written, _ = shuffled(spark, lambda: P.doubled(chain, ["g"], 5))
+    got = {(r.g, r.dart): (r.next, r.least, r.steps) for r in out.collect()}
+    assert got == {(n, k): (None, k, n - k) for n in range(1, 21) for k in range(n)} | {(99, k): ((k + 32) % 6, 0, 32) for k in range(6)}
+    # 216 rows, on both sides of five joins, would be 2,160
+    assert written < 1_700
